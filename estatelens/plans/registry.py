@@ -57,4 +57,5 @@ def load_all() -> None:
     """Import every query module so that its keys register."""
     from estatelens.plans import (  # noqa: F401
         q_capacity,
+        q_health,
     )

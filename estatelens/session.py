@@ -26,7 +26,8 @@ _REQUIRED = {
 
 def build_session(master: str | None = None, app: str = "estatelens",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in _REQUIRED.items():

@@ -146,10 +146,14 @@ SELECT concat('DB', c_custkey % 4) AS db_name, concat('19.', c_custkey % 4 + 18,
 FROM customer GROUP BY c_custkey % 4""")
 
 _role("parameters", """
-SELECT concat('DB', c_custkey % 4) AS db_name,
-  CASE c_custkey % 5 WHEN 0 THEN 'cpu_count' WHEN 1 THEN 'clonedb' WHEN 2 THEN 'db_block_size' WHEN 3 THEN 'log_archive_dest_1' ELSE 'db_recovery_file_dest_size' END AS name,
-  CASE c_custkey % 5 WHEN 0 THEN '16' WHEN 1 THEN CASE WHEN c_custkey % 4 = 0 THEN 'TRUE' ELSE 'FALSE' END WHEN 2 THEN '8192' WHEN 3 THEN 'LOCATION=/arch' ELSE '53687091200' END AS value
-FROM customer GROUP BY c_custkey % 4, c_custkey % 5""")
+SELECT concat('DB', k4) AS db_name,
+  CASE q WHEN 0 THEN 'cpu_count' WHEN 1 THEN 'clonedb' WHEN 2 THEN 'db_block_size' WHEN 3 THEN 'log_archive_dest_1'
+    WHEN 4 THEN 'db_recovery_file_dest_size' WHEN 5 THEN 'db_unique_name' WHEN 6 THEN 'fal_server' ELSE 'log_archive_dest_state_2' END AS name,
+  CASE q WHEN 0 THEN '16' WHEN 1 THEN CASE WHEN k4 = 0 THEN 'TRUE' ELSE 'FALSE' END WHEN 2 THEN '8192' WHEN 3 THEN 'LOCATION=/arch'
+    WHEN 4 THEN '53687091200' WHEN 5 THEN concat('DB', k4, '_SITE') WHEN 6 THEN CASE WHEN k4 = 3 THEN NULL ELSE concat('DB', k4, '_STBY') END
+    ELSE CASE WHEN k4 = 1 THEN 'DEFER' ELSE 'enable' END END AS value
+FROM (SELECT c_custkey % 4 AS k4, CAST((c_custkey % 32 - c_custkey % 4) / 4 AS INT) AS q FROM customer) t
+GROUP BY k4, q""")
 
 _role("restore_points", """
 SELECT concat('DB', o_orderkey % 4) AS db_name, concat('RP_', o_orderkey) AS name, o_orderdate AS time,
@@ -227,7 +231,12 @@ _role("tab_stats", """
 SELECT concat('DB', c_custkey % 50 % 4) AS db_name, concat('U', c_custkey % 50) AS owner, concat('T_', c_custkey) AS table_name,
   CAST(NULL AS STRING) AS partition_name,
   CASE WHEN c_custkey % 11 = 0 THEN 'ALL' ELSE NULL END AS stattype_locked
-FROM customer""")
+FROM customer
+UNION ALL
+SELECT DISTINCT concat('DB', m % 4), 'APP', concat('TAR_SALES_', m % 3),
+  CASE WHEN m % 2 = 0 THEN concat('SYS_P', m) ELSE concat('SALES_', m) END,
+  CASE WHEN m % 7 = 0 THEN 'ALL' ELSE NULL END
+FROM (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t""")
 
 for _r, _m in (("externals", 13), ("mviews", 17), ("mview_logs", 19)):
     _role(_r, f"""
@@ -298,7 +307,8 @@ SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 =
   concat('OBJ_', o_orderkey) AS object_name, o_orderkey AS object_id,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'SYNONYM' WHEN '2-HIGH' THEN 'VIEW' WHEN '3-MEDIUM' THEN 'TABLE' WHEN '5-LOW' THEN 'TRIGGER' ELSE 'PACKAGE BODY' END AS object_type,
   CASE WHEN o_orderstatus = 'P' THEN 'INVALID' ELSE 'VALID' END AS status, o_orderdate AS created,
-  o_orderdate + INTERVAL 1 DAY * (o_orderkey % 5) AS last_ddl_time
+  o_orderdate + INTERVAL 1 DAY * (o_orderkey % 5) AS last_ddl_time,
+  CASE WHEN o_orderkey % 3 <> 0 THEN 'ORA$BASE' ELSE NULL END AS edition_name
 FROM orders""")
 
 _role("errors", """
