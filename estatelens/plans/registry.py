@@ -58,4 +58,6 @@ def load_all() -> None:
     from estatelens.plans import (  # noqa: F401
         q_capacity,
         q_health,
+        q_security,
+        health_report,
     )

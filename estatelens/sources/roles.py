@@ -393,7 +393,11 @@ FROM customer WHERE c_custkey % 19 = 3""")
 _role("sys_privs", """
 SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS grantee,
   CASE WHEN c_custkey % 3 = 0 THEN 'UNLIMITED TABLESPACE' ELSE 'CREATE SESSION' END AS privilege
-FROM customer""")
+FROM customer
+UNION ALL
+SELECT concat('DB', c_custkey % 4), concat('R_', c_mktsegment),
+  CASE c_custkey % 3 WHEN 0 THEN 'CREATE TABLE' WHEN 1 THEN 'CREATE VIEW' ELSE 'SELECT ANY TABLE' END
+FROM customer GROUP BY c_custkey % 4, c_mktsegment, c_custkey % 3""")
 
 _role("ts_quotas", """
 SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS username, concat('TS_', c_custkey % 8) AS tablespace_name,
@@ -409,16 +413,6 @@ _role("roles", """
 SELECT concat('DB', c_custkey % 4) AS db_name, concat('R_', c_mktsegment) AS role, 'NO' AS password_required
 FROM customer GROUP BY c_custkey % 4, c_mktsegment""")
 
-_role("role_grants", """
-SELECT concat('DB', c_custkey % 4) AS db_name, concat('R_', c_mktsegment) AS granted_role,
-  concat('U', c_custkey % 50) AS grantee
-FROM customer WHERE c_custkey % 7 = 1""")
-
-_role("role_sys_privs", """
-SELECT concat('DB', c_custkey % 4) AS db_name, concat('R_', c_mktsegment) AS role,
-  CASE c_custkey % 3 WHEN 0 THEN 'CREATE TABLE' WHEN 1 THEN 'CREATE VIEW' ELSE 'SELECT ANY TABLE' END AS privilege
-FROM customer GROUP BY c_custkey % 4, c_mktsegment, c_custkey % 3""")
-
 _role("pwfile_users", """
 SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS username, 'TRUE' AS sysdba,
   CASE WHEN c_custkey % 2 = 0 THEN 'TRUE' ELSE 'FALSE' END AS sysoper
