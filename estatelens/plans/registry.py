@@ -60,4 +60,5 @@ def load_all() -> None:
         q_health,
         q_security,
         health_report,
+        q_features,
     )
