@@ -61,4 +61,5 @@ def load_all() -> None:
         q_security,
         health_report,
         q_features,
+        q_partitions,
     )

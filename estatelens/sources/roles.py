@@ -82,7 +82,9 @@ SELECT DISTINCT concat('DB', p_partkey % 150 % 50 % 4) AS db_name,
   CASE WHEN p_size = 1 THEN 'SYSTEM' ELSE concat('TS_', p_partkey % 8) END AS tablespace_name,
   CASE WHEN p_partkey % 8 = 7 AND p_size <> 1 THEN 'TEMPORARY' ELSE 'PERMANENT' END AS contents,
   CAST(8192 AS BIGINT) AS block_size
-FROM part""")
+FROM part
+UNION
+SELECT DISTINCT concat('DB', c_custkey % 2), 'APP_200108', 'PERMANENT', CAST(8192 AS BIGINT) FROM customer""")
 
 _role("ts_groups", """
 SELECT DISTINCT concat('DB', s_suppkey % 4) AS db_name, 'TEMP_GRP' AS group_name, concat('TEMP_', s_suppkey % 3) AS tablespace_name
@@ -225,7 +227,11 @@ SELECT concat('DB', c.c_custkey % 50 % 4) AS db_name, concat('U', c.c_custkey %
   CASE WHEN c.c_custkey % 37 = 0 THEN 'YES' ELSE 'NO' END AS read_only,
   CASE WHEN c.c_custkey % 3 = 0 THEN 'DEFAULT' ELSE CAST(c.c_custkey % 12 AS STRING) END AS degree,
   concat('TS_', c.c_custkey % 8) AS tablespace_name
-FROM customer c LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey""")
+FROM customer c LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey
+UNION ALL
+SELECT DISTINCT concat('DB', m % 4), 'APP', concat('TAR_SALES_', m % 3), CAST(NULL AS BIGINT), CAST(NULL AS TIMESTAMP),
+  'N', 'N', 'YES', 'YES', 'ENABLED', CAST(NULL AS STRING), 'DISABLED', 'NO', '1', 'TS_0'
+FROM (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t""")
 
 _role("tab_stats", """
 SELECT concat('DB', c_custkey % 50 % 4) AS db_name, concat('U', c_custkey % 50) AS owner, concat('T_', c_custkey) AS table_name,
@@ -496,12 +502,21 @@ _role("part_tables", """
 SELECT concat('DB', c_custkey % 12 % 4) AS db_name, 'APP' AS owner, concat('TAR_SALES_', c_custkey % 12 % 3) AS table_name,
   CASE WHEN c_custkey % 12 % 3 = 0 THEN 'APP_200108' ELSE concat('TS_', c_custkey % 12 % 4) END AS def_tablespace_name,
   CASE WHEN c_custkey % 12 % 3 = 1 THEN 'NUMTOYMINTERVAL(1,''MONTH'')' ELSE NULL END AS interval
-FROM customer GROUP BY c_custkey % 12""")
+FROM customer GROUP BY c_custkey % 12
+UNION ALL
+SELECT concat('DB', c_custkey % 50 % 4), concat('U', c_custkey % 50), concat('T_', c_custkey),
+  CASE c_custkey % 3 WHEN 0 THEN 'APP_200108' WHEN 1 THEN 'SHORT_TERM' ELSE 'USERS' END,
+  CASE WHEN c_custkey % 2 = 0 THEN 'NUMTOYMINTERVAL(1,''MONTH'')' ELSE NULL END
+FROM customer WHERE c_custkey % 5 = 0""")
 
 _role("store_lists", """
 SELECT concat('DB', c_custkey % 12 % 4) AS db_name, 'APP' AS owner, concat('TAR_SALES_', c_custkey % 12 % 3) AS table_name,
   CASE WHEN c_custkey % 24 < 12 THEN 'APP_200108' ELSE concat('APP_2001', lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0')) END AS tablespace_name
-FROM customer GROUP BY c_custkey % 12, c_custkey % 24""")
+FROM customer GROUP BY c_custkey % 12, c_custkey % 24
+UNION ALL
+SELECT concat('DB', c_custkey % 50 % 4), concat('U', c_custkey % 50), concat('T_', c_custkey),
+  CASE c_custkey % 4 WHEN 0 THEN 'APP_200108' WHEN 1 THEN 'ETL_200108' ELSE 'USERS' END
+FROM customer WHERE c_custkey % 5 = 0""")
 
 # ------------------------------------------------------- files and logs
 _role("log_lines", """
@@ -557,6 +572,14 @@ class Roles:
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark
+
+    def driver(self, name: str) -> DataFrame:
+        """A driver table itself (for operators that take user tables)."""
+        return self._spark.read.parquet(os.path.join(self._dir, f"{name}.parquet"))
+
 
 def role_cte(*names: str) -> str:
     """``WITH`` clause naming each role ``cat_<role>`` (oracle side)."""
