@@ -62,4 +62,5 @@ def load_all() -> None:
         health_report,
         q_features,
         q_partitions,
+        q_objects,
     )

@@ -283,6 +283,28 @@ SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, concat('U', p_partkey
   CASE WHEN p_size % 2 = 0 THEN 'YES' ELSE 'NO' END AS used, concat('01-', 10 + p_size % 20, '-2024 08:30:00') AS start_monitoring
 FROM part WHERE p_partkey % 5 <> 0""")
 
+# Dictionary-level index usage: index objects (id 1e6 + partkey), their
+# tables (id 2e6 + partkey % 150), index flag bits and usage-tracking rows.
+_role("ind_flags", """
+SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, p_partkey + 1000000 AS obj_id, p_partkey % 150 + 2000000 AS bo_id,
+  CAST(CASE WHEN p_size % 3 = 1 THEN 0 ELSE 65536 END + p_size % 4 AS BIGINT) AS flags
+FROM part""")
+
+_role("object_usage", """
+SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, p_partkey + 1000000 AS obj_id,
+  CAST(CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END + 2 * (p_size % 3) AS BIGINT) AS flags,
+  concat('01-', 10 + p_size % 20, '-2024 08:30:00') AS start_monitoring, CAST(NULL AS STRING) AS end_monitoring
+FROM part WHERE p_partkey % 5 <> 0""")
+
+_role("dict_objects", """
+SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, p_partkey + 1000000 AS obj_id, concat('U', p_partkey % 150 % 50) AS owner,
+  concat('IX_', p_partkey) AS name, 'INDEX' AS object_type
+FROM part
+UNION ALL
+SELECT DISTINCT concat('DB', p_partkey % 150 % 50 % 4), p_partkey % 150 + 2000000, concat('U', p_partkey % 150 % 50),
+  concat('T_', p_partkey % 150), 'TABLE'
+FROM part""")
+
 _role("constraints", """
 SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, concat('U', p_partkey % 150 % 50) AS owner,
   CASE WHEN p_partkey % 3 = 0 THEN concat('SYS_C', p_partkey) ELSE concat('CK_', p_partkey) END AS constraint_name,
