@@ -63,4 +63,5 @@ def load_all() -> None:
         q_features,
         q_partitions,
         q_objects,
+        q_inventory,
     )
