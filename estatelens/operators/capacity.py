@@ -321,7 +321,7 @@ def threshold_alerts(readings: DataFrame, pct: float = 60) -> DataFrame:
     """Databases whose logical use exceeds ``pct``, with all readings."""
     return (readings.filter(F.col("pct_logical") > pct)
             .select("db_name", "pct_used", "pct_logical", "runway_hours",
-                    F.round(F.col("runway_hours") / 24, 2).alias("runway_days")))
+                    (F.col("runway_hours") / 24).alias("runway_days")))
 
 
 # ------------------------------------------------------------ redo growth

@@ -195,13 +195,13 @@ _READINGS = f"""SELECT p.db_name, round(p.space_used / p.space_limit * 100) AS p
 FROM cat_recovery_dest p LEFT JOIN ({_RUNWAY}) w ON w.db_name = p.db_name"""
 
 
-@register("latest_reading", _READINGS)
-def q_latest_reading(R):
+@register("current_readings", _READINGS)
+def q_current_readings(R):
     return cap.latest_readings(R.recovery_dest, R.archived_log, EVENTS_AS_OF)
 
 
 @register("threshold_alerts", f"""
-SELECT db_name, pct_used, pct_logical, runway_hours, round(runway_hours / 24, 2) AS runway_days
+SELECT db_name, pct_used, pct_logical, runway_hours, runway_hours / 24 AS runway_days
 FROM ({_READINGS}) r WHERE pct_logical > 60""")
 def q_threshold_alerts(R):
     return cap.threshold_alerts(cap.latest_readings(R.recovery_dest, R.archived_log, EVENTS_AS_OF), pct=60)

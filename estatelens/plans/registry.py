@@ -64,4 +64,5 @@ def load_all() -> None:
         q_partitions,
         q_objects,
         q_inventory,
+        q_sources,
     )

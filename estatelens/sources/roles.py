@@ -548,7 +548,8 @@ _role("files", """
 SELECT concat('DB', doc_id % 4) AS db_name,
   concat('/diag/', source, '/f', doc_id, CASE doc_id % 5 WHEN 0 THEN '.trc' WHEN 1 THEN '.trm' WHEN 2 THEN '.aud' WHEN 3 THEN '.xml' ELSE '.tgz' END) AS path,
   false AS is_dir, CASE WHEN doc_id % 7 = 0 THEN CAST(0 AS BIGINT) ELSE n_chars END AS size_bytes,
-  CAST(doc_id % 90 AS INT) AS age_days, CAST((doc_id * 37) % 1440 AS INT) AS age_minutes
+  CAST(doc_id % 90 AS INT) AS age_days, CAST((doc_id * 37) % 1440 AS INT) AS age_minutes,
+  TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY * (doc_id % 90) - INTERVAL 1 MINUTE * ((doc_id * 37) % 1440) AS mtime
 FROM documents""")
 
 
