@@ -79,6 +79,17 @@ def option_feature_map(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(OPTION_FEATURES, "option_name string, name string")
 
 
+def option_map_coverage(feature_usage: DataFrame) -> DataFrame:
+    """The option map with, per mapped feature, how many databases of the
+    fleet report that feature at all (0 when none)."""
+    spark = feature_usage.sparkSession
+    seen = (feature_usage.select("name", "db_name").distinct()
+            .groupBy("name").agg(F.count(F.lit(1)).alias("reporting_databases")))
+    return (option_feature_map(spark).join(seen, "name", "left")
+            .select("option_name", "name",
+                    F.coalesce("reporting_databases", F.lit(0)).cast("bigint").alias("reporting_databases")))
+
+
 def option_names() -> list[str]:
     seen = []
     for o, _ in OPTION_FEATURES:

@@ -57,7 +57,7 @@ def archive_logs_by_month(log_lines: DataFrame, path: str, compression: str | No
     """Append log text to a monthly archive per database: text files under
     ``db_name=<db>/month=<yyyy-MM>``, optionally compressed (e.g. gzip)."""
     w = (log_lines.select("db_name", log_month(F.col("ts")).alias("month"), "ts", "line")
-         .repartition("db_name", "month").sortWithinPartitions("ts")
+         .hint("rebalance", "db_name", "month").sortWithinPartitions("ts")
          .select("line", "db_name", "month")
          .write.mode("append").partitionBy("db_name", "month"))
     if compression:

@@ -45,7 +45,9 @@ def range_partition_copy(df: DataFrame, date_col: str, path: str | None = None,
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/estatelens/range_copy/{uuid.uuid4().hex}"
     out = df.withColumn(part_col, month_of(F.col(date_col)))
-    (out.repartition(part_col)
+    # rebalance (not repartition): AQE splits a hot month over several
+    # tasks and merges small ones, so no single task writes a skewed month
+    (out.hint("rebalance", part_col)
         .write.mode("overwrite").partitionBy(part_col).parquet(path))
     return spark.read.schema(out.schema).parquet(path)
 

@@ -1,7 +1,7 @@
 """Registered feature-usage queries with their oracle SQL.
 
-The option map is a fixed constant, so it is not registered on its own
-(a registered query must read the driver tables); it feeds both reports.
+The option map is a fixed constant; its registered query reports it
+together with how many databases of the fleet report each feature.
 """
 
 from __future__ import annotations
@@ -52,3 +52,10 @@ FROM cat_feature_usage f JOIN {_MAP} ON m.name = f.name JOIN {_INFO} info ON inf
 WHERE {_PRED}""")
 def q_option_usage_detail(R):
     return fe.option_usage_detail(R.feature_usage, R.instance, R.databases, EVENTS_AS_OF)
+
+
+@register("option_feature_map", f"""
+SELECT m.option_name, m.name, coalesce(s.n, 0) AS reporting_databases
+FROM {_MAP} LEFT JOIN (SELECT name, count(DISTINCT db_name) AS n FROM cat_feature_usage GROUP BY name) s ON s.name = m.name""")
+def q_option_feature_map(R):
+    return fe.option_map_coverage(R.feature_usage)

@@ -562,17 +562,36 @@ def driver_tables_of(sql: str) -> set[str]:
     return set(_TABLE_RE.findall(sql))
 
 
+# Analysed DataFrames per (session, data dir, name). Only plans are kept:
+# nothing is cached in memory, so every action still reads the files.
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    return (id(spark._jsparkSession), os.path.abspath(sf_dir), name)
+
+
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    k = _key(spark, sf_dir, "driver:" + name)
+    if k not in _PLANS:
+        _PLANS[k] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return _PLANS[k]
+
+
 def register_driver_tables(spark: SparkSession, sf_dir: str, names) -> None:
     """Expose the driver parquet tables under their plain names."""
     for n in sorted(names):
-        spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")).createOrReplaceTempView(n)
+        driver_table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One catalog role as a DataFrame over the driver tables."""
-    sql = ROLE_SQL[name]
-    register_driver_tables(spark, sf_dir, driver_tables_of(sql))
-    return spark.sql(sql)
+    k = _key(spark, sf_dir, "role:" + name)
+    if k not in _PLANS:
+        sql = ROLE_SQL[name]
+        register_driver_tables(spark, sf_dir, driver_tables_of(sql))
+        _PLANS[k] = spark.sql(sql)
+    return _PLANS[k]
 
 
 class Roles:
@@ -581,16 +600,13 @@ class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark = spark
         self._dir = sf_dir
-        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in ROLE_SQL:
             raise AttributeError(f"unknown role {name!r}")
-        if name not in self._cache:
-            self._cache[name] = role(self._spark, self._dir, name)
-        return self._cache[name]
+        return role(self._spark, self._dir, name)
 
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -601,7 +617,7 @@ class Roles:
 
     def driver(self, name: str) -> DataFrame:
         """A driver table itself (for operators that take user tables)."""
-        return self._spark.read.parquet(os.path.join(self._dir, f"{name}.parquet"))
+        return driver_table(self._spark, self._dir, name)
 
 
 def role_cte(*names: str) -> str:

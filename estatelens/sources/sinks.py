@@ -15,7 +15,7 @@ def write_inventory(df: DataFrame, kind: str, path: str) -> None:
     replaced."""
     (df.select("db_name", "line").distinct()
        .withColumn("kind", F.lit(kind))
-       .repartition("kind", "db_name")
+       .hint("rebalance", "kind", "db_name")      # hot databases split over tasks
        .sortWithinPartitions("line")
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("kind", "db_name").parquet(path))
@@ -28,7 +28,7 @@ def read_inventory(spark, path: str) -> DataFrame:
 def write_report(findings: DataFrame, path: str, run_ts: str) -> None:
     """Findings filed under database and run time (``yyyyMMddHHmmss``)."""
     (findings.withColumn("run_ts", F.lit(run_ts))
-        .repartition("db_name")
+        .hint("rebalance", "db_name")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("db_name", "run_ts").parquet(path))
 
@@ -36,5 +36,5 @@ def write_report(findings: DataFrame, path: str, run_ts: str) -> None:
 def append_metrics(df: DataFrame, path: str, ts_col: str = "reading_ts") -> None:
     """Append timestamped readings, partitioned by day."""
     (df.withColumn("dt", F.to_date(F.col(ts_col)))
-       .repartition("dt")
+       .hint("rebalance", "dt")
        .write.mode("append").partitionBy("dt").parquet(path))
