@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from estatelens.operators import health as h
 from estatelens.operators import security as sec
+from estatelens.plans import q_security  # noqa: F401  (registers the security finding SQL)
 from estatelens.plans.q_health import FINDING_SQL
 from estatelens.plans.registry import register
 from estatelens.sources.roles import ORDERS_AS_OF
