@@ -146,16 +146,19 @@ WITH e AS (SELECT db_name, completion_time, blocks * block_size AS b FROM cat_ar
            WHERE deleted = 'NO' AND is_recovery_dest_file = 'YES'),
 w AS (SELECT db_name, date_trunc('hour', completion_time) - INTERVAL 1 HOUR * r.k AS window_start, b
       FROM e CROSS JOIN range(0, 6) AS r(k))
-SELECT db_name, window_start, window_start + INTERVAL 6 HOUR AS window_end, CAST(sum(b) AS BIGINT) AS redo_bytes,
-  sum(b) / 6 AS redo_bytes_per_hour
-FROM w GROUP BY db_name, window_start
-HAVING window_start + INTERVAL 6 HOUR <= (SELECT max(completion_time) FROM e) - INTERVAL 1 HOUR""")
+SELECT x.*, round((d.space_limit - d.space_used - d.space_reclaimable) / x.redo_bytes_per_hour, 1) AS runway_hours
+FROM (
+  SELECT db_name, window_start, window_start + INTERVAL 6 HOUR AS window_end, CAST(sum(b) AS BIGINT) AS redo_bytes,
+    sum(b) / 6 AS redo_bytes_per_hour
+  FROM w GROUP BY db_name, window_start
+  HAVING window_start + INTERVAL 6 HOUR <= (SELECT max(completion_time) FROM e) - INTERVAL 1 HOUR) x
+LEFT JOIN cat_recovery_dest d ON d.db_name = x.db_name""")
 def q_stream_redo_rate(R):
     spark = R.spark
     base = cat.scratch_path(spark, "stream_redo")
     in_dir, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     R.archived_log.select(*[f.name for f in jobs.ARCHIVED_LOG_SCHEMA.fields]).write.mode("overwrite").parquet(in_dir)
-    q = jobs.stream_redo_rate(spark, in_dir, out, ckpt)
+    q = jobs.stream_redo_rate(spark, in_dir, out, ckpt, recovery_dest=R.recovery_dest)
     q.awaitTermination()
     return spark.read.parquet(out)
 

@@ -18,6 +18,9 @@ _REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # coalesce shuffle partitions to the advisory size (64 MB), not to the
+    # default parallelism: right-sized tasks on a cluster, few on small data
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     # catalog timestamps carry no zone; literals and casts stay zone-less too
     "spark.sql.timestampType": "TIMESTAMP_NTZ",

@@ -65,12 +65,27 @@ def redo_rate_windows(archived_log: DataFrame, watermark: str = "1 hour", hours:
                     "redo_bytes", (F.col("redo_bytes") / hours).alias("redo_bytes_per_hour")))
 
 
+def with_runway(windows: DataFrame, recovery_dest: DataFrame) -> DataFrame:
+    """Add the hours of runway each window's rate leaves in the recovery
+    area (stream-static join on the per-database sizes)."""
+    free = F.col("space_limit") - F.col("space_used") - F.col("space_reclaimable")
+    return (windows.join(recovery_dest.select("db_name", "space_limit", "space_used", "space_reclaimable"),
+                         "db_name", "left")
+            .select("db_name", "window_start", "window_end", "redo_bytes", "redo_bytes_per_hour",
+                    F.round(F.try_divide(free, F.col("redo_bytes_per_hour")), 1).alias("runway_hours")))
+
+
 def stream_redo_rate(spark: SparkSession, in_dir: str, out_path: str, checkpoint: str,
-                     watermark: str = "1 hour", hours: int = 6, available_now: bool = True):
+                     watermark: str = "1 hour", hours: int = 6, available_now: bool = True,
+                     recovery_dest: DataFrame | None = None):
     """Redo rate per database over sliding windows, appended to Parquet
-    as windows close."""
+    as windows close (after the watermark passes); with ``recovery_dest``
+    each window also carries the runway it leaves."""
     src = spark.readStream.schema(ARCHIVED_LOG_SCHEMA).parquet(in_dir)
-    w = (redo_rate_windows(src, watermark, hours).writeStream.format("parquet").outputMode("append")
+    out = redo_rate_windows(src, watermark, hours)
+    if recovery_dest is not None:
+        out = with_runway(out, recovery_dest)
+    w = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(out_path)
