@@ -132,8 +132,8 @@ def aged_passwords(user_base: DataFrame, as_of: str, days: int = 90) -> DataFram
 
 
 def elevated_privileges(pwfile_users: DataFrame, role_privs: DataFrame, exclude_sys: bool = True) -> DataFrame:
-    """SYSDBA holders and DBA role grantees."""
-    a = pwfile_users.filter(F.col("sysdba") == "TRUE")
+    """Password-file users (listed as SYSDBA) and DBA role grantees."""
+    a = pwfile_users
     if exclude_sys:
         a = a.filter(F.col("username") != "SYS")
     a = a.select("db_name", F.lit("SYSDBA").alias("privilege"), F.col("username").alias("grantee"))

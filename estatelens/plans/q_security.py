@@ -99,7 +99,7 @@ def q_aged_passwords(R):
 
 
 @register("elevated_privileges", """
-SELECT db_name, 'SYSDBA' AS privilege, username AS grantee FROM cat_pwfile_users WHERE sysdba = 'TRUE' AND username <> 'SYS'
+SELECT db_name, 'SYSDBA' AS privilege, username AS grantee FROM cat_pwfile_users WHERE username <> 'SYS'
 UNION ALL
 SELECT db_name, 'DBA', grantee FROM cat_role_privs WHERE granted_role = 'DBA' AND grantee NOT LIKE 'SYS%'""")
 def q_elevated_privileges(R):
