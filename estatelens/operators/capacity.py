@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from estatelens.functions.findings import finding
 from estatelens.functions.sqlcompat import nz_concat, quoted, trunc_toward_zero
+from estatelens.functions.fleet import per_database
 
 MB = 1024 * 1024
 GB = 1024 * MB
@@ -115,7 +116,7 @@ def small_increment(data_files: DataFrame, parameters: DataFrame, threshold: int
     proposed increment is 20M on blocks above 8 KiB, else 10M."""
     bs = block_size(parameters)
     f = (data_files.filter((F.col("increment_by") < threshold) & _user_tablespace(F.col("tablespace_name")))
-         .join(bs, "db_name", "left"))
+         .join(per_database(bs), "db_name", "left"))
     next_ext = F.when(F.col("block_size") > 8192, "20M").otherwise("10M")
     return finding(
         f, "small_increment", owner=F.lit(None), object_name="file_name",
@@ -140,7 +141,7 @@ def reclaimable_space(data_files: DataFrame, extents: DataFrame, parameters: Dat
     bs = block_size(parameters)
     f = (data_files.filter(_user_tablespace(F.col("tablespace_name")))
          .join(hwm, ["db_name", "file_id"], "left")
-         .join(bs, "db_name", "left"))
+         .join(per_database(bs), "db_name", "left"))
     hwm_mb = F.ceil(F.coalesce(F.col("hwm"), F.lit(1)) * F.col("block_size") / MB)
     shrunk = hwm_mb + slack_mb
     keep = F.ceil(F.col("blocks") * F.col("block_size") / MB) - hwm_mb > min_mb

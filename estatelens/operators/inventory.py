@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from estatelens.functions.findings import not_internal
 from estatelens.functions.sqlcompat import nz_concat
+from estatelens.functions.fleet import per_database
 
 # Owners left out of the sequence section of a state capture.
 STATE_SEQ_EXCLUDE = ("SYS", "SYSTEM", "DBSNMP")
@@ -65,7 +66,7 @@ def inv_profiles_directories(sql_profiles: DataFrame, directories: DataFrame) ->
 
 
 def inv_containers(containers: DataFrame, instance: DataFrame) -> DataFrame:
-    c = containers.join(instance.select("db_name", "host_name"), "db_name", "left")
+    c = containers.join(per_database(instance.select("db_name", "host_name")), "db_name", "left")
     a = _lines(c, _line("name", "con_id", "host_name", "db_name", "open_mode", sep=" "))
     b = _lines(containers.filter(~F.col("name").isin(list(ROOT_CONTAINERS))), nz_concat("PDB: ", F.col("name")))
     return _union(a, b).distinct()

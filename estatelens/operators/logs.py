@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from estatelens.functions.fleet import per_database
 
 HOUR_MICROS = 3600 * 1000000
 
@@ -31,7 +32,7 @@ def redo_rate_history(recovery_dest: DataFrame, archived_log: DataFrame, hours:
     rate = hourly.withColumn("redo_bytes_per_hour", F.sum("redo_bytes").over(w) / hours)
     free = F.col("space_limit") - F.col("space_used") - F.col("space_reclaimable")
     lim = F.col("space_limit")
-    return (rate.join(recovery_dest, "db_name", "inner")
+    return (rate.join(per_database(recovery_dest), "db_name", "inner")
             .select("db_name",
                     F.timestamp_micros((F.col("hr") + 1) * HOUR_MICROS).cast("timestamp_ntz").alias("reading_ts"),
                     F.round(F.try_divide(F.col("space_used"), lim) * 100, 0).alias("pct_used"),

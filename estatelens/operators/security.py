@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from estatelens.functions.findings import finding, not_internal
 from estatelens.functions.sqlcompat import before_last, nz_concat
+from estatelens.functions.fleet import per_database
 
 # Object privileges regarded as excessive between schemas.
 RISKY_PRIVILEGES = ("ON COMMIT REFRESH", "FLASHBACK", "QUERY REWRITE", "INDEX", "DEBUG", "ALTER")
@@ -117,7 +118,7 @@ def default_passwords(users_defpwd: DataFrame, exclude=DEFAULT_PWD_EXCLUDE) -> D
 def wrong_temp_tablespace(users: DataFrame, db_properties: DataFrame) -> DataFrame:
     dflt = (db_properties.filter(F.col("property_name") == "DEFAULT_TEMP_TABLESPACE")
             .select("db_name", F.col("property_value").alias("default_temp")))
-    f = users.join(dflt, "db_name", "inner").filter(F.col("temporary_tablespace") != F.col("default_temp"))
+    f = users.join(per_database(dflt), "db_name", "inner").filter(F.col("temporary_tablespace") != F.col("default_temp"))
     return finding(f, "wrong_temp_tablespace", owner="username", object_name="username",
                    detail=F.col("temporary_tablespace"),
                    remedy=nz_concat("alter user ", F.col("username"), " temporary tablespace ", F.col("default_temp"), ";"))

@@ -126,19 +126,22 @@ def q_stale_dependents(R):
 
 
 @_finding("dependency_mismatch", """
-WITH e AS (
-  SELECT dep.db_name, d.owner AS d_owner, d.name AS d_name, p.owner AS p_owner, p.name AS p_name
-  FROM cat_obj_dependency dep
-  JOIN cat_obj_dict d ON d.db_name = dep.db_name AND d.obj_id = dep.d_obj
-  JOIN cat_obj_dict p ON p.db_name = dep.db_name AND p.obj_id = dep.p_obj
-  WHERE d.status = 1 AND (dep.property & 1) = 1
-    AND NOT (p.type_id = 32 AND d.type_id = 1) AND NOT (p.type_id = 29 AND d.type_id = 5)
-    AND NOT (p.type_id IN (5, 13) AND d.type_id IN (2, 55))
-    AND (p.status NOT IN (1, 2, 4) OR p.stime <> dep.p_timestamp)),
-n AS (SELECT db_name, d_owner AS owner, d_name AS object_name FROM e UNION SELECT db_name, p_owner, p_name FROM e)
+WITH dd AS MATERIALIZED (
+  SELECT dep.db_name, dep.p_obj, dep.p_timestamp, d.owner AS d_owner, d.name AS d_name, d.type_id AS d_type
+  FROM cat_obj_dependency dep JOIN cat_obj_dict d ON d.db_name = dep.db_name AND d.obj_id = dep.d_obj
+  WHERE d.status = 1 AND (dep.property & 1) = 1),
+e AS (
+  SELECT dd.db_name, dd.d_owner, dd.d_name, p.owner AS p_owner, p.name AS p_name
+  FROM dd JOIN cat_obj_dict p ON p.db_name = dd.db_name AND p.obj_id = dd.p_obj
+  WHERE NOT (p.type_id = 32 AND dd.d_type = 1) AND NOT (p.type_id = 29 AND dd.d_type = 5)
+    AND NOT (p.type_id IN (5, 13) AND dd.d_type IN (2, 55))
+    AND (p.status NOT IN (1, 2, 4) OR p.stime <> dd.p_timestamp)),
+n AS (SELECT DISTINCT db_name, owner, object_name FROM (
+        SELECT db_name, d_owner AS owner, d_name AS object_name FROM e
+        UNION ALL SELECT db_name, p_owner, p_name FROM e) u)
 SELECT DISTINCT 'dependency_mismatch' AS rule_id, o.db_name, o.owner, o.object_name, CAST(NULL AS VARCHAR) AS detail,
   'alter ' || o.object_type || ' ' || o.owner || '.' || o.object_name || ' compile;' AS remedy
-FROM cat_objects o WHERE EXISTS (SELECT 1 FROM n WHERE n.db_name = o.db_name AND n.owner = o.owner AND n.object_name = o.object_name)""")
+FROM cat_objects o JOIN n ON n.db_name = o.db_name AND n.owner = o.owner AND n.object_name = o.object_name""")
 def q_dependency_mismatch(R):
     return h.dependency_mismatch(R.objects, R.obj_dict, R.obj_dependency)
 

@@ -92,16 +92,24 @@ def q_decode_index_usage(R):
     return ob.decode_index_usage(R.ind_flags, R.object_usage, R.dict_objects)
 
 
-_FK = """fk AS (
-  SELECT DISTINCT ic.db_name, ic.index_owner AS owner, ic.index_name FROM cat_ind_columns ic
-  WHERE EXISTS (
-    SELECT 1 FROM cat_constraints c
-    JOIN cat_constraints r ON r.db_name = c.db_name AND r.owner = c.r_owner AND r.constraint_name = c.r_constraint_name
-    JOIN cat_cons_columns cc ON cc.db_name = c.db_name AND cc.owner = c.owner AND cc.constraint_name = c.constraint_name
-    JOIN cat_cons_columns rc ON rc.db_name = r.db_name AND rc.owner = r.owner AND rc.constraint_name = r.constraint_name
-      AND rc.position = cc.position
-    WHERE c.constraint_type = 'R' AND c.db_name = ic.db_name AND c.owner = ic.table_owner AND c.table_name = ic.table_name
-      AND cc.column_name = ic.column_name AND cc.position = ic.column_position))"""
+# Staged (MATERIALIZED) so no engine can join two catalog copies on
+# db_name alone; each step joins on the full key.
+_FK = """cr AS MATERIALIZED (
+  SELECT c.db_name, c.owner, c.table_name, c.constraint_name, r.owner AS r_owner, r.constraint_name AS r_constraint_name
+  FROM cat_constraints c
+  JOIN cat_constraints r ON r.db_name = c.db_name AND r.owner = c.r_owner AND r.constraint_name = c.r_constraint_name
+  WHERE c.constraint_type = 'R'),
+crc AS MATERIALIZED (
+  SELECT cr.*, cc.column_name, cc.position
+  FROM cr JOIN cat_cons_columns cc ON cc.db_name = cr.db_name AND cc.owner = cr.owner AND cc.constraint_name = cr.constraint_name),
+fk_cols AS MATERIALIZED (
+  SELECT DISTINCT crc.db_name, crc.owner AS table_owner, crc.table_name, crc.column_name, crc.position
+  FROM crc JOIN cat_cons_columns rc ON rc.db_name = crc.db_name AND rc.owner = crc.r_owner
+    AND rc.constraint_name = crc.r_constraint_name AND rc.position = crc.position),
+fk AS (
+  SELECT DISTINCT ic.db_name, ic.index_owner AS owner, ic.index_name
+  FROM cat_ind_columns ic JOIN fk_cols f ON f.db_name = ic.db_name AND f.table_owner = ic.table_owner
+    AND f.table_name = ic.table_name AND f.column_name = ic.column_name AND f.position = ic.column_position)"""
 
 
 @register("unmonitored_indexes", f"""

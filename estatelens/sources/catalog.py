@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estatelens.session import checkpoint_dir
+from estatelens.functions.fleet import per_database
 
 # Columns an operator may rely on, per role (FIXTURES.md §1); a snapshot
 # missing any of them is rejected on read.
@@ -90,7 +91,7 @@ def fleet_select(df: DataFrame, databases: DataFrame, parameters: DataFrame, lis
         keep = keep.filter(~F.coalesce(F.col("database_role").like("%STANDBY"), F.lit(False)))
     if drop_clones:
         keep = keep.filter(~F.coalesce(F.col("is_clone"), F.lit(False)))
-    return df.join(keep.select("db_name").distinct(), "db_name", "left_semi")
+    return df.join(per_database(keep.select("db_name").distinct()), "db_name", "left_semi")
 
 
 def parameter_value(parameters: DataFrame, name: str, cast: str = "string") -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from estatelens.functions.fleet import per_database
 
 ARCHIVED_LOG_SCHEMA = T.StructType([
     T.StructField("db_name", T.StringType()),
@@ -69,8 +70,8 @@ def with_runway(windows: DataFrame, recovery_dest: DataFrame) -> DataFrame:
     """Add the hours of runway each window's rate leaves in the recovery
     area (stream-static join on the per-database sizes)."""
     free = F.col("space_limit") - F.col("space_used") - F.col("space_reclaimable")
-    return (windows.join(recovery_dest.select("db_name", "space_limit", "space_used", "space_reclaimable"),
-                         "db_name", "left")
+    return (windows.join(per_database(recovery_dest.select("db_name", "space_limit", "space_used",
+                                                           "space_reclaimable")), "db_name", "left")
             .select("db_name", "window_start", "window_end", "redo_bytes", "redo_bytes_per_hour",
                     F.round(F.try_divide(free, F.col("redo_bytes_per_hour")), 1).alias("runway_hours")))
 

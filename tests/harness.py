@@ -13,7 +13,13 @@ from estatelens.sources.roles import DRIVER_TABLES
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    import tempfile
     con = duckdb.connect()
+    # spill into a fresh scratch folder, never into the working directory
+    con.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='duck-spill-')}'")
+    # a runaway oracle plan fails fast instead of filling the disk
+    con.execute("SET max_temp_directory_size = '4GB'")
+    con.execute("SET memory_limit = '8GB'")
     for t in DRIVER_TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
