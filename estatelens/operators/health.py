@@ -64,7 +64,7 @@ def deprecated_type_columns(columns: DataFrame, internal_owners: DataFrame, data
                    detail=nz_concat(data_type, " column ", F.col("column_name")))
 
 
-def unusable_indexes(indexes: DataFrame, ind_partitions: DataFrame, ignore=()) -> DataFrame:
+def unusable_indexes(indexes: DataFrame, ind_partitions: DataFrame, ignore=(), ordered: bool = True) -> DataFrame:
     """Rebuild remedies for unusable indexes and index partitions; unique
     ones first. Partitions take uniqueness from their index when known."""
     ix = indexes.filter(F.col("status") == "UNUSABLE")
@@ -79,7 +79,9 @@ def unusable_indexes(indexes: DataFrame, ind_partitions: DataFrame, ignore=()) -
          .select("db_name", F.col("index_owner").alias("owner"), "index_name", "partition_name", "uniqueness",
                  nz_concat("alter index ", _dot("index_owner", "index_name"), " rebuild partition ",
                            F.col("partition_name"), " nologging online;").alias("remedy")))
-    u = a.unionByName(b).distinct().orderBy(F.col("uniqueness").desc_nulls_first())
+    u = a.unionByName(b).distinct()
+    if ordered:
+        u = u.orderBy(F.col("uniqueness").desc_nulls_first())
     return finding(u, "unusable_index", owner="owner", object_name="index_name",
                    detail=nz_concat("uniqueness=", F.col("uniqueness")), remedy="remedy")
 
@@ -233,7 +235,7 @@ def _extra(df, owners, max_rows, predicate, owner_col):
 
 def stale_table_stats(tables: DataFrame, tab_stats: DataFrame, externals: DataFrame, as_of: str,
                       age_days: int = 30, owners: DataFrame | None = None, max_rows: int | None = None,
-                      predicate: str | None = None) -> DataFrame:
+                      predicate: str | None = None, ordered: bool = True) -> DataFrame:
     """Tables never analysed or analysed more than ``age_days`` before
     ``as_of``; not temporary/secondary/external/locked. Without ``owners``
     (users of a profile) every non-system owner is checked. Smallest first."""
@@ -244,7 +246,9 @@ def stale_table_stats(tables: DataFrame, tab_stats: DataFrame, externals: DataFr
     if owners is None:
         t = t.filter(~F.col("owner").like("%SYS%") & (F.col("owner") != "XDB"))
     t = _extra(t, owners, max_rows, predicate, "owner")
-    t = _stats_gate(t, "owner", tab_stats, externals, part=False).orderBy(F.col("num_rows").asc_nulls_last())
+    t = _stats_gate(t, "owner", tab_stats, externals, part=False)
+    if ordered:
+        t = t.orderBy(F.col("num_rows").asc_nulls_last())
     return finding(t, "stale_table_stats", owner="owner", object_name="table_name",
                    detail=nz_concat("num_rows=", F.col("num_rows").cast("string")),
                    remedy=nz_concat("exec DBMS_STATS.GATHER_TABLE_STATS(", quoted(F.col("owner")), ",",

@@ -83,14 +83,15 @@ def missing_grant_option(dependencies: DataFrame, tab_privs: DataFrame, objects:
 
 
 def excessive_grants(tab_privs: DataFrame, users: DataFrame, internal_owners: DataFrame,
-                     privileges=RISKY_PRIVILEGES) -> DataFrame:
+                     privileges=RISKY_PRIVILEGES, ordered: bool = True) -> DataFrame:
     """Risky object privileges granted between non-internal user schemas."""
     io = internal_owners.select(F.col("owner").alias("grantee")).distinct()
     p = (tab_privs.filter((F.col("grantee") != F.col("owner")) & ~F.col("grantee").like("APEX%")
                           & F.col("privilege").isin(list(privileges)))
          .join(users.select("db_name", F.col("username").alias("owner")).distinct(), ["db_name", "owner"], "left_semi"))
     p = not_internal(p, internal_owners).join(F.broadcast(io), "grantee", "left_anti")
-    p = p.orderBy("grantee", "owner", "table_name", "privilege")
+    if ordered:
+        p = p.orderBy("grantee", "owner", "table_name", "privilege")
     return finding(p, "excessive_grant", owner="owner", object_name="table_name",
                    detail=nz_concat(F.col("privilege"), " to ", F.col("grantee")),
                    remedy=nz_concat("revoke ", F.col("privilege"), " on ", F.col("owner"), '."', F.col("table_name"),
