@@ -358,14 +358,16 @@ def row_movement_candidates(tables: DataFrame, mviews: DataFrame, mview_logs: Da
 
 def shrink_candidates(tables: DataFrame, mviews: DataFrame, mview_logs: DataFrame, indexes: DataFrame,
                       exclude_owners=SHRINK_EXCLUDE, max_rows=None, predicate=None,
-                      compact: bool = False, cascade: bool = True) -> DataFrame:
+                      compact: bool = False, cascade: bool = True, ordered: bool = True) -> DataFrame:
     t = tables.filter((F.col("row_movement") == "ENABLED") & (F.col("segment_created") == "YES")
                       & F.col("iot_type").isNull() & (F.col("temporary") == "N") & (F.col("partitioned") == "NO")
                       & (F.col("compression") == "DISABLED") & (F.col("read_only") == "NO")
                       & ~F.col("owner").like("%SYS%") & ~F.col("owner").isin(list(exclude_owners)))
     t = _fbi_free(_mview_free(_opt(t, max_rows, predicate), mviews, mview_logs, "owner"), indexes, "owner")
     opts = (" COMPACT" if compact else "") + (" CASCADE" if cascade else "")
-    return (t.orderBy(F.col("num_rows").asc_nulls_last())
+    if ordered:                       # smallest tables first, as the plan runs
+        t = t.orderBy(F.col("num_rows").asc_nulls_last())
+    return (t
             .select("db_name", "owner", "table_name", "num_rows",
                     nz_concat("alter table ", F.col("owner"), '."', F.col("table_name"), '" shrink space', opts, ";")
                     .alias("remedy")))
@@ -373,7 +375,7 @@ def shrink_candidates(tables: DataFrame, mviews: DataFrame, mview_logs: DataFram
 
 def shrink_partition_candidates(tab_partitions: DataFrame, tables: DataFrame, mviews: DataFrame,
                                 mview_logs: DataFrame, indexes: DataFrame, exclude_owners=SHRINK_EXCLUDE,
-                                predicate=None) -> DataFrame:
+                                predicate=None, ordered: bool = True) -> DataFrame:
     parents = tables.filter(F.col("iot_type").isNull() & (F.col("temporary") == "N")
                             & ~F.col("owner").like("%SYS%") & ~F.col("owner").isin(list(exclude_owners)))
     parents = _mview_free(_opt(parents, None, predicate), mviews, mview_logs, "owner") \
@@ -382,7 +384,9 @@ def shrink_partition_candidates(tab_partitions: DataFrame, tables: DataFrame, mv
                                & ~F.col("partition_name").like("%0000"))
          .join(parents, ["db_name", "table_owner", "table_name"], "left_semi"))
     p = _fbi_free(_mview_free(p, mviews, mview_logs, "table_owner"), indexes, "table_owner")
-    return (p.orderBy(F.col("num_rows").asc_nulls_last())
+    if ordered:
+        p = p.orderBy(F.col("num_rows").asc_nulls_last())
+    return (p
             .select("db_name", "table_owner", "table_name", "partition_name", "num_rows",
                     nz_concat("alter table ", F.col("table_owner"), ".", F.col("table_name"), " modify partition ",
                               F.col("partition_name"), " shrink space;").alias("remedy")))
