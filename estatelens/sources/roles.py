@@ -564,18 +564,25 @@ def driver_tables_of(sql: str) -> set[str]:
 
 # Analysed DataFrames per (session, data dir, name). Only plans are kept:
 # nothing is cached in memory, so every action still reads the files.
-_PLANS: dict[tuple, DataFrame] = {}
+_PLANS: dict[tuple, tuple] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (id(spark._jsparkSession), os.path.abspath(sf_dir), name)
+    return (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), name)
+
+
+def _cached(spark: SparkSession, key: tuple):
+    hit = _PLANS.get(key)
+    return hit[1] if hit is not None and hit[0] is spark else None
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     k = _key(spark, sf_dir, "driver:" + name)
-    if k not in _PLANS:
-        _PLANS[k] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return _PLANS[k]
+    df = _cached(spark, k)
+    if df is None:
+        df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+        _PLANS[k] = (spark, df)
+    return df
 
 
 def register_driver_tables(spark: SparkSession, sf_dir: str, names) -> None:
@@ -587,11 +594,13 @@ def register_driver_tables(spark: SparkSession, sf_dir: str, names) -> None:
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One catalog role as a DataFrame over the driver tables."""
     k = _key(spark, sf_dir, "role:" + name)
-    if k not in _PLANS:
+    df = _cached(spark, k)
+    if df is None:
         sql = ROLE_SQL[name]
         register_driver_tables(spark, sf_dir, driver_tables_of(sql))
-        _PLANS[k] = spark.sql(sql)
-    return _PLANS[k]
+        df = spark.sql(sql)
+        _PLANS[k] = (spark, df)
+    return df
 
 
 class Roles:
