@@ -51,7 +51,7 @@ def scan_catalog(spark: SparkSession, path: str, role: str, databases=None) -> D
     missing = [c for c in need if c not in df.columns]
     if missing:
         raise ValueError(f"{role} snapshot at {path} lacks columns {missing}")
-    if databases is not None:
+    if databases is not None and "db_name" in df.columns:
         df = df.filter(F.col("db_name").isin(list(databases)))
     return df
 
