@@ -168,9 +168,10 @@ def dependency_mismatch(objects: DataFrame, obj_dict: DataFrame, obj_dependency:
          # six fixed rows: broadcast is bounded by construction
          .join(F.broadcast(exempt_pairs(spark)), ["p_type", "d_type"], "left_anti")
          .filter(~F.col("p_status").isin(HEALTHY_PARENT_STATUS) | (F.col("p_stime") != F.col("p_timestamp"))))
-    names = (e.select("db_name", F.col("d_owner").alias("owner"), F.col("d_name").alias("object_name"))
-             .unionByName(e.select("db_name", F.col("p_owner").alias("owner"), F.col("p_name").alias("object_name")))
-             .distinct())
+    # both ends of every edge from one pass over the joined edges
+    ends = F.explode(F.array(F.struct(F.col("d_owner").alias("owner"), F.col("d_name").alias("object_name")),
+                             F.struct(F.col("p_owner").alias("owner"), F.col("p_name").alias("object_name"))))
+    names = e.select("db_name", ends.alias("o")).select("db_name", "o.owner", "o.object_name").distinct()
     f = objects.join(names, ["db_name", "owner", "object_name"], "left_semi")
     out = finding(f, "dependency_mismatch", owner="owner", object_name="object_name",
                   remedy=nz_concat("alter ", F.col("object_type"), " ", _dot("owner", "object_name"), " compile;"))
