@@ -37,13 +37,14 @@ def constraint_toggle_plan(constraints: DataFrame, owner: str | None = None, sta
         c = c.filter(F.col("owner") == owner)
     if status is not None:
         c = c.filter(F.col("status") == status)
-    dis = c.select("db_name", "owner", "table_name", "constraint_name", F.lit("disable").alias("action"),
-                   nz_concat("alter table ", F.col("owner"), '."', F.col("table_name"), '" disable constraint ',
-                             F.col("constraint_name"), ";").alias("remedy"))
-    ena = c.select("db_name", "owner", "table_name", "constraint_name", F.lit("enable").alias("action"),
-                   nz_concat("alter table ", F.col("owner"), ".", F.col("table_name"), " enable constraint ",
-                             F.col("constraint_name"), ";").alias("remedy"))
-    return dis.unionByName(ena)
+    dis = nz_concat("alter table ", F.col("owner"), '."', F.col("table_name"), '" disable constraint ',
+                    F.col("constraint_name"), ";")
+    ena = nz_concat("alter table ", F.col("owner"), ".", F.col("table_name"), " enable constraint ",
+                    F.col("constraint_name"), ";")
+    both = F.explode(F.array(F.struct(F.lit("disable").alias("action"), dis.alias("remedy")),
+                             F.struct(F.lit("enable").alias("action"), ena.alias("remedy"))))
+    return (c.select("db_name", "owner", "table_name", "constraint_name", both.alias("x"))
+            .select("db_name", "owner", "table_name", "constraint_name", "x.action", "x.remedy"))
 
 
 def _key_owners(c: DataFrame, exclude) -> DataFrame:
@@ -66,13 +67,14 @@ def unique_key_rename_plan(constraints: DataFrame, cons_columns: DataFrame, excl
     w = Window.partitionBy("db_name", "owner", "table_name").orderBy(F.col("first_column").asc_nulls_last(), "constraint_name")
     k = k.withColumn("n", F.row_number().over(w)).withColumn(
         "new_name", nz_concat("UK", F.col("n").cast("string"), "_", F.col("table_name")))
-    con = k.select("db_name", "owner", "table_name", "constraint_name", "new_name", F.lit("constraint").alias("target"),
-                   nz_concat("ALTER TABLE ", F.col("owner"), ".", F.col("table_name"), " RENAME CONSTRAINT ",
-                             F.col("constraint_name"), " TO ", F.col("new_name"), ";").alias("remedy"))
-    idx = k.select("db_name", "owner", "table_name", "constraint_name", "new_name", F.lit("index").alias("target"),
-                   nz_concat("ALTER INDEX ", F.col("owner"), ".", F.col("index_name"), " RENAME TO ",
-                             F.col("new_name"), ";").alias("remedy"))
-    return con.unionByName(idx)
+    con = nz_concat("ALTER TABLE ", F.col("owner"), ".", F.col("table_name"), " RENAME CONSTRAINT ",
+                    F.col("constraint_name"), " TO ", F.col("new_name"), ";")
+    idx = nz_concat("ALTER INDEX ", F.col("owner"), ".", F.col("index_name"), " RENAME TO ", F.col("new_name"), ";")
+    both = F.explode(F.array(F.struct(F.lit("constraint").alias("target"), con.alias("remedy")),
+                             F.struct(F.lit("index").alias("target"), idx.alias("remedy"))))
+    # one pass over the numbered keys emits both renames
+    return (k.select("db_name", "owner", "table_name", "constraint_name", "new_name", both.alias("x"))
+            .select("db_name", "owner", "table_name", "constraint_name", "new_name", "x.target", "x.remedy"))
 
 
 def key_rename_plan(constraints: DataFrame, exclude_owners=KEY_RENAME_EXCLUDE, max_len: int = 27) -> DataFrame:
@@ -95,27 +97,24 @@ def key_rename_plan(constraints: DataFrame, exclude_owners=KEY_RENAME_EXCLUDE, m
 def job_toggle_plan(scheduler_jobs: DataFrame, jobs: DataFrame) -> DataFrame:
     """Disable / enable remedies for scheduler and legacy jobs that are
     enabled now, and stop remedies for enabled scheduler jobs running now."""
-    sj = scheduler_jobs.filter(F.col("enabled") == "TRUE")
     name = nz_concat(F.col("owner"), ".", F.col("job_name"))
-    lj = jobs.filter(F.col("broken") == "N")
     jid = F.col("job").cast("string")
-    parts = [
-        sj.select("db_name", F.lit("disable").alias("phase"), F.lit("scheduler").alias("kind"), name.alias("job"),
-                  nz_concat("exec sys.dbms_scheduler.disable(", _q(name), ")").alias("command")),
-        lj.select("db_name", F.lit("disable").alias("phase"), F.lit("job").alias("kind"), jid.alias("job"),
-                  nz_concat("exec sys.dbms_ijob.broken(", jid, ", TRUE)").alias("command")),
-        sj.filter(F.col("state") == "RUNNING").select(
-            "db_name", F.lit("stop").alias("phase"), F.lit("scheduler").alias("kind"), name.alias("job"),
-            nz_concat("exec sys.dbms_scheduler.stop_job(", _q(name), ", TRUE)").alias("command")),
-        sj.select("db_name", F.lit("enable").alias("phase"), F.lit("scheduler").alias("kind"), name.alias("job"),
-                  nz_concat("exec sys.dbms_scheduler.enable(", _q(name), ")").alias("command")),
-        lj.select("db_name", F.lit("enable").alias("phase"), F.lit("job").alias("kind"), jid.alias("job"),
-                  nz_concat("exec sys.dbms_ijob.broken(", jid, ", FALSE)").alias("command")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def cmd(phase, text):
+        return F.struct(F.lit(phase).alias("phase"), text.alias("command"))
+    sched = F.array(cmd("disable", nz_concat("exec sys.dbms_scheduler.disable(", _q(name), ")")),
+                    cmd("stop", F.when(F.col("state") == "RUNNING",
+                                       nz_concat("exec sys.dbms_scheduler.stop_job(", _q(name), ", TRUE)"))),
+                    cmd("enable", nz_concat("exec sys.dbms_scheduler.enable(", _q(name), ")")))
+    legacy = F.array(cmd("disable", nz_concat("exec sys.dbms_ijob.broken(", jid, ", TRUE)")),
+                     cmd("enable", nz_concat("exec sys.dbms_ijob.broken(", jid, ", FALSE)")))
+    # each job row is read once and emits its commands
+    a = (scheduler_jobs.filter(F.col("enabled") == "TRUE")
+         .select("db_name", F.lit("scheduler").alias("kind"), name.alias("job"), F.explode(sched).alias("x")))
+    b = (jobs.filter(F.col("broken") == "N")
+         .select("db_name", F.lit("job").alias("kind"), jid.alias("job"), F.explode(legacy).alias("x")))
+    return (a.unionByName(b).filter(F.col("x.command").isNotNull())
+            .select("db_name", "x.phase", "kind", "job", "x.command"))
 
 
 def job_counts(scheduler_jobs: DataFrame, jobs: DataFrame) -> DataFrame:
