@@ -174,13 +174,15 @@ def partition_rename_plan(tab_partitions: DataFrame, part_tables: DataFrame, int
     high value minus one unit. Rules apply in order and the first rule
     that selects the table and parses the high value wins (a bad value
     yields no plan, S11). Only rows whose name changes are kept."""
-    io = internal_owners.select(F.col("owner").alias("table_owner"), F.lit(True).alias("__internal")).distinct()
+    io = F.broadcast(internal_owners.select(F.col("owner").alias("table_owner")))   # built-in schema list
     pt = part_tables.select("db_name", F.col("owner").alias("table_owner"), "table_name",
                             F.col("interval").alias("__interval")).distinct()
-    p = (tab_partitions.filter(F.col("partition_name").like("SYS%"))
-         .join(F.broadcast(io), "table_owner", "left")
-         .join(pt, ["db_name", "table_owner", "table_name"], "left")
-         .withColumn("__internal", F.coalesce("__internal", F.lit(False))))
+    sysp = tab_partitions.filter(F.col("partition_name").like("SYS%"))
+    # internal flag by semi/anti split: keyed hash joins, or existence
+    # checks where the owner is a constant, never an unkeyed outer join
+    flagged = (sysp.join(io, "table_owner", "left_semi").withColumn("__internal", F.lit(True))
+               .unionByName(sysp.join(io, "table_owner", "left_anti").withColumn("__internal", F.lit(False))))
+    p = flagged.join(pt, ["db_name", "table_owner", "table_name"], "left")
     hv, tn = F.col("high_value"), F.col("table_name")
     new = None
     for r in rules:
