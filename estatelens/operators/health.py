@@ -236,7 +236,7 @@ def _extra(df, owners, max_rows, predicate, owner_col):
 
 def stale_table_stats(tables: DataFrame, tab_stats: DataFrame, externals: DataFrame, as_of: str,
                       age_days: int = 30, owners: DataFrame | None = None, max_rows: int | None = None,
-                      predicate: str | None = None, ordered: bool = True) -> DataFrame:
+                      predicate: str | None = None, ordered: bool = True, cascade: bool = False) -> DataFrame:
     """Tables never analysed or analysed more than ``age_days`` before
     ``as_of``; not temporary/secondary/external/locked. Without ``owners``
     (users of a profile) every non-system owner is checked. Smallest first."""
@@ -252,8 +252,17 @@ def stale_table_stats(tables: DataFrame, tab_stats: DataFrame, externals: DataFr
         t = t.orderBy(F.col("num_rows").asc_nulls_last())
     return finding(t, "stale_table_stats", owner="owner", object_name="table_name",
                    detail=nz_concat("num_rows=", F.col("num_rows").cast("string")),
-                   remedy=nz_concat("exec DBMS_STATS.GATHER_TABLE_STATS(", quoted(F.col("owner")), ",",
-                                    quoted(F.col("table_name")), ");"))
+                   remedy=_gather_remedy(cascade))
+
+
+def _gather_remedy(cascade: bool):
+    """Health-check form, or (``cascade``) the stats-gathering plan's form
+    with a quoted table name and dependent indexes included."""
+    if cascade:
+        return nz_concat("exec DBMS_STATS.GATHER_TABLE_STATS(", quoted(F.col("owner")), ",'\"",
+                         F.col("table_name"), "\"',CASCADE=>TRUE);")
+    return nz_concat("exec DBMS_STATS.GATHER_TABLE_STATS(", quoted(F.col("owner")), ",",
+                     quoted(F.col("table_name")), ");")
 
 
 def unanalyzed_partitions(tab_partitions: DataFrame, tab_stats: DataFrame, externals: DataFrame,

@@ -90,3 +90,20 @@ def test_reconcile_detects_difference(spark):
     c = s.filter(F.col("k") == 1)
     res = {r.grp.month: r.matches for r in pa.reconcile_counts(s, c, by=pa.month_of(F.col("d")), check_cols=["k"]).collect()}
     assert res == {1: True, 2: False}
+
+
+def test_stale_stats_profile_owners_and_cascade(spark):
+    from estatelens.operators import health as h
+    tables = spark.createDataFrame(
+        [("D", "APPU", "T1", 5, None, "N", "N", "YES"), ("D", "OTHER", "T2", 5, None, "N", "N", "YES"),
+         ("D", "APPU", "T3", 5, dt.datetime(2024, 1, 30), "N", "N", "YES")],
+        "db_name string, owner string, table_name string, num_rows long, last_analyzed timestamp_ntz, "
+        "temporary string, secondary string, segment_created string")
+    stats = spark.createDataFrame([("D", "APPU", "T1", None, None), ("D", "OTHER", "T2", None, None),
+                                   ("D", "APPU", "T3", None, None)],
+                                  "db_name string, owner string, table_name string, partition_name string, "
+                                  "stattype_locked string")
+    ext = spark.createDataFrame([], "db_name string, owner string, name string")
+    owners = spark.createDataFrame([("D", "APPU")], "db_name string, username string")
+    rows = h.stale_table_stats(tables, stats, ext, "2024-01-31 00:00:00", owners=owners, cascade=True).collect()
+    assert [r.remedy for r in rows] == ["exec DBMS_STATS.GATHER_TABLE_STATS('APPU','\"T1\"',CASCADE=>TRUE);"]
