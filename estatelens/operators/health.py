@@ -64,7 +64,7 @@ def deprecated_type_columns(columns: DataFrame, internal_owners: DataFrame, data
                    detail=nz_concat(data_type, " column ", F.col("column_name")))
 
 
-def unusable_indexes(indexes: DataFrame, ind_partitions: DataFrame, ignore=(), ordered: bool = True) -> DataFrame:
+def unusable_indexes(indexes: DataFrame, ind_partitions: DataFrame, ignore=(), ordered: bool = False) -> DataFrame:
     """Rebuild remedies for unusable indexes and index partitions; unique
     ones first. Partitions take uniqueness from their index when known."""
     ix = indexes.filter(F.col("status") == "UNUSABLE")
@@ -236,7 +236,7 @@ def _extra(df, owners, max_rows, predicate, owner_col):
 
 def stale_table_stats(tables: DataFrame, tab_stats: DataFrame, externals: DataFrame, as_of: str,
                       age_days: int = 30, owners: DataFrame | None = None, max_rows: int | None = None,
-                      predicate: str | None = None, ordered: bool = True, cascade: bool = False) -> DataFrame:
+                      predicate: str | None = None, ordered: bool = False, cascade: bool = False) -> DataFrame:
     """Tables never analysed or analysed more than ``age_days`` before
     ``as_of``; not temporary/secondary/external/locked. Without ``owners``
     (users of a profile) every non-system owner is checked. Smallest first."""
@@ -267,7 +267,8 @@ def _gather_remedy(cascade: bool):
 
 def unanalyzed_partitions(tab_partitions: DataFrame, tab_stats: DataFrame, externals: DataFrame,
                           owners: DataFrame | None = None, as_of: str | None = None, age_days: int | None = None,
-                          max_rows: int | None = None, predicate: str | None = None) -> DataFrame:
+                          max_rows: int | None = None, predicate: str | None = None,
+                          ordered: bool = False) -> DataFrame:
     """Partitions never analysed (optionally: or older than ``age_days``, S19)."""
     never = F.col("last_analyzed").isNull()
     if age_days is not None and as_of is not None:
@@ -275,7 +276,9 @@ def unanalyzed_partitions(tab_partitions: DataFrame, tab_stats: DataFrame, exter
         never = never | (F.col("last_analyzed") < cutoff)
     t = tab_partitions.filter((F.col("segment_created") == "YES") & never & ~F.col("table_name").like("SYS%"))
     t = _extra(t, owners, max_rows, predicate, "table_owner")
-    t = _stats_gate(t, "table_owner", tab_stats, externals, part=True).orderBy(F.col("num_rows").asc_nulls_last())
+    t = _stats_gate(t, "table_owner", tab_stats, externals, part=True)
+    if ordered:
+        t = t.orderBy(F.col("num_rows").asc_nulls_last())
     rem = nz_concat("exec DBMS_STATS.GATHER_TABLE_STATS(", quoted(F.col("table_owner")), ",'\"",
                     F.col("table_name"), "\"',", quoted(F.col("partition_name")),
                     ",granularity=>'APPROX_GLOBAL AND PARTITION',CASCADE=>TRUE);")

@@ -191,13 +191,15 @@ def stop_monitoring(index_usage: DataFrame) -> DataFrame:
     return _monitor_remedy(u, on=False)
 
 
-def unused_indexes(index_usage: DataFrame, exclude_owners=UNUSED_INDEX_EXCLUDE) -> DataFrame:
+def unused_indexes(index_usage: DataFrame, exclude_owners=UNUSED_INDEX_EXCLUDE, ordered: bool = False) -> DataFrame:
     """Monitored indexes not used since monitoring started; oldest first."""
     since = F.to_date(F.try_to_timestamp(F.col("start_monitoring"), F.lit("MM-dd-yyyy HH:mm:ss")))
     u = (index_usage.filter((F.col("used") == "NO") & (F.col("monitoring") == "YES")
                             & ~F.col("owner").isin(list(exclude_owners)))
          .withColumn("since", since))
-    return (u.orderBy(F.col("since").asc_nulls_last(), "owner", "table_name", "index_name")
+    if ordered:                               # oldest first, as the source lists them
+        u = u.orderBy(F.col("since").asc_nulls_last(), "owner", "table_name", "index_name")
+    return (u
             .select("db_name", "owner", "index_name", "table_name", "since",
                     nz_concat(F.col("owner"), ".", F.col("index_name"), " on ", F.col("table_name"),
                               " not used since ", F.date_format("since", "MM/dd/yy")).alias("line")))

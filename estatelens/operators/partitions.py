@@ -207,7 +207,7 @@ def apply_rename(tab_partitions: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def index_partition_rename(ind_partitions: DataFrame, part_indexes: DataFrame, tab_partitions: DataFrame,
-                           internal_owners: DataFrame) -> DataFrame:
+                           internal_owners: DataFrame, ordered: bool = False) -> DataFrame:
     """Local index partitions named unlike the table partition at the same position."""
     pi = part_indexes.select("db_name", F.col("owner").alias("index_owner"), "index_name",
                              F.col("owner").alias("table_owner"), "table_name")
@@ -217,11 +217,11 @@ def index_partition_rename(ind_partitions: DataFrame, part_indexes: DataFrame, t
          .join(tp, ["db_name", "table_owner", "table_name", "partition_position"], "inner")
          .filter((F.col("partition_name") != F.col("table_partition")) & ~F.col("partition_name").like("SYS_IL%")))
     j = not_internal(j, internal_owners, owner_col="table_owner")
-    return (j.select("db_name", "table_owner", "table_name", "partition_position", "index_owner", "index_name",
-                     "partition_name", F.col("table_partition").alias("new_name"),
-                     nz_concat("ALTER INDEX ", F.col("index_owner"), ".", F.col("index_name"), " RENAME PARTITION ",
-                               F.col("partition_name"), " TO ", F.col("table_partition"), ";").alias("remedy"))
-            .orderBy("db_name", "table_owner", "table_name", "partition_position", "index_name"))
+    out = j.select("db_name", "table_owner", "table_name", "partition_position", "index_owner", "index_name",
+                   "partition_name", F.col("table_partition").alias("new_name"),
+                   nz_concat("ALTER INDEX ", F.col("index_owner"), ".", F.col("index_name"), " RENAME PARTITION ",
+                             F.col("partition_name"), " TO ", F.col("table_partition"), ";").alias("remedy"))
+    return out.orderBy("db_name", "table_owner", "table_name", "partition_position", "index_name") if ordered else out
 
 
 def index_partition_colocate(tab_partitions: DataFrame, ind_partitions: DataFrame, owners) -> DataFrame:
@@ -360,7 +360,7 @@ def row_movement_candidates(tables: DataFrame, mviews: DataFrame, mview_logs: Da
 
 def shrink_candidates(tables: DataFrame, mviews: DataFrame, mview_logs: DataFrame, indexes: DataFrame,
                       exclude_owners=SHRINK_EXCLUDE, max_rows=None, predicate=None,
-                      compact: bool = False, cascade: bool = True, ordered: bool = True) -> DataFrame:
+                      compact: bool = False, cascade: bool = True, ordered: bool = False) -> DataFrame:
     t = tables.filter((F.col("row_movement") == "ENABLED") & (F.col("segment_created") == "YES")
                       & F.col("iot_type").isNull() & (F.col("temporary") == "N") & (F.col("partitioned") == "NO")
                       & (F.col("compression") == "DISABLED") & (F.col("read_only") == "NO")
@@ -377,7 +377,7 @@ def shrink_candidates(tables: DataFrame, mviews: DataFrame, mview_logs: DataFram
 
 def shrink_partition_candidates(tab_partitions: DataFrame, tables: DataFrame, mviews: DataFrame,
                                 mview_logs: DataFrame, indexes: DataFrame, exclude_owners=SHRINK_EXCLUDE,
-                                predicate=None, ordered: bool = True) -> DataFrame:
+                                predicate=None, ordered: bool = False) -> DataFrame:
     parents = tables.filter(F.col("iot_type").isNull() & (F.col("temporary") == "N")
                             & ~F.col("owner").like("%SYS%") & ~F.col("owner").isin(list(exclude_owners)))
     parents = _mview_free(_opt(parents, None, predicate), mviews, mview_logs, "owner") \

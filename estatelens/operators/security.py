@@ -83,7 +83,7 @@ def missing_grant_option(dependencies: DataFrame, tab_privs: DataFrame, objects:
 
 
 def excessive_grants(tab_privs: DataFrame, users: DataFrame, internal_owners: DataFrame,
-                     privileges=RISKY_PRIVILEGES, ordered: bool = True) -> DataFrame:
+                     privileges=RISKY_PRIVILEGES, ordered: bool = False) -> DataFrame:
     """Risky object privileges granted between non-internal user schemas."""
     io = internal_owners.select(F.col("owner").alias("grantee")).distinct()
     p = (tab_privs.filter((F.col("grantee") != F.col("owner")) & ~F.col("grantee").like("APEX%")
@@ -125,12 +125,12 @@ def wrong_temp_tablespace(users: DataFrame, db_properties: DataFrame) -> DataFra
                    remedy=nz_concat("alter user ", F.col("username"), " temporary tablespace ", F.col("default_temp"), ";"))
 
 
-def aged_passwords(user_base: DataFrame, as_of: str, days: int = 90) -> DataFrame:
+def aged_passwords(user_base: DataFrame, as_of: str, days: int = 90, ordered: bool = False) -> DataFrame:
     """Open accounts whose password is older than ``days``."""
     cutoff = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
-    return (user_base.filter((F.col("astatus") == 0) & (F.col("ptime") < cutoff))
-            .select("db_name", "name", F.col("ptime").alias("last_password_change"))
-            .orderBy("db_name", "name"))
+    out = (user_base.filter((F.col("astatus") == 0) & (F.col("ptime") < cutoff))
+           .select("db_name", "name", F.col("ptime").alias("last_password_change")))
+    return out.orderBy("db_name", "name") if ordered else out
 
 
 def elevated_privileges(pwfile_users: DataFrame, role_privs: DataFrame, exclude_sys: bool = True) -> DataFrame:
@@ -158,10 +158,11 @@ def missing_quota(segments: DataFrame, sys_privs: DataFrame, ts_quotas: DataFram
                    remedy=nz_concat("alter user ", F.col("owner"), " quota unlimited on ", F.col("tablespace_name"), ";"))
 
 
-def expiring_accounts(users: DataFrame, internal_owners: DataFrame) -> DataFrame:
+def expiring_accounts(users: DataFrame, internal_owners: DataFrame, ordered: bool = False) -> DataFrame:
     f = users.filter(F.col("expiry_date").isNotNull() & ~F.col("username").like("%SYS%"))
     f = not_internal(f, internal_owners, owner_col="username")
-    return f.select("db_name", "username", "account_status", "lock_date", "expiry_date").orderBy("db_name", "username")
+    out = f.select("db_name", "username", "account_status", "lock_date", "expiry_date")
+    return out.orderBy("db_name", "username") if ordered else out
 
 
 def role_inventory(roles: DataFrame, role_privs: DataFrame, sys_privs: DataFrame,
