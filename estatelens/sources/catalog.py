@@ -28,6 +28,7 @@ REQUIRED_COLUMNS = {
     "sysstat": ["db_name", "snap_id", "instance_number", "begin_interval_time", "stat_name", "value"],
     "objects": ["db_name", "owner", "object_name", "object_id", "object_type", "status"],
     "parameters": ["db_name", "name", "value"],
+    "internal_owners": ["owner"],          # fleet-wide list, no db_name
 }
 
 
@@ -47,7 +48,7 @@ def scan_catalog(spark: SparkSession, path: str, role: str, databases=None) -> D
     """Read one catalog role snapshot; validate its columns; optionally
     keep only ``databases`` (a partition filter)."""
     df = spark.read.parquet(path)
-    need = REQUIRED_COLUMNS.get(role, ["db_name"])
+    need = REQUIRED_COLUMNS.get(role, [])
     missing = [c for c in need if c not in df.columns]
     if missing:
         raise ValueError(f"{role} snapshot at {path} lacks columns {missing}")

@@ -25,3 +25,16 @@ def test_snapshot_roles_match_live(spark):
                  sec.missing_quota(snap.segments, snap.sys_privs, snap.ts_quotas))
     one = SnapshotRoles(spark, path, databases=["DB1"])
     assert {r.db_name for r in one.extents.select("db_name").distinct().collect()} == {"DB1"}
+
+
+def test_health_report_from_snapshots_matches_live(spark):
+    from estatelens.plans.health_report import health_report
+    live = Roles(spark, SF_SMALL)
+    path = tempfile.mkdtemp(prefix="estatelens-snap-")
+    names = ["indexes", "ind_partitions", "columns", "internal_owners", "constraints", "synonyms", "objects",
+             "tab_privs", "dependencies", "users", "tables", "tab_stats", "externals", "datapump_jobs", "obj_dict",
+             "obj_dependency", "triggers", "users_defpwd", "db_properties", "segments", "sys_privs", "ts_quotas",
+             "registry", "restore_points"]
+    write_snapshots(live, path, names)
+    snap = SnapshotRoles(spark, path)
+    assert _same(health_report(snap), health_report(live))
