@@ -34,9 +34,12 @@ def month_of(c: Column) -> Column:
     return F.trunc(F.to_date(c), "month")
 
 
+_UNITS = {"day": None, "month": "month", "year": "year"}
+
+
 def range_partition_copy(df: DataFrame, date_col: str, path: str | None = None,
-                         part_col: str = "part_month") -> DataFrame:
-    """Rewrite ``df`` into monthly partitions on ``date_col`` under
+                         part_col: str = "part_month", unit: str = "month") -> DataFrame:
+    """Rewrite ``df`` into ``unit`` (day, month or year) range partitions on ``date_col`` under
     ``path`` (default: a fresh folder below the session checkpoint dir)
     and return the copy as read back. New months appear as new folders.
     Rows are clustered by month before writing so each task writes few
@@ -44,7 +47,10 @@ def range_partition_copy(df: DataFrame, date_col: str, path: str | None = None,
     spark = df.sparkSession
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/estatelens/range_copy/{uuid.uuid4().hex}"
-    out = df.withColumn(part_col, month_of(F.col(date_col)))
+    if unit not in _UNITS:
+        raise ValueError(f"unit must be one of {sorted(_UNITS)}")
+    day = F.to_date(F.col(date_col))
+    out = df.withColumn(part_col, day if _UNITS[unit] is None else F.trunc(day, _UNITS[unit]))
     # rebalance (not repartition): AQE splits a hot month over several
     # tasks and merges small ones, so no single task writes a skewed month
     (out.hint("rebalance", part_col)

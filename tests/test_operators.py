@@ -107,3 +107,14 @@ def test_stale_stats_profile_owners_and_cascade(spark):
     owners = spark.createDataFrame([("D", "APPU")], "db_name string, username string")
     rows = h.stale_table_stats(tables, stats, ext, "2024-01-31 00:00:00", owners=owners, cascade=True).collect()
     assert [r.remedy for r in rows] == ["exec DBMS_STATS.GATHER_TABLE_STATS('APPU','\"T1\"',CASCADE=>TRUE);"]
+
+
+def test_range_copy_units(spark):
+    import tempfile
+    df = spark.createDataFrame([(1, dt.datetime(2020, 1, 5, 10)), (2, dt.datetime(2020, 3, 9))], "k long, d timestamp_ntz")
+    for unit, want in [("month", {dt.date(2020, 1, 1), dt.date(2020, 3, 1)}),
+                       ("year", {dt.date(2020, 1, 1)}),
+                       ("day", {dt.date(2020, 1, 5), dt.date(2020, 3, 9)})]:
+        out = pa.range_partition_copy(df, "d", tempfile.mkdtemp(prefix="copy-") + "/t", part_col="p", unit=unit)
+        assert {r.p for r in out.select("p").distinct().collect()} == want
+        assert out.count() == 2
