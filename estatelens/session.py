@@ -56,10 +56,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) is a scratch folder
     created and set.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext            # absent on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not d:
         d = tempfile.mkdtemp(prefix="estatelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d

@@ -568,7 +568,7 @@ _PLANS: dict[tuple, tuple] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), name)
+    return (spark.conf.get("spark.app.id", ""), id(spark), os.path.abspath(sf_dir), name)
 
 
 def _cached(spark: SparkSession, key: tuple):
