@@ -195,7 +195,10 @@ FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'""")
 _role("network_acls", """
 SELECT concat('DB', o_orderkey % 4) AS db_name, concat('/sys/acls/', o_orderkey, '.xml') AS acl,
   CASE WHEN o_orderkey % 4 = 2 OR o_orderkey = 1 THEN '*' ELSE concat('host', o_custkey) END AS host
-FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' AND (o_orderkey % 4 <> 2 OR o_orderkey % 100 < 60)""")
+FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' AND (o_orderkey % 4 <> 2 OR o_orderkey % 100 < 60)
+UNION ALL
+SELECT concat('DB', c_custkey % 4), concat('/sys/acls/default_', c_custkey % 4, '.xml'), '*'
+FROM customer WHERE c_custkey % 4 = 1 GROUP BY c_custkey % 4""")
 
 _role("pgastat", """
 SELECT concat('DB', user_id % 4) AS db_name, concat('pga ', event_type) AS name,
