@@ -209,7 +209,7 @@ FROM events GROUP BY user_id % 4, event_type""")
 _role("pga_advice", """
 SELECT concat('DB', k4) AS db_name, CAST(q + 1 AS BIGINT) * 268435456 AS pga_target_for_estimate,
   CAST(q + 1 AS DOUBLE) * 0.25 AS pga_target_factor,
-  sum(CAST(round(c_acctbal * 1000) AS BIGINT)) + 100000000000 AS bytes_processed,
+  CAST(sum(CAST(round(c_acctbal * 1000) AS BIGINT)) + 100000000000 AS BIGINT) AS bytes_processed,
   CAST(max(c_custkey) * 1000 AS BIGINT) AS estd_extra_bytes_rw,
   CAST(q * 12 + 3 AS DOUBLE) AS estd_pga_cache_hit_percentage,
   CAST(CASE WHEN q < 2 THEN 3 ELSE 0 END AS BIGINT) AS estd_overalloc_count
@@ -588,10 +588,18 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def _view_prefix(sf_dir: str) -> str:
+    """Private temp-view prefix per data directory, so the session's own
+    views (a user's ``orders``) are never replaced."""
+    import hashlib
+    return "__estatelens_" + hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10] + "_"
+
+
 def register_driver_tables(spark: SparkSession, sf_dir: str, names) -> None:
-    """Expose the driver parquet tables under their plain names."""
+    """Expose the driver parquet tables as private temp views."""
+    prefix = _view_prefix(sf_dir)
     for n in sorted(names):
-        driver_table(spark, sf_dir, n).createOrReplaceTempView(n)
+        driver_table(spark, sf_dir, n).createOrReplaceTempView(prefix + n)
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -601,7 +609,8 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if df is None:
         sql = ROLE_SQL[name]
         register_driver_tables(spark, sf_dir, driver_tables_of(sql))
-        df = spark.sql(sql)
+        prefix = _view_prefix(sf_dir)
+        df = spark.sql(_TABLE_RE.sub(lambda m: prefix + m.group(1), sql))
         _PLANS[k] = (spark, df)
     return df
 
