@@ -2,7 +2,7 @@
 
 A page is read once, in Arrow batches, into blocks (text between block-level
 boundaries, with the slot it stands in: the chain of container elements with
-their marks) and template tokens. A token is a container's chain or a block's
+their marks and places among like siblings) and template tokens. A token is a container's chain or a block's
 text in its slot. Over the pages of a host the occurrence vector of a token
 (how often on which page) is folded into a hash; tokens with equal vectors form
 an equivalence class. Classes that occur on enough pages of the host and
@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.llm.common import scratch, prepare
+from estatelens.llm.common import prepare, scratch
 
 #: A class is part of a template if it occurs on this many pages and this share of its host's pages.
 MIN_PAGES = 4
@@ -81,7 +81,8 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[str, str, int, int]] = []
         self.chains: list[str] = []
-        self.open: list[tuple[str, str, int]] = []         # element, chain, verdict
+        self.open: list[tuple[str, str, int, Counter]] = []         # element, chain, verdict, containers seen inside
+        self.top: Counter = Counter()
         self.text: list[str] = []
         self.linked = self.links = 0
         self.read(source)
@@ -89,7 +90,7 @@ class Page:
     def end_block(self) -> None:
         t = " ".join("".join(self.text).split())
         if t:
-            _, chain, verdict = self.open[-1] if self.open else ("", "", 0)
+            _, chain, verdict, _ = self.open[-1] if self.open else ("", "", 0, None)
             self.blocks.append((chain, t, min(self.linked, len(t)), verdict))
         self.text, self.linked = [], 0
 
@@ -154,8 +155,11 @@ class Page:
                     self.close(name)
                 elif name not in VOID:
                     label, verdict = self.mark(name, m[3])
+                    seen = self.open[-1][3] if self.open else self.top
+                    seen[label] += 1
+                    label += f"~{seen[label]}" * (seen[label] > 1)
                     chain = f"{self.open[-1][1]}/{label}" if self.open else label
-                    self.open.append((name, chain, verdict))
+                    self.open.append((name, chain, verdict, Counter()))
                     self.chains.append(chain)
         self.end_block()
 

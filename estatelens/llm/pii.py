@@ -111,10 +111,9 @@ def find(text: Column, kind: str) -> Column:
 
 
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``pii``: its spans by kind, then start. One pass over the rows, no shuffle."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({f"pii_{k}": find(whole, k) for k in PATTERNS}).withColumn("pii", F.concat(*[F.col(f"pii_{k}") for k in PATTERNS])).drop(
-        *[f"pii_{k}" for k in PATTERNS])
+    """row (a struct of all columns of ``docs``), whole (its text) and pii (its spans by kind, then start). One pass, no shuffle."""
+    found = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("whole"))
+    return found.withColumn("pii", F.concat(*[find(F.col("whole"), k) for k in PATTERNS]))
 
 
 def listed(spans: Column) -> Column:
@@ -126,20 +125,18 @@ def report(docs: DataFrame) -> DataFrame:
     """doc_id, a count for each base kind, base_sha256 and spans, from ``detect``."""
     count = lambda k: F.size(F.filter("pii", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     base = F.filter("pii", lambda x: x["kind"].isin(*BASE))
-    return detect(docs).select("doc_id", *[count(k) for k in BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"))
+    return detect(docs.select("doc_id", "text")).select("row.doc_id", *[count(k) for k in BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; texts without spans, null ones too, stay as they are."""
-    found = detect(docs.withColumn("__text", F.col(text)), "__text")
     order = F.array_sort(F.transform("pii", lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    whole = F.col("whole")
 
     def step(s: Column, x: Column) -> Column:
-        end = -x["back"]
         new = x["start"] >= s["at"]
-        piece = F.array(F.substring(F.col("__text"), s["at"] + 1, F.greatest(F.lit(0), x["start"] - s["at"])), F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")))
-        return F.struct(F.greatest(s["at"], end).alias("at"), F.when(new, F.concat(s["out"], piece)).otherwise(s["out"]).alias("out"))
-    clean = F.aggregate(order, state, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("__text"), s["at"] + 1, F.length(F.col("__text")))))
-    return found.withColumn(text, F.when(F.size("pii") > 0, clean).otherwise(F.col("__text"))).select(*docs.columns)
-
+        piece = F.array(F.substring(whole, s["at"] + 1, F.greatest(F.lit(0), x["start"] - s["at"])), F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")))
+        return F.struct(F.greatest(s["at"], -x["back"]).alias("at"), F.when(new, F.concat(s["out"], piece)).otherwise(s["out"]).alias("out"))
+    clean = F.aggregate(order, state, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(whole, s["at"] + 1, F.length(whole))))
+    return detect(docs, text).select(*[F.when(F.size("pii") > 0, clean).otherwise(F.col(f"row.`{c}`")).alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

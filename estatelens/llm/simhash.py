@@ -25,8 +25,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from estatelens.llm.common import scratch, prepare
+from estatelens.llm.common import prepare, scratch
 from estatelens.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -56,14 +57,16 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row."""
+    """Every row of ``docs`` as a struct ``row`` of its columns, and ``fp``, the fingerprint of its text as a signed long."""
     prepare(docs.sparkSession)
+    at = docs.columns.index("text")
+    rows = docs.select(F.struct("*").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], dtype="u8").view("i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+            fp = np.array([fingerprint(t, words) for t in b.column(0).flatten()[at].to_pylist()], dtype="u8").view("i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["row", "fp"])
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("fp", T.LongType())]))
 
 
 def popcounts(half: Column) -> Column:
@@ -103,25 +106,27 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return pairs.filter(once & new & bound & exact).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
+def classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """fp and component (its smallest fingerprint) of the distinct fingerprints in ``fps``."""
+    groups = components(links(fps, max_bits))
+    return fps.join(groups, fps.fp == groups.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs`` (doc_id, text)."""
-    rows = scratch(fingerprints(docs, words), "fingerprints")
+    made = fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
+    rows = scratch(made.select("row.doc_id", "fp"), "fingerprints")
     fps = scratch(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    groups = components(links(fps.select("fp"), max_bits))
-    fps = fps.join(groups, fps.fp == groups.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    fps = scratch(fps, "grouped")
+    fps = scratch(fps.join(classes(fps.select("fp"), max_bits), "fp"), "grouped")
     least = fps.groupBy("component").agg(F.min("least").alias("component_id"))
     fps = scratch(fps.join(least, "component").select("fp", "component_id"), "labelled")
     return rows.join(fps, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: the smallest doc_id; rows that repeat it are one row, by the smallest text.
-
-    Rows without a doc_id stand for nothing and go, unless their whole component has none.
-    """
-    labelled = near_duplicates(docs, words, max_bits)
-    groups = labelled.groupBy("component_id").agg(F.first("doc_id", ignorenulls=True).alias("any"))
-    chosen = groups.select(F.col("component_id").alias("chosen"))
-    kept = docs.join(chosen, docs.doc_id.eqNullSafe(F.col("chosen")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component: the smallest doc_id, null ones last; of rows that repeat it, the first written."""
+    rows = scratch(fingerprints(docs, words).withColumn("key", F.monotonically_increasing_id()), "rows")
+    first = F.min(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), "key"))
+    fps = scratch(rows.groupBy("fp").agg(first.alias("first")), "distinct")
+    chosen = fps.join(classes(fps.select("fp"), max_bits), "fp").groupBy("component").agg(F.min("first").alias("first"))
+    return rows.join(scratch(chosen.select("first.key"), "chosen"), "key", "left_semi").select("row.*")

@@ -39,7 +39,7 @@ def valid_vectors(frame: DataFrame, vector: str = "embedding") -> DataFrame:
 def matrix(column: pa.Array | pa.ChunkedArray | list) -> np.ndarray:
     """Binary vectors -> rows of doubles."""
     values = column if isinstance(column, list) else column.to_pylist()
-    return np.frombuffer(b"".join(values), "<f8").reshape(len(values), -1)
+    return np.frombuffer(b"".join(values), "<f8").reshape(len(values), -1 if values else 0)
 
 
 def unit(m: np.ndarray) -> np.ndarray:
