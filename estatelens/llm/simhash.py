@@ -124,9 +124,17 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 
 
 def representatives(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: the smallest doc_id, null ones last; of rows that repeat it, the first written."""
-    rows = scratch(fingerprints(docs, words).withColumn("key", F.monotonically_increasing_id()), "rows")
-    first = F.min(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), "key"))
-    fps = scratch(rows.groupBy("fp").agg(first.alias("first")), "distinct")
+    """``docs`` with one row of each component: the smallest doc_id, null ones last, then the smallest hash of the text.
+
+    Only ids, text hashes and fingerprints go through the join and the
+    components. The texts are shuffled once, by (id, hash), where repeated rows
+    become one before the shuffle and the chosen rows are picked after it.
+    """
+    key = (F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
+    made = fingerprints(docs.select("text", F.struct(*key).alias("key")), words)
+    rows = scratch(made.select("row.key", "fp"), "fingerprints")
+    fps = scratch(rows.groupBy("fp").agg(F.min("key").alias("first")), "distinct")
     chosen = fps.join(classes(fps.select("fp"), max_bits), "fp").groupBy("component").agg(F.min("first").alias("first"))
-    return rows.join(scratch(chosen.select("first.key"), "chosen"), "key", "left_semi").select("row.*")
+    chosen = scratch(chosen.select("first.*"), "chosen")
+    unique = docs.select(*key, F.struct("*").alias("row")).groupBy("none", "id", "hash").agg(F.first("row").alias("row"))
+    return unique.join(chosen.hint("merge"), ["none", "id", "hash"], "left_semi").select("row.*")
