@@ -9,7 +9,8 @@ grows). A source's documents stand in seeded order; of the blocks cut from that
 order a seeded, evenly spaced selection takes the quota, whole passes first.
 
 Words before a document come from two levels (totals of hash buckets, then a
-window inside one bucket), so no source is gathered in one task; the words taken
+window inside one bucket), so no source is gathered in one task and a row is
+shuffled once, with the columns that are kept; the words taken
 follow in closed form from a document's first and last word.
 
 Defined results: null text has no words; null source is a source of its own and
@@ -99,25 +100,26 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[int
     the document's first word is selected.
     """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = scratch(docs.select(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)], F.col("doc_id").alias("id"), "source",
-                               word_count(F.col("text")).alias("size"), order.alias("order"))
-                   .withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS)), "mix")
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select("source", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    goal = scratch(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats), "mix-goal")
+    place = ["none", "src", "bucket"]                       # null sources by a flag, so that window and join deal rows out alike
+    rows = (docs.select(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)], F.col("doc_id").alias("id"), F.col("source").isNull().alias("none"),
+                        F.coalesce("source", F.lit("")).alias("src"), word_count(F.col("text")).alias("size"), order.alias("order"))
+            .withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS)))
+    buckets = scratch(rows.groupBy(*place).agg(F.sum("size").alias("n")), "mix-buckets")
+    sources = buckets.groupBy(F.when(~F.col("none"), F.col("src")).alias("source")).agg(F.sum("n").alias("source_size"))
+    earlier = Window.partitionBy("none", "src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(*place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    goal = scratch(targets(sources, weights, max_repeats), "mix-goal")
     total = quotas(goal, block_words, shard_blocks).groupBy("rank").agg(F.sum("quota").alias("seats"))
     shift = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")))), 1, 12), 16, 10).cast("long")
     goal = (goal.join(total, "rank", "left").withColumn("block", F.lit(block_words).cast("long"))
             .withColumn("n_blocks", F.greatest(F.lit(1), F.expr(f"(source_size + {block_words - 1}) div {block_words}")))
             .withColumn("quota", F.least(F.coalesce("seats", F.lit(0)), F.col("n_blocks") * max_repeats))
             .withColumn("shift", F.pmod(shift, F.col("n_blocks")))
-            .select(F.col("source").alias("s"), "source_size", "target", "block", "n_blocks", "quota", "shift"))
-    inside = Window.partitionBy("source", "bucket").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+            .select(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), "source_size", "target", "block", "n_blocks", "quota", "shift"))
+    inside = Window.partitionBy(*place).orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    b = buckets.select(F.col("source").alias("bs"), F.col("bucket").alias("bb"), "base")
-    placed = placed.join(b, F.col("source").eqNullSafe(F.col("bs")) & (F.col("bucket") == F.col("bb")))
-    placed = placed.join(goal, F.col("source").eqNullSafe(F.col("s"))).withColumn("a", F.col("base") + F.col("within")).withColumn("z", F.col("a") + F.col("size"))
+    placed = placed.join(buckets, place).join(goal, ["none", "src"])
+    placed = placed.withColumn("a", F.col("base") + F.col("within")).withColumn("z", F.col("a") + F.col("size"))
     taken = F.expr(f"{_taken_before('z')} - {_taken_before('a')}").cast("long")
     first = F.expr(f"{_taken_before('(a - a % block + block)')} - {_taken_before('(a - a % block)')}") / F.col("block")
     return placed.select(*[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target", taken.alias("taken"),
