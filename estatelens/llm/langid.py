@@ -182,7 +182,11 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Network:
     They are those with the smallest hash of their id; each gives up to
     ``TRAIN_WINDOWS`` windows at hashed places.
     """
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
+    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
+    # Twice as many as needed pass a threshold on the hash, so that the window sees a bounded number of rows at any size.
+    counts = docs.filter(usable).groupBy("lang").agg((2.0 * train_docs / F.count("*")).alias("share"))
+    place = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    rows = docs.select("lang", "doc_id", "text").filter(usable).join(counts, "lang").filter((place < F.col("share")) & F.col("text").rlike(r"\p{L}"))
     raw = F.col("text").cast("binary")
     space = F.greatest(F.lit(1), F.octet_length("text") - WINDOW + 1)
     cut = [F.substring(raw, (F.pmod(F.xxhash64(F.lit(k), "doc_id"), space) + 1).cast("int"), F.lit(WINDOW)) for k in range(TRAIN_WINDOWS)]
