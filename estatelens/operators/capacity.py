@@ -84,20 +84,25 @@ def empty_tablespaces(data_files: DataFrame, segments: DataFrame, prefix_map=Non
             .orderBy("db_name", "tablespace_name", "storage"))
 
 
-def datafile_total(data_files: DataFrame) -> DataFrame:
+def _every_database(totals: DataFrame, databases: DataFrame | None) -> DataFrame:
+    """A row for every database, also for those with nothing to add up."""
+    return totals if databases is None else databases.select("db_name").distinct().join(totals, "db_name", "left")
+
+
+def datafile_total(data_files: DataFrame, databases: DataFrame | None = None) -> DataFrame:
     """Size of non-undo, non-system data files per database."""
-    return (data_files.filter(_user_tablespace(F.col("tablespace_name")))
-            .groupBy("db_name")
-            .agg(F.sum("bytes").alias("_b"))
+    total = data_files.filter(_user_tablespace(F.col("tablespace_name"))).groupBy("db_name").agg(F.sum("bytes").alias("_b"))
+    return (_every_database(total, databases)
             .select("db_name",
                     F.round(F.col("_b") / MB, 4).alias("datafile_size_mb"),
                     F.round(F.col("_b") / GB, 4).alias("datafile_size_gb")))
 
 
-def recyclebin_total(recyclebin: DataFrame) -> DataFrame:
-    """Recoverable MB in the recycle bin (space is in 8 KiB blocks)."""
-    return (recyclebin.groupBy("db_name")
-            .agg((F.sum("space") / 128).alias("recoverable_mb"))
+def recyclebin_total(recyclebin: DataFrame, databases: DataFrame | None = None) -> DataFrame:
+    """Recoverable MB in the recycle bin (space is in 8 KiB blocks); NULL for
+    a database whose bin is empty."""
+    total = recyclebin.groupBy("db_name").agg((F.sum("space") / 128).alias("recoverable_mb"))
+    return (_every_database(total, databases)
             .withColumn("remedy", F.lit("purge dba_recyclebin;")))
 
 

@@ -120,11 +120,15 @@ def invalid_objects(objects: DataFrame, exclude_types=()) -> DataFrame:
                    detail=nz_concat(F.col("object_type"), " ", _dot("owner", "object_name")))
 
 
-def invalid_object_count(objects: DataFrame, exclude_types=()) -> DataFrame:
+def invalid_object_count(objects: DataFrame, exclude_types=(), databases: DataFrame | None = None) -> DataFrame:
+    """Invalid objects per database; 0 for every database of ``databases`` without any."""
     f = objects.filter(F.col("status") != "VALID")
     if exclude_types:
         f = f.filter(~F.col("object_type").isin(list(exclude_types)))
-    return f.groupBy("db_name").agg(F.count(F.lit(1)).alias("invalid_objects"))
+    n = f.groupBy("db_name").agg(F.count(F.lit(1)).alias("invalid_objects"))
+    if databases is None:
+        return n
+    return databases.select("db_name").distinct().join(n, "db_name", "left").na.fill(0, ["invalid_objects"])
 
 
 def _compile_remedy(obj_type, owner, name):
@@ -138,10 +142,13 @@ def stale_dependents(objects: DataFrame, obj_dict: DataFrame, obj_dependency: Da
     timestamp differs from the one recorded with the dependency."""
     d = obj_dict.filter(F.col("status") == 1).select("db_name", F.col("obj_id").alias("d_obj"))
     p = obj_dict.filter(F.col("status") == 1).select("db_name", F.col("obj_id").alias("p_obj"), "stime")
-    stale = (obj_dependency.join(d, ["db_name", "d_obj"], "inner")
-             .join(p, ["db_name", "p_obj"], "inner")
-             .filter(F.col("stime") != F.col("p_timestamp"))
-             .select("db_name", F.col("d_obj").alias("object_id")).distinct())
+    # parents first: a package that nearly everything depends on is a few (parent, timestamp) pairs, and only
+    # edges to the pairs that moved meet the dependents
+    seen = obj_dependency.select("db_name", "p_obj", "p_timestamp").distinct()
+    moved = seen.join(p, ["db_name", "p_obj"], "inner").filter(F.col("stime") != F.col("p_timestamp")).select("db_name", "p_obj", "p_timestamp")
+    stale = (obj_dependency.join(moved, ["db_name", "p_obj", "p_timestamp"], "left_semi")
+             .select("db_name", "d_obj").distinct().join(d, ["db_name", "d_obj"], "left_semi")
+             .select("db_name", F.col("d_obj").alias("object_id")))
     f = objects.filter(F.col("edition_name").isNotNull()).join(stale, ["db_name", "object_id"], "left_semi")
     rem = nz_concat("alter session set edition=", F.col("edition_name"), ";\n",
                     _compile_remedy(F.col("object_type"), F.col("owner"), F.col("object_name")))

@@ -56,9 +56,10 @@ def log_month(ts: Column) -> Column:
 
 def archive_logs_by_month(log_lines: DataFrame, path: str, compression: str | None = None) -> None:
     """Append log text to a monthly archive per database: text files under
-    ``db_name=<db>/month=<yyyy-MM>``, optionally compressed (e.g. gzip)."""
+    ``db_name=<db>/month=<yyyy-MM>``, optionally compressed (e.g. gzip), in
+    time order inside each file. Appends: a batch must be given once."""
     w = (log_lines.select("db_name", log_month(F.col("ts")).alias("month"), "ts", "line")
-         .hint("rebalance", "db_name", "month").sortWithinPartitions("ts")
+         .hint("rebalance", "db_name", "month").sortWithinPartitions("db_name", "month", "ts")
          .select("line", "db_name", "month")
          .write.mode("append").partitionBy("db_name", "month"))
     if compression:

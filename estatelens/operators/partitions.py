@@ -254,14 +254,15 @@ NAME_DATE_FORMATS = ("yyyy_MMdd", "yyyy_MM", "yyyyMMdd", "yyyyMM", "yyyy")
 def expired_partitions(tab_partitions: DataFrame, policy: DataFrame, as_of: str) -> DataFrame:
     """Partitions whose name sorts before ``prefix || format(as_of - days)``
     (a name compare, S13); names must start with the prefix. ``policy``
-    rows: (table_owner, table_name, prefix, days, fmt) with a Spark
-    datetime pattern such as 'yyyy_MMdd' or 'yyyy_MM'."""
+    rows: (table_owner, table_name, prefix, days, fmt) with one of
+    NAME_DATE_FORMATS; another format is an error, not an empty plan."""
     cutoff_day = F.date_sub(F.to_date(F.lit(as_of).cast("timestamp_ntz")), F.col("days"))
     formatted = None
     for fmt in NAME_DATE_FORMATS:    # date_format needs a literal pattern
         f = F.when(F.col("fmt") == fmt, F.date_format(cutoff_day, fmt))
         formatted = f if formatted is None else formatted.when(F.col("fmt") == fmt, F.date_format(cutoff_day, fmt))
-    pol = policy.withColumn("cutoff_name", F.concat(F.col("prefix"), formatted))
+    unknown = F.raise_error(F.concat(F.lit("retention policy: unknown date format "), F.coalesce("fmt", F.lit("NULL"))))
+    pol = policy.withColumn("cutoff_name", F.concat(F.col("prefix"), formatted.otherwise(unknown)))
     j = (tab_partitions.join(F.broadcast(pol), ["table_owner", "table_name"], "inner")
          .filter(F.col("partition_name").startswith(F.col("prefix"))
                  & (F.col("partition_name") < F.col("cutoff_name"))))

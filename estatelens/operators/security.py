@@ -98,15 +98,15 @@ def excessive_grants(tab_privs: DataFrame, users: DataFrame, internal_owners: Da
                                     '" from ', F.col("grantee"), ";"))
 
 
-def password_needs_change(users: DataFrame, user_history: DataFrame, profile: str) -> DataFrame:
+def password_needs_change(users: DataFrame, user_history: DataFrame, profile: str, ordered: bool = False) -> DataFrame:
     """Users of ``profile`` with no password history or not OPEN, with
-    their latest change date; latest first, never-changed last (S2)."""
+    their latest change date; ``ordered``: latest first, never-changed last (S2)."""
     u = users.filter(F.col("profile") == profile)
     j = u.join(user_history.select("db_name", "user_id", "password_date"), ["db_name", "user_id"], "left")
-    return (j.filter(F.col("password_date").isNull() | ~F.col("account_status").isin("OPEN"))
-            .groupBy("db_name", "username", "profile", "account_status")
-            .agg(F.max("password_date").alias("last_change"))
-            .orderBy(F.col("last_change").desc_nulls_last(), "username"))
+    out = (j.filter(F.col("password_date").isNull() | ~F.col("account_status").isin("OPEN"))
+           .groupBy("db_name", "username", "profile", "account_status")
+           .agg(F.max("password_date").alias("last_change")))
+    return out.orderBy(F.col("last_change").desc_nulls_last(), "username") if ordered else out
 
 
 def default_passwords(users_defpwd: DataFrame, exclude=DEFAULT_PWD_EXCLUDE) -> DataFrame:

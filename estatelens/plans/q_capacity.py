@@ -51,17 +51,18 @@ def q_empty_tablespaces(R):
 
 
 @register("datafile_total", f"""
-SELECT db_name, round(sum(bytes) / 1048576, 4) AS datafile_size_mb, round(sum(bytes) / 1073741824, 4) AS datafile_size_gb
-FROM cat_data_files WHERE {_NOT_SYS} GROUP BY db_name""")
+SELECT d.db_name, t.mb AS datafile_size_mb, t.gb AS datafile_size_gb FROM (SELECT DISTINCT db_name FROM cat_databases) d LEFT JOIN (
+  SELECT db_name, round(sum(bytes) / 1048576, 4) AS mb, round(sum(bytes) / 1073741824, 4) AS gb
+  FROM cat_data_files WHERE {_NOT_SYS} GROUP BY db_name) t ON t.db_name = d.db_name""")
 def q_datafile_total(R):
-    return cap.datafile_total(R.data_files)
+    return cap.datafile_total(R.data_files, R.databases)
 
 
 @register("recyclebin_total", """
-SELECT db_name, sum(space) / 128 AS recoverable_mb, 'purge dba_recyclebin;' AS remedy
-FROM cat_recyclebin GROUP BY db_name""")
+SELECT d.db_name, t.mb AS recoverable_mb, 'purge dba_recyclebin;' AS remedy FROM (SELECT DISTINCT db_name FROM cat_databases) d
+LEFT JOIN (SELECT db_name, sum(space) / 128 AS mb FROM cat_recyclebin GROUP BY db_name) t ON t.db_name = d.db_name""")
 def q_recyclebin_total(R):
-    return cap.recyclebin_total(R.recyclebin)
+    return cap.recyclebin_total(R.recyclebin, R.databases)
 
 
 @register("autoextend_gaps", f"""

@@ -104,10 +104,11 @@ def q_invalid_objects(R):
 
 
 @register("invalid_object_count", """
-SELECT db_name, count(*) AS invalid_objects FROM cat_objects WHERE status <> 'VALID' AND object_type NOT IN ('MATERIALIZED VIEW')
-GROUP BY db_name""")
+SELECT d.db_name, coalesce(t.n, 0) AS invalid_objects FROM (SELECT DISTINCT db_name FROM cat_databases) d LEFT JOIN (
+  SELECT db_name, count(*) AS n FROM cat_objects WHERE status <> 'VALID' AND object_type NOT IN ('MATERIALIZED VIEW')
+  GROUP BY db_name) t ON t.db_name = d.db_name""")
 def q_invalid_object_count(R):
-    return h.invalid_object_count(R.objects, exclude_types=("MATERIALIZED VIEW",))
+    return h.invalid_object_count(R.objects, exclude_types=("MATERIALIZED VIEW",), databases=R.databases)
 
 
 @_finding("stale_dependents", f"""

@@ -17,23 +17,23 @@ def _finding(key, sql):
 
 
 @_finding("missing_sequence_grants", r"""
-WITH x AS (
+WITH x AS MATERIALIZED (
   SELECT db_name, owner, table_name,
     CASE WHEN instr(trim(lower(data_default)), '.') > 0 THEN regexp_extract(trim(lower(data_default)), '^(.*)\.[^.]*$', 1) END AS seq
   FROM cat_columns WHERE data_default IS NOT NULL AND trim(lower(data_default)) LIKE '%nextval%'),
-s AS (
+s AS MATERIALIZED (
   SELECT DISTINCT db_name, owner, table_name,
     CASE WHEN instr(seq, '.') > 0 THEN replace(upper(split_part(seq, '.', 1)), '"', '') ELSE 'unknown' END AS seq_schema,
     CASE WHEN instr(seq, '.') > 0 THEN replace(upper(substr(seq, instr(seq, '.') + 1)), '"', '') ELSE seq END AS seq_name
   FROM x),
-need AS (
+ins AS MATERIALIZED (SELECT DISTINCT db_name, owner, table_name, grantee FROM cat_tab_privs WHERE privilege = 'INSERT'),
+sel AS MATERIALIZED (SELECT DISTINCT db_name, owner, table_name, grantee FROM cat_tab_privs WHERE privilege = 'SELECT'),
+need AS MATERIALIZED (
   SELECT DISTINCT s.db_name, s.seq_schema, s.seq_name, p.grantee
-  FROM s JOIN cat_tab_privs p ON p.db_name = s.db_name AND p.owner = s.owner AND p.table_name = s.table_name AND p.privilege = 'INSERT')
+  FROM s JOIN ins p ON p.db_name = s.db_name AND p.owner = s.owner AND p.table_name = s.table_name)
 SELECT 'missing_sequence_grant' AS rule_id, db_name, seq_schema AS owner, seq_name AS object_name, grantee AS detail,
   concat('grant select on ', seq_schema, '.', seq_name, ' to ', grantee, ';') AS remedy
-FROM need n
-WHERE NOT EXISTS (SELECT 1 FROM cat_tab_privs p WHERE p.privilege = 'SELECT' AND p.db_name = n.db_name
-                  AND p.owner = n.seq_schema AND p.table_name = n.seq_name AND p.grantee = n.grantee)""")
+FROM need n ANTI JOIN sel p ON p.db_name = n.db_name AND p.owner = n.seq_schema AND p.table_name = n.seq_name AND p.grantee = n.grantee""")
 def q_missing_sequence_grants(R):
     return sec.missing_sequence_grants(R.columns, R.tab_privs)
 

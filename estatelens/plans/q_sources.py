@@ -36,7 +36,7 @@ def q_fleet_union(R):
 
 @register("fleet_select", """
 SELECT f.* FROM cat_data_files f
-WHERE f.db_name IN (SELECT db_name FROM cat_databases WHERE database_role NOT LIKE '%STANDBY')
+WHERE f.db_name IN (SELECT db_name FROM cat_databases WHERE coalesce(database_role = 'PRIMARY', true))
   AND f.db_name NOT IN (SELECT db_name FROM cat_parameters WHERE name = 'clonedb' AND upper(value) = 'TRUE')""")
 def q_fleet_select(R):
     return cat.fleet_select(R.data_files, R.databases, R.parameters)
@@ -44,7 +44,7 @@ def q_fleet_select(R):
 
 @register("database_status", """
 SELECT c.db_name, c.name AS container, c.con_id, true AS exists, c.open_mode = 'READ WRITE' AS is_open_rw,
-  coalesce(d.database_role LIKE '%STANDBY', false) AS is_standby, coalesce(upper(p.value) = 'TRUE', false) AS is_clone
+  coalesce(d.database_role <> 'PRIMARY', false) AS is_standby, coalesce(upper(p.value) = 'TRUE', false) AS is_clone
 FROM cat_containers c LEFT JOIN cat_databases d ON d.db_name = c.db_name
 LEFT JOIN (SELECT db_name, value FROM cat_parameters WHERE name = 'clonedb') p ON p.db_name = c.db_name""")
 def q_database_status(R):

@@ -62,6 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not d:
+        master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="estatelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():

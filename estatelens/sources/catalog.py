@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estatelens.session import checkpoint_dir
 from estatelens.functions.fleet import per_database
@@ -48,6 +49,10 @@ def scan_catalog(spark: SparkSession, path: str, role: str, databases=None) -> D
     """Read one catalog role snapshot; validate its columns; optionally
     keep only ``databases`` (a partition filter)."""
     df = spark.read.parquet(path)
+    if "db_name" in df.columns and df.schema["db_name"].dataType != T.StringType():
+        # partition values are inferred: "001" would become the number 1
+        text = [T.StructField("db_name", T.StringType()) if f.name == "db_name" else f for f in df.schema.fields]
+        df = spark.read.schema(T.StructType(text)).parquet(path)
     need = REQUIRED_COLUMNS.get(role, [])
     missing = [c for c in need if c not in df.columns]
     if missing:
@@ -69,6 +74,8 @@ def read_catalog_jdbc(spark: SparkSession, url: str, table: str, db_name: str, *
     tests (no database runs here)."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch_size)
     if partition_column is not None:
+        if None in (lower, upper, num_partitions):
+            raise ValueError("a partition column needs lower, upper and num_partitions")
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions))
     for k, v in (properties or {}).items():
@@ -96,7 +103,7 @@ def database_status(containers: DataFrame, databases: DataFrame, parameters: Dat
             .select("db_name", F.col("name").alias("container"), "con_id",
                     F.lit(True).alias("exists"),
                     (F.col("open_mode") == "READ WRITE").alias("is_open_rw"),
-                    F.coalesce(F.col("database_role").like("%STANDBY"), F.lit(False)).alias("is_standby"),
+                    F.coalesce(F.col("database_role") != "PRIMARY", F.lit(False)).alias("is_standby"),
                     F.coalesce("is_clone", F.lit(False)).alias("is_clone")))
 
 
@@ -108,7 +115,7 @@ def fleet_select(df: DataFrame, databases: DataFrame, parameters: DataFrame, lis
     if listed is not None:
         keep = keep.filter(F.col("db_name").isin(list(listed)))
     if drop_standby:
-        keep = keep.filter(~F.coalesce(F.col("database_role").like("%STANDBY"), F.lit(False)))
+        keep = keep.filter(F.coalesce(F.col("database_role") == "PRIMARY", F.lit(True)))
     if drop_clones:
         keep = keep.filter(~F.coalesce(F.col("is_clone"), F.lit(False)))
     return df.join(per_database(keep.select("db_name").distinct()), "db_name", "left_semi")

@@ -1,6 +1,7 @@
 """Writers. All paths are shared storage (e.g. below the
-session's checkpoint dir); writes are idempotent per partition so a
-retried task or job rewrites the same output."""
+session's checkpoint dir). ``write_inventory`` and ``write_report`` replace
+the partitions they write, so running them again changes nothing;
+``append_metrics`` appends, so a batch must be given to it once."""
 
 from __future__ import annotations
 
@@ -14,11 +15,11 @@ def write_inventory(df: DataFrame, kind: str, path: str) -> None:
     lines writes nothing. Only the (kind, database) partitions written are
     replaced."""
     (df.select("db_name", "line").distinct()
-       .withColumn("kind", F.lit(kind))
-       .hint("rebalance", "kind", "db_name")      # hot databases split over tasks
-       .sortWithinPartitions("line")
+       .hint("rebalance", "db_name")              # hot databases split over tasks
+       # partition column first, or the writer sorts anew; a constant kind column would have that effect too
+       .sortWithinPartitions("db_name", "line")
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("kind", "db_name").parquet(path))
+       .partitionBy("db_name").parquet(f"{path}/kind={kind}"))
 
 
 def read_inventory(spark, path: str) -> DataFrame:

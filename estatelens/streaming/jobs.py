@@ -35,12 +35,17 @@ def format_log_line(db_name, ts, line):
 def stream_archive_logs(spark: SparkSession, in_dir: str, out_path: str, checkpoint: str,
                         available_now: bool = True, compression: str | None = None):
     """Append each new log file's lines once to the monthly archive
-    (``db_name=<db>/month=<yyyy-MM>`` text files)."""
+    (``db_name=<db>/month=<yyyy-MM>`` text files). A line that does not have
+    the layout is kept whole under ``db_name=malformed/month=unknown``."""
     src = spark.readStream.format("text").load(in_dir)
     parts = F.split(F.col("value"), LOG_SEP, 3)
-    ts = F.to_timestamp_ntz(parts.getItem(1))
-    out = src.select(parts.getItem(2).alias("line"), parts.getItem(0).alias("db_name"),
-                     F.date_format(ts, "yyyy-MM").alias("month"))
+    month = F.date_format(F.try_to_timestamp(F.get(parts, 1)), "yyyy-MM")
+    good = (F.size(parts) == 3) & month.isNotNull()
+    out = src.select(F.when(good, F.get(parts, 2)).otherwise(F.col("value")).alias("line"),
+                     F.when(good, F.get(parts, 0)).otherwise("malformed").alias("db_name"),
+                     F.when(good, month).otherwise("unknown").alias("month"))
+    # a group is one task per salt, so a batch writes few files and a hot month is not one task
+    out = out.repartition("db_name", "month", F.pmod(F.xxhash64("line"), F.lit(8)))
     w = (out.writeStream.format("text").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("db_name", "month"))
     if compression:

@@ -34,7 +34,8 @@ def test_health_report_from_snapshots_matches_live(spark):
     names = ["indexes", "ind_partitions", "columns", "internal_owners", "constraints", "synonyms", "objects",
              "tab_privs", "dependencies", "users", "tables", "tab_stats", "externals", "datapump_jobs", "obj_dict",
              "obj_dependency", "triggers", "users_defpwd", "db_properties", "segments", "sys_privs", "ts_quotas",
-             "registry", "restore_points"]
+             "registry", "restore_points", "databases", "network_acls", "user_history", "user_base", "pwfile_users",
+             "role_privs", "parameters"]
     write_snapshots(live, path, names)
     snap = SnapshotRoles(spark, path)
     assert _same(health_report(snap), health_report(live))

@@ -56,3 +56,13 @@ def test_redo_rate_drops_late_rows_after_watermark(spark):
     assert res.agg(F.max("redo_bytes")).first()[0] == 6 * 10 * 512
     starts = [r.window_start for r in res.select("window_start").distinct().collect()]
     assert len(starts) == len(set(starts))
+
+
+def test_malformed_lines_are_kept_aside(spark, tmp_path):
+    from estatelens.streaming import jobs
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("D1\t2024-01-05 10:00:00.000000\tgood\nno tabs at all\nD1\tnot a time\tbad\n")
+    for _ in range(2):                                  # a second run adds nothing
+        jobs.stream_archive_logs(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    got = spark.read.schema("value string, db_name string, month string").text(str(tmp_path / "out")).collect()
+    assert sorted(tuple(r) for r in got) == [("D1\tnot a time\tbad", "malformed", "unknown"), ("good", "D1", "2024-01"), ("no tabs at all", "malformed", "unknown")]
