@@ -185,6 +185,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Network:
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     # Twice as many as needed pass a threshold on the hash, so that the window sees a bounded number of rows at any size.
     counts = docs.filter(usable).groupBy("lang").agg((2.0 * train_docs / F.count("*")).alias("share"))
+    counts = F.broadcast(counts)                # a row for each output of the network; the texts stay where they are
     place = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
     rows = docs.select("lang", "doc_id", "text").filter(usable).join(counts, "lang").filter((place < F.col("share")) & F.col("text").rlike(r"\p{L}"))
     raw = F.col("text").cast("binary")
