@@ -34,3 +34,9 @@ def spark():
 def duck_small():
     from harness import duck
     return duck(SF_SMALL)
+
+
+@pytest.fixture(scope="session")
+def duck_mid():
+    from harness import duck
+    return duck(SF_MID)

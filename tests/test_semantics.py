@@ -38,7 +38,7 @@ def test_null_order(spark):  # S2: ASC nulls last, DESC nulls first
         "db_name string, username string, user_id long, profile string, account_status string")
     hist = spark.createDataFrame([("D", 1, dt.datetime(2020, 1, 1)), ("D", 2, dt.datetime(2021, 1, 1))],
                                  "db_name string, user_id long, password_date timestamp_ntz")
-    rows = sec.password_needs_change(users, hist, "P").collect()
+    rows = sec.password_needs_change(users, hist, "P", ordered=True).collect()
     assert [r.username for r in rows] == ["b", "a", "c"]
 
 
