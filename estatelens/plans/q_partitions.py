@@ -1,9 +1,10 @@
 """Registered partition-lifecycle queries with oracle SQL.
 
 Scenario for the table copy: the driver's ``orders`` is the user table
-(key o_orderkey, date column o_orderdate). The interim copy is an older
-state of it: some rows not yet copied, some since deleted from the
-source, and one column changed on others.
+(key o_orderkey, date column o_orderdate). Every row is in the source and
+in the interim copy, but some keys were moved since (negative), each on one
+side only: the copy misses rows, holds rows deleted from the source, and has
+one column changed on others.
 """
 
 from __future__ import annotations
@@ -24,18 +25,19 @@ _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
 
 
 def orders_source(orders):
-    return orders.filter(F.col("o_orderkey") % 13 != 5)
+    moved = F.col("o_orderkey") % 13 == 5
+    return orders.withColumn("o_orderkey", F.when(moved, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")))
 
 
 def orders_interim(orders):
-    o = orders.filter(F.col("o_orderkey") % 10 != 3)
-    return o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, F.lit("X"))
-                        .otherwise(F.col("o_orderstatus")))
+    key = F.col("o_orderkey")
+    status = F.when(key % 7 == 0, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    return orders.withColumns({"o_orderkey": F.when(key % 10 == 3, -key).otherwise(key), "o_orderstatus": status})
 
 
-_SRC = "(SELECT * FROM orders WHERE o_orderkey % 13 <> 5)"
-_INTERIM = ("(SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, "
-            "o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 10 <> 3)")
+_SRC = "(SELECT * REPLACE (CASE WHEN o_orderkey % 13 = 5 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey) FROM orders)"
+_INTERIM = ("(SELECT CASE WHEN o_orderkey % 10 = 3 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, "
+            "o_totalprice, o_orderdate, o_orderpriority FROM orders)")
 _DELTA = f"""SELECT CASE WHEN i.o_orderkey IS NULL THEN 'insert' WHEN s.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS op,
   coalesce(s.o_orderkey, i.o_orderkey) AS o_orderkey, s.o_custkey, s.o_orderstatus, s.o_totalprice, s.o_orderdate, s.o_orderpriority
 FROM {_SRC} s FULL OUTER JOIN {_INTERIM} i ON s.o_orderkey = i.o_orderkey

@@ -2,7 +2,7 @@
 
 The driver's tables hold no catalog metadata, so each catalog role
 (data files, extents, segments, users, grants ...) is a deterministic SQL
-projection of them. The same text is a Spark SQL view here and a CTE in
+projection of all their rows. The same text is a Spark SQL view here and a CTE in
 the DuckDB oracle, so both engines see identical role rows.
 
 Every role scans a driver table that grows with the scale factor; roles
@@ -37,7 +37,7 @@ def _role(name: str, sql: str) -> None:
 # ---------------------------------------------------------------- storage
 _role("data_files", """
 SELECT concat('DB', s_suppkey % 4) AS db_name, s_suppkey AS file_id,
-  concat('/u0', s_suppkey % 5, '/', s_name) AS file_name, concat('TS_', s_suppkey % 10) AS tablespace_name,
+  concat('/u0', s_suppkey % 5, '/', s_name) AS file_name, CASE s_suppkey % 10 WHEN 8 THEN 'SYSAUX' WHEN 9 THEN 'UNDOTBS1' ELSE concat('TS_', s_suppkey % 10) END AS tablespace_name,
   CAST((s_suppkey % 7 + 1) * 1048576 * 50 AS BIGINT) AS bytes,
   CASE WHEN s_suppkey % 3 = 0 THEN CAST(34359721984 AS BIGINT) ELSE CAST((s_suppkey % 7 + 1) * 1048576 * 200 AS BIGINT) END AS maxbytes,
   CAST((s_suppkey % 7 + 1) * 6400 AS BIGINT) AS blocks,
@@ -50,14 +50,14 @@ SELECT concat('DB', s_suppkey % 4) AS db_name, concat('TEMP_', s_suppkey % 3) AS
   CAST((s_suppkey % 5 + 1) * 1048576 * 100 AS BIGINT) AS bytes,
   CAST((s_suppkey % 5 + 1) * 1048576 * 400 AS BIGINT) AS maxbytes,
   CASE WHEN s_suppkey % 2 = 0 THEN 'YES' ELSE 'NO' END AS autoextensible, CAST(1280 AS BIGINT) AS increment_by
-FROM supplier WHERE s_suppkey % 6 = 0""")
+FROM supplier""")
 
 _role("extents", """
-SELECT concat('DB', l_suppkey % 4) AS db_name, l_suppkey AS file_id,
-  (l_orderkey * 37) % (CASE WHEN l_suppkey % 2 = 0 THEN 6400 * (l_suppkey % 7 + 1) - 50 ELSE 3000 END) AS block_id,
+SELECT concat('DB', k % 4) AS db_name, k AS file_id,
+  (l_orderkey * 37) % (CASE WHEN k % 2 = 0 THEN 6400 * (k % 7 + 1) - 50 ELSE 3000 END) AS block_id,
   CAST(l_quantity AS BIGINT) AS blocks, CAST(l_quantity AS BIGINT) * 8192 AS bytes,
-  concat('TS_', l_suppkey % 10) AS tablespace_name
-FROM lineitem WHERE l_suppkey % 11 <> 10""")
+  CASE k % 10 WHEN 8 THEN 'SYSAUX' WHEN 9 THEN 'UNDOTBS1' ELSE concat('TS_', k % 10) END AS tablespace_name
+FROM (SELECT l_orderkey, l_quantity, CASE WHEN l_suppkey % 11 = 10 THEN l_suppkey - 1 ELSE l_suppkey END AS k FROM lineitem) t""")
 
 _role("segments", """
 SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, concat('U', p_partkey % 150 % 50) AS owner,
@@ -68,14 +68,14 @@ SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, concat('U', p_partkey
 FROM part""")
 
 _role("lobs", """
-SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, concat('U', p_partkey % 150 % 50) AS owner,
-  concat('T_', p_partkey % 150) AS table_name, concat('C', p_size % 5) AS column_name, concat('LOB_', p_partkey) AS segment_name
-FROM part WHERE p_partkey % 3 = 2""")
+SELECT concat('DB', k % 150 % 50 % 4) AS db_name, concat('U', k % 150 % 50) AS owner,
+  concat('T_', k % 150) AS table_name, concat('C', p_size % 5) AS column_name, concat('LOB_', k) AS segment_name
+FROM (SELECT p_size, p_partkey * 3 + 2 AS k FROM part) t""")
 
 _role("recyclebin", """
-SELECT concat('DB', o_orderkey % 4) AS db_name, concat('BIN$', o_orderkey) AS object_name,
+SELECT concat('DB', CASE o_orderkey % 4 WHEN 2 THEN 0 ELSE o_orderkey % 4 END) AS db_name, concat('BIN$', o_orderkey) AS object_name,
   CAST(o_orderkey % 64 + 8 AS BIGINT) AS space
-FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 10 = 3""")
+FROM orders""")
 
 _role("tablespaces", """
 SELECT DISTINCT concat('DB', p_partkey % 150 % 50 % 4) AS db_name,
@@ -88,7 +88,7 @@ SELECT DISTINCT concat('DB', c_custkey % 2), 'APP_200108', 'PERMANENT', CAST(819
 
 _role("ts_groups", """
 SELECT DISTINCT concat('DB', s_suppkey % 4) AS db_name, 'TEMP_GRP' AS group_name, concat('TEMP_', s_suppkey % 3) AS tablespace_name
-FROM supplier WHERE s_suppkey % 6 = 0""")
+FROM supplier""")
 
 _role("sort_usage", """
 SELECT concat('DB', user_id % 4) AS db_name, CASE WHEN user_id % 3 = 0 THEN 'TEMP_0' ELSE 'TEMP_1' END AS tablespace,
@@ -99,12 +99,12 @@ _role("redo", """
 SELECT concat('DB', s_suppkey % 4) AS db_name, CAST(s_suppkey % 2 + 1 AS BIGINT) AS thread, s_suppkey AS group_no,
   CAST((s_suppkey % 3 + 1) * 1048576 * 512 AS BIGINT) AS bytes, CAST(s_suppkey % 2 + 1 AS BIGINT) AS members,
   concat('/redo/', s_name, '.log') AS member
-FROM supplier WHERE s_suppkey % 5 = 1""")
+FROM supplier""")
 
 _role("standby_redo", """
 SELECT concat('DB', s_suppkey % 4) AS db_name, CAST(s_suppkey % 2 + 1 AS BIGINT) AS thread, s_suppkey AS group_no,
   CAST((s_suppkey % 3 + 1) * 1048576 * 512 AS BIGINT) AS bytes, concat('/redo/sb_', s_name, '.log') AS member
-FROM supplier WHERE s_suppkey % 5 = 2""")
+FROM supplier""")
 
 # ------------------------------------------------------- recovery / redo
 _role("recovery_dest", """
@@ -158,9 +158,9 @@ FROM (SELECT c_custkey % 4 AS k4, CAST((c_custkey % 32 - c_custkey % 4) / 4 AS I
 GROUP BY k4, q""")
 
 _role("restore_points", """
-SELECT concat('DB', o_orderkey % 4) AS db_name, concat('RP_', o_orderkey) AS name, o_orderdate AS time,
+SELECT concat('DB', CASE o_orderkey % 4 WHEN 3 THEN 1 ELSE o_orderkey % 4 END) AS db_name, concat('RP_', o_orderkey) AS name, o_orderdate AS time,
   CASE WHEN o_orderkey % 3 = 0 THEN 'YES' ELSE 'NO' END AS guarantee_flashback_database
-FROM orders WHERE o_orderkey % 4 = 1 AND o_orderkey % 97 = 0""")
+FROM orders""")
 
 _role("containers", """
 SELECT concat('DB', g % 4) AS db_name, CAST(q + 1 AS BIGINT) AS con_id,
@@ -173,7 +173,7 @@ GROUP BY g, q""")
 _role("saved_states", """
 SELECT concat('DB', c_custkey % 20 % 4) AS db_name, concat('PDB', c_custkey % 20) AS con_name, 'OPEN' AS state,
   'READ WRITE' AS restricted_mode_open
-FROM customer WHERE c_custkey % 20 >= 8 AND c_custkey % 20 < 16 GROUP BY c_custkey % 20""")
+FROM customer GROUP BY c_custkey % 20""")
 
 _role("db_properties", """
 SELECT concat('DB', c_custkey % 4) AS db_name,
@@ -195,7 +195,7 @@ FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'""")
 _role("network_acls", """
 SELECT concat('DB', o_orderkey % 4) AS db_name, concat('/sys/acls/', o_orderkey, '.xml') AS acl,
   CASE WHEN o_orderkey % 4 = 2 OR o_orderkey = 1 THEN '*' ELSE concat('host', o_custkey) END AS host
-FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' AND (o_orderkey % 4 <> 2 OR o_orderkey % 100 < 60)
+FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P'
 UNION ALL
 SELECT concat('DB', c_custkey % 4), concat('/sys/acls/default_', c_custkey % 4, '.xml'), '*'
 FROM customer WHERE c_custkey % 4 = 1 GROUP BY c_custkey % 4""")
@@ -234,7 +234,11 @@ FROM customer c LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM
 UNION ALL
 SELECT DISTINCT concat('DB', m % 4), 'APP', concat('TAR_SALES_', m % 3), CAST(NULL AS BIGINT), CAST(NULL AS TIMESTAMP),
   'N', 'N', 'YES', 'YES', 'ENABLED', CAST(NULL AS STRING), 'DISABLED', 'NO', '1', 'TS_0'
-FROM (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t""")
+FROM (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t
+UNION ALL
+SELECT concat('DB', s_suppkey % 4), CASE s_suppkey % 4 WHEN 0 THEN 'MDSYS' WHEN 1 THEN 'XDB' WHEN 2 THEN 'APEX_040200' ELSE concat('U', s_suppkey % 50) END, concat('SYS_T', s_suppkey), CAST(s_suppkey AS BIGINT), CAST(NULL AS TIMESTAMP),
+  'N', 'N', 'YES', 'NO', 'DISABLED', CAST(NULL AS STRING), 'DISABLED', 'NO', '1', 'SYSAUX'
+FROM supplier""")
 
 _role("tab_stats", """
 SELECT concat('DB', c_custkey % 50 % 4) AS db_name, concat('U', c_custkey % 50) AS owner, concat('T_', c_custkey) AS table_name,
@@ -245,17 +249,20 @@ UNION ALL
 SELECT DISTINCT concat('DB', m % 4), 'APP', concat('TAR_SALES_', m % 3),
   CASE WHEN m % 2 = 0 THEN concat('SYS_P', m) ELSE concat('SALES_', m) END,
   CASE WHEN m % 7 = 0 THEN 'ALL' ELSE NULL END
-FROM (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t""")
+FROM (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t
+UNION ALL
+SELECT concat('DB', s_suppkey % 4), CASE s_suppkey % 4 WHEN 0 THEN 'MDSYS' WHEN 1 THEN 'XDB' WHEN 2 THEN 'APEX_040200' ELSE concat('U', s_suppkey % 50) END, concat('SYS_T', s_suppkey), CAST(NULL AS STRING), CAST(NULL AS STRING)
+FROM supplier""")
 
-for _r, _m in (("externals", 13), ("mviews", 17), ("mview_logs", 19)):
+for _r, _m in (("externals", 13), ("mviews", 17), ("mview_logs", 19)):    # names every 13th table and so on, and tables since dropped
     _role(_r, f"""
-SELECT concat('DB', c_custkey % 50 % 4) AS db_name, concat('U', c_custkey % 50) AS owner, concat('T_', c_custkey) AS name
-FROM customer WHERE c_custkey % {_m} = 0""")
+SELECT concat('DB', k % 50 % 4) AS db_name, concat('U', k % 50) AS owner, concat('T_', k) AS name
+FROM (SELECT c_custkey * {_m} AS k FROM customer) t""")
 
 _role("internal_owners", "SELECT DISTINCT concat('U', c_custkey % 5) AS owner FROM customer")
 
 _role("views", """
-SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END AS owner,
+SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner,
   concat('OBJ_', o_orderkey) AS view_name, CAST(o_orderkey % 400 + 20 AS BIGINT) AS text_length
 FROM orders WHERE o_orderpriority = '2-HIGH'""")
 
@@ -281,10 +288,11 @@ SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name,
 FROM part""")
 
 _role("index_usage", """
-SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, concat('U', p_partkey % 150 % 50) AS owner, concat('IX_', p_partkey) AS index_name,
+SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, concat('U', p_partkey % 150 % 50) AS owner,
+  concat(CASE WHEN p_partkey % 5 = 0 THEN 'IX_OLD_' ELSE 'IX_' END, p_partkey) AS index_name,
   concat('T_', p_partkey % 150) AS table_name, CASE WHEN p_size % 3 = 1 THEN 'NO' ELSE 'YES' END AS monitoring,
   CASE WHEN p_size % 2 = 0 THEN 'YES' ELSE 'NO' END AS used, concat('01-', 10 + p_size % 20, '-2024 08:30:00') AS start_monitoring
-FROM part WHERE p_partkey % 5 <> 0""")
+FROM part""")
 
 # Dictionary-level index usage: index objects (id 1e6 + partkey), their
 # tables (id 2e6 + partkey % 150), index flag bits and usage-tracking rows.
@@ -294,10 +302,10 @@ SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, p_partkey + 1000000 AS
 FROM part""")
 
 _role("object_usage", """
-SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, p_partkey + 1000000 AS obj_id,
+SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, CASE WHEN p_partkey % 5 = 0 THEN -p_partkey ELSE p_partkey + 1000000 END AS obj_id,
   CAST(CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END + 2 * (p_size % 3) AS BIGINT) AS flags,
   concat('01-', 10 + p_size % 20, '-2024 08:30:00') AS start_monitoring, CAST(NULL AS STRING) AS end_monitoring
-FROM part WHERE p_partkey % 5 <> 0""")
+FROM part""")
 
 _role("dict_objects", """
 SELECT concat('DB', p_partkey % 150 % 50 % 4) AS db_name, p_partkey + 1000000 AS obj_id, concat('U', p_partkey % 150 % 50) AS owner,
@@ -334,7 +342,7 @@ FROM part""")
 
 # ------------------------------------------------------------- objects
 _role("objects", """
-SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END AS owner,
+SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner,
   concat('OBJ_', o_orderkey) AS object_name, o_orderkey AS object_id,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'SYNONYM' WHEN '2-HIGH' THEN 'VIEW' WHEN '3-MEDIUM' THEN 'TABLE' WHEN '5-LOW' THEN 'TRIGGER' ELSE 'PACKAGE BODY' END AS object_type,
   CASE WHEN o_orderstatus = 'P' THEN 'INVALID' ELSE 'VALID' END AS status, o_orderdate AS created,
@@ -348,7 +356,7 @@ SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, concat('U', o_orderkey % 50
 FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'""")
 
 _role("triggers", """
-SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END AS owner,
+SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner,
   concat('OBJ_', o_orderkey) AS trigger_name, CASE WHEN o_custkey % 6 = 0 THEN 'AFTER EVENT' ELSE 'BEFORE EACH ROW' END AS trigger_type,
   CASE WHEN o_custkey % 9 = 0 THEN concat('U', o_custkey % 50) ELSE concat('U', o_orderkey % 50) END AS table_owner, concat('T_', o_custkey) AS table_name,
   CASE WHEN o_custkey % 4 = 0 THEN 'DISABLED' ELSE 'ENABLED' END AS status,
@@ -356,13 +364,13 @@ SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 =
 FROM orders WHERE o_orderpriority = '5-LOW'""")
 
 _role("synonyms", """
-SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END AS owner,
+SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner,
   concat('S_', o_orderkey) AS synonym_name,
   concat('U', o_orderkey % 50) AS table_owner, CASE WHEN o_orderkey % 7 = 0 THEN concat('S_', o_orderkey - 50) ELSE concat('T_', o_custkey) END AS table_name
 FROM orders WHERE o_orderpriority = '1-URGENT'""")
 
 _role("dependencies", """
-SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END AS owner,
+SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner,
   concat('OBJ_', o_orderkey) AS name, 'VIEW' AS type, concat('U', o_custkey % 50) AS referenced_owner,
   concat('T_', o_custkey % 150) AS referenced_name, 'TABLE' AS referenced_type
 FROM orders WHERE o_orderpriority = '2-HIGH'""")
@@ -374,11 +382,11 @@ _role("obj_dependency", """
 SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, o_orderkey AS d_obj, o_orderkey - 50 AS p_obj,
   CASE WHEN o_orderkey % 6 = 0 THEN o_orderdate - INTERVAL 3 DAY ELSE o_orderdate END AS p_timestamp,
   CAST(o_orderkey % 2 AS BIGINT) AS property
-FROM orders WHERE o_orderkey > 50""")
+FROM orders""")
 
 _role("obj_dict", """
 SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, o_orderkey AS obj_id,
-  CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END AS owner,
+  CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner,
   concat('OBJ_', o_orderkey) AS name,
   CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 4 WHEN '3-MEDIUM' THEN 2 WHEN '5-LOW' THEN 12 ELSE 11 END AS type_id,
   CASE WHEN o_orderstatus = 'P' THEN 5 ELSE 1 END AS status,
@@ -387,18 +395,18 @@ FROM orders""")
 
 _role("tab_privs", """
 SELECT concat('DB', l_partkey % 150 % 50 % 4) AS db_name, concat('U', l_partkey % 150 % 50) AS owner, concat('T_', l_partkey % 150) AS table_name,
-  concat('U', l_suppkey % 50) AS grantee,
+  CASE WHEN l_suppkey % 50 = 49 THEN 'APEX_PUBLIC_USER' ELSE concat('U', l_suppkey % 50) END AS grantee,
   CASE l_linenumber WHEN 1 THEN 'SELECT' WHEN 2 THEN 'INSERT' WHEN 3 THEN 'ALTER' WHEN 4 THEN 'INDEX' WHEN 5 THEN 'DEBUG' WHEN 6 THEN 'FLASHBACK' ELSE 'QUERY REWRITE' END AS privilege,
   CASE WHEN l_returnflag = 'R' THEN 'YES' ELSE 'NO' END AS grantable
 FROM lineitem
 UNION ALL
-SELECT concat('DB', o_orderkey % 50 % 4), CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END,
-  concat('OBJ_', o_orderkey), concat('U', (o_orderkey + 4) % 50), 'SELECT', 'NO'
-FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderkey % 3 = 0""")
+SELECT concat('DB', o_orderkey % 50 % 4), CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END,
+  concat('OBJ_', o_orderkey), concat('U', (o_orderkey + 4) % 50), CASE WHEN o_orderkey % 3 = 0 THEN 'SELECT' ELSE 'READ' END, 'NO'
+FROM orders WHERE o_orderpriority = '2-HIGH'""")
 
 # ---------------------------------------------------------------- users
 _role("users", """
-SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS username, c_custkey AS user_id, c_mktsegment AS profile,
+SELECT concat('DB', c_custkey % 4) AS db_name, CASE WHEN c_custkey % 61 = 0 THEN concat('SYS', c_custkey) ELSE concat('U', c_custkey) END AS username, c_custkey AS user_id, c_mktsegment AS profile,
   CASE WHEN c_acctbal < 0 THEN 'EXPIRED' WHEN c_custkey % 17 = 0 THEN 'LOCKED' ELSE 'OPEN' END AS account_status,
   CASE WHEN c_custkey % 6 = 0 THEN 'SYSTEM' ELSE 'TEMP' END AS temporary_tablespace,
   concat('TS_', c_custkey % 8) AS default_tablespace,
@@ -408,8 +416,8 @@ SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS usernam
 FROM customer""")
 
 _role("user_history", """
-SELECT concat('DB', o_custkey % 4) AS db_name, o_custkey AS user_id, o_orderdate AS password_date
-FROM orders WHERE o_custkey % 3 <> 0""")
+SELECT concat('DB', k % 4) AS db_name, k AS user_id, o_orderdate AS password_date
+FROM (SELECT o_orderdate, CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 1 ELSE o_custkey END AS k FROM orders) t""")
 
 _role("user_base", """
 SELECT concat('DB', c.c_custkey % 4) AS db_name, concat('U', c.c_custkey) AS name, c.c_custkey AS user_id,
@@ -418,8 +426,8 @@ SELECT concat('DB', c.c_custkey % 4) AS db_name, concat('U', c.c_custkey) AS nam
 FROM customer c LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey""")
 
 _role("users_defpwd", """
-SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS username, 'Y' AS product
-FROM customer WHERE c_custkey % 19 = 3""")
+SELECT concat('DB', c_custkey % 4) AS db_name, CASE WHEN c_custkey % 19 = 3 THEN 'XS$NULL' ELSE concat('U', c_custkey) END AS username, 'Y' AS product
+FROM customer""")
 
 _role("sys_privs", """
 SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS grantee,
@@ -437,7 +445,7 @@ FROM customer""")
 
 _role("role_privs", """
 SELECT concat('DB', c_custkey % 4) AS db_name, CASE WHEN c_custkey % 10 = 0 THEN 'DBA' ELSE 'CONNECT' END AS granted_role,
-  concat('U', c_custkey) AS grantee, CASE WHEN c_custkey % 20 = 0 THEN 'YES' ELSE 'NO' END AS admin_option
+  concat(CASE WHEN c_custkey % 70 = 0 THEN 'SYS' WHEN c_custkey % 90 = 0 THEN 'APEX_' ELSE 'U' END, c_custkey) AS grantee, CASE WHEN c_custkey % 20 = 0 THEN 'YES' ELSE 'NO' END AS admin_option
 FROM customer""")
 
 _role("roles", """
@@ -445,33 +453,33 @@ SELECT concat('DB', c_custkey % 4) AS db_name, concat('R_', c_mktsegment) AS rol
 FROM customer GROUP BY c_custkey % 4, c_mktsegment""")
 
 _role("pwfile_users", """
-SELECT concat('DB', c_custkey % 4) AS db_name, concat('U', c_custkey) AS username, 'TRUE' AS sysdba,
+SELECT concat('DB', c_custkey % 4) AS db_name, CASE WHEN c_custkey % 97 < 4 THEN 'SYS' ELSE concat('U', c_custkey) END AS username, 'TRUE' AS sysdba,
   CASE WHEN c_custkey % 2 = 0 THEN 'TRUE' ELSE 'FALSE' END AS sysoper
-FROM customer WHERE c_custkey % 97 = 4 OR c_custkey < 4""")
+FROM customer""")
 
 # ---------------------------------------------------------------- jobs
 _role("scheduler_jobs", """
 SELECT concat('DB', c_custkey % 50 % 4) AS db_name, concat('U', c_custkey % 50) AS owner, concat('JOB_', c_custkey) AS job_name,
   CASE WHEN c_acctbal < 3000 THEN 'FALSE' ELSE 'TRUE' END AS enabled, CASE WHEN c_custkey % 5 = 0 THEN 'RUNNING' ELSE 'SCHEDULED' END AS state
-FROM customer WHERE c_custkey % 2 = 0""")
+FROM customer""")
 
 _role("jobs", """
 SELECT concat('DB', c_custkey % 50 % 4) AS db_name, concat('U', c_custkey % 50) AS schema_user, c_custkey AS job,
   CASE WHEN c_acctbal < 3000 THEN 'Y' ELSE 'N' END AS broken, concat('do_', c_mktsegment) AS what
-FROM customer WHERE c_custkey % 2 = 1""")
+FROM customer""")
 
 _role("datapump_jobs", """
-SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' ELSE concat('U', o_orderkey % 50) END AS owner_name,
-  concat('OBJ_', o_orderkey) AS job_name, CASE WHEN o_custkey % 2 = 0 THEN 'EXPORT' ELSE 'IMPORT' END AS operation,
+SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner_name,
+  concat('OBJ_', CASE WHEN o_orderkey % 3 = 0 THEN -o_orderkey ELSE o_orderkey END) AS job_name, CASE WHEN o_custkey % 2 = 0 THEN 'EXPORT' ELSE 'IMPORT' END AS operation,
   'SCHEMA' AS job_mode, CASE WHEN o_orderstatus = 'O' THEN 'EXECUTING' ELSE 'NOT RUNNING' END AS state,
   CAST(o_custkey % 2 AS BIGINT) AS attached_sessions
-FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderkey % 10 = 7""")
+FROM orders""")
 
 _role("sequences", """
-SELECT concat('DB', p_partkey % 50 % 4) AS db_name, concat('U', p_partkey % 50) AS sequence_owner, concat('SEQ_', p_partkey) AS sequence_name,
+SELECT concat('DB', p_partkey % 50 % 4) AS db_name, CASE WHEN p_partkey % 53 = 0 THEN 'SYSTEM' ELSE concat('U', p_partkey % 50) END AS sequence_owner, concat('SEQ_', p_partkey) AS sequence_name,
   CAST(p_size % 3 + 1 AS BIGINT) AS increment_by, 'N' AS cycle_flag, CASE WHEN p_size % 2 = 0 THEN 'Y' ELSE 'N' END AS order_flag,
   CAST(p_size AS BIGINT) * 1000 AS last_number
-FROM part WHERE p_partkey % 9 = 0""")
+FROM part""")
 
 _role("sessions", """
 SELECT concat('DB', user_id % 4) AS db_name, CAST(user_id % 2 + 1 AS BIGINT) AS inst_id, concat('U', user_id % 50) AS username,
@@ -481,12 +489,12 @@ FROM events WHERE event_type = 'signup'""")
 _role("sql_profiles", """
 SELECT concat('DB', p_partkey % 4) AS db_name, concat('SYS_SQLPROF_', p_partkey) AS name,
   CASE WHEN p_size % 2 = 0 THEN 'ENABLED' ELSE 'DISABLED' END AS status
-FROM part WHERE p_partkey % 13 = 0""")
+FROM part""")
 
 _role("directories", """
 SELECT concat('DB', s_suppkey % 4) AS db_name, 'SYS' AS owner, concat('DIR_', s_suppkey) AS directory_name,
   concat('/u0', s_suppkey % 5, '/dir/', s_suppkey) AS directory_path
-FROM supplier WHERE s_suppkey % 4 = 0""")
+FROM supplier""")
 
 # --------------------------------------------------------------- features
 _role("feature_usage", """
@@ -510,7 +518,24 @@ SELECT DISTINCT concat('DB', m % 4) AS db_name, 'APP' AS table_owner, concat('TA
   CASE WHEN m % 4 = 1 THEN 'ENABLED' ELSE 'DISABLED' END AS compression,
   CAST(m * 10 AS BIGINT) AS num_rows,
   CASE WHEN m % 3 = 0 THEN NULL ELSE TIMESTAMP '2001-07-01 00:00:00' END AS last_analyzed
-FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS mo, year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t""")
+FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS mo, year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t
+UNION ALL
+SELECT DISTINCT concat('DB', d % 4), 'SCOTT', CASE WHEN d % 3 = 0 THEN 'QUEUE' ELSE 'LOG' END, concat('SYS_P', (y * 12 + mo) * 31 + d), CAST((y * 12 + mo) * 31 + d AS INT),
+  CASE WHEN d = 31 THEN 'MAXVALUE' ELSE concat('TO_DATE('' ', y, '-', lpad(CAST(mo AS STRING), 2, '0'), '-', lpad(CAST(d AS STRING), 2, '0'), ' 00:00:00'')') END,
+  concat('TS_', d % 8), 'YES', 'DISABLED', CAST(d * 10 AS BIGINT), CASE WHEN d % 3 = 0 THEN NULL ELSE TIMESTAMP '2001-07-01 00:00:00' END
+FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS mo, day(o_orderdate) AS d FROM orders) t
+UNION ALL
+SELECT DISTINCT concat('DB', m % 4), 'SCOTT', 'HISTORY', concat('SYS_P', m), CAST(m AS INT), concat(y, lpad(CAST(mo AS STRING), 2, '0'), '01'),
+  concat('TS_', m % 8), 'YES', 'DISABLED', CAST(m * 10 AS BIGINT), CAST(NULL AS TIMESTAMP)
+FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS mo, year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders) t
+UNION ALL
+SELECT concat('DB', c_custkey % 4), 'SCOTT', 'DETAIL', concat(CASE WHEN c_custkey % 3 = 0 THEN 'DETAIL_' ELSE 'SYS_P' END, c_custkey), CAST(c_custkey AS INT),
+  CASE WHEN c_custkey % 19 = 0 THEN 'MAXVALUE' ELSE CAST(c_custkey % 900 + 100 AS STRING) END, concat('TS_', c_custkey % 8), 'YES', 'DISABLED', CAST(c_custkey AS BIGINT), CAST(NULL AS TIMESTAMP)
+FROM customer
+UNION ALL
+SELECT concat('DB', p_partkey % 4), 'APP', concat('EVENT_', p_partkey % 5), concat('SYS_P', p_partkey), CAST(p_partkey AS INT), CAST(p_partkey * 10000 AS STRING),
+  concat('TS_', p_partkey % 8), CASE WHEN p_partkey % 6 = 1 THEN 'NO' ELSE 'YES' END, 'DISABLED', CAST(p_partkey AS BIGINT), CAST(NULL AS TIMESTAMP)
+FROM part""")
 
 _role("ind_partitions", """
 SELECT DISTINCT concat('DB', m % 4) AS db_name, 'APP' AS index_owner, concat('IXP_', m % 3) AS index_name,
@@ -529,19 +554,22 @@ SELECT concat('DB', c_custkey % 12 % 4) AS db_name, 'APP' AS owner, concat('TAR_
   CASE WHEN c_custkey % 12 % 3 = 1 THEN 'NUMTOYMINTERVAL(1,''MONTH'')' ELSE NULL END AS interval
 FROM customer GROUP BY c_custkey % 12
 UNION ALL
-SELECT concat('DB', c_custkey % 50 % 4), concat('U', c_custkey % 50), concat('T_', c_custkey),
-  CASE c_custkey % 3 WHEN 0 THEN 'APP_200108' WHEN 1 THEN 'SHORT_TERM' ELSE 'USERS' END,
-  CASE WHEN c_custkey % 2 = 0 THEN 'NUMTOYMINTERVAL(1,''MONTH'')' ELSE NULL END
-FROM customer WHERE c_custkey % 5 = 0""")
+SELECT concat('DB', k % 50 % 4), concat('U', k % 50), concat('T_', k),
+  CASE k % 3 WHEN 0 THEN 'APP_200108' WHEN 1 THEN 'SHORT_TERM' ELSE 'USERS' END,
+  CASE WHEN k % 2 = 0 THEN 'NUMTOYMINTERVAL(1,''MONTH'')' ELSE NULL END
+FROM (SELECT c_custkey * 5 AS k FROM customer) t
+UNION ALL
+SELECT DISTINCT concat('DB', p_partkey % 4), 'APP', concat('EVENT_', p_partkey % 5), 'USERS', CASE WHEN p_partkey % 5 < 3 THEN '10000' ELSE NULL END
+FROM part""")
 
 _role("store_lists", """
 SELECT concat('DB', c_custkey % 12 % 4) AS db_name, 'APP' AS owner, concat('TAR_SALES_', c_custkey % 12 % 3) AS table_name,
   CASE WHEN c_custkey % 24 < 12 THEN 'APP_200108' ELSE concat('APP_2001', lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0')) END AS tablespace_name
 FROM customer GROUP BY c_custkey % 12, c_custkey % 24
 UNION ALL
-SELECT concat('DB', c_custkey % 50 % 4), concat('U', c_custkey % 50), concat('T_', c_custkey),
-  CASE c_custkey % 4 WHEN 0 THEN 'APP_200108' WHEN 1 THEN 'ETL_200108' ELSE 'USERS' END
-FROM customer WHERE c_custkey % 5 = 0""")
+SELECT concat('DB', k % 50 % 4), concat('U', k % 50), concat('T_', k),
+  CASE k % 4 WHEN 0 THEN 'APP_200108' WHEN 1 THEN 'ETL_200108' ELSE 'USERS' END
+FROM (SELECT c_custkey * 5 AS k FROM customer) t""")
 
 # ------------------------------------------------------- files and logs
 _role("log_lines", """
