@@ -159,6 +159,11 @@ def reclaimable_space(data_files: DataFrame, extents: DataFrame, parameters: Dat
                               shrunk.cast("string"), " m;").alias("remedy")))
 
 
+def user_files(data_files: DataFrame) -> DataFrame:
+    """Data files outside undo and system tablespaces, as shrink plans measure them."""
+    return data_files.filter(_user_tablespace(F.col("tablespace_name")))
+
+
 def size_delta(before: DataFrame, after: DataFrame, keys=("db_name",), size_col: str = "bytes") -> DataFrame:
     """Total size before, after and recovered (MB) per key."""
     keys = list(keys)
@@ -184,8 +189,9 @@ def resized_files(data_files: DataFrame, plan: DataFrame) -> DataFrame:
 
 def segment_footprint(segments: DataFrame, indexes: DataFrame, lobs: DataFrame,
                       owner: str | None = None, table: str | None = None) -> DataFrame:
-    """Data, index and LOB MB and segment count per table, as three
-    labelled rows. Without owner/table it runs for every table of the fleet."""
+    """Data, index and LOB MB and segment count per table, always three labelled
+    rows: a kind without segments has NULL MB and count 0. Without owner/table
+    it runs for every table of the fleet."""
     def _scope(df, o, t):
         if owner is not None:
             df = df.filter(F.col(o) == owner)
@@ -210,9 +216,13 @@ def segment_footprint(segments: DataFrame, indexes: DataFrame, lobs: DataFrame,
     lob = (seg.join(lob_keys, ["db_name", "owner", "segment_name"], "inner")
            .select("db_name", "table_owner", "table_name", "bytes")
            .withColumn("kind", F.lit("Total LOB Segments")))
-    return (data.unionByName(idx).unionByName(lob)
-            .groupBy("db_name", "table_owner", "table_name", "kind")
-            .agg(F.round(F.sum("bytes") / MB, 0).alias("mb"), F.count(F.lit(1)).alias("segments")))
+    kinds = ("Total Data Segments", "Total Index Segments", "Total LOB Segments")
+    sums = [f(F.when(F.col("kind") == k, F.col("bytes"))).alias(f"_{n}{i}")
+            for i, k in enumerate(kinds) for n, f in (("b", F.sum), ("n", F.count))]
+    t = data.unionByName(idx).unionByName(lob).groupBy("db_name", "table_owner", "table_name").agg(*sums)
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.round(F.col(f"_b{i}") / MB, 0).alias("mb"),
+                                        F.col(f"_n{i}").alias("segments")) for i, k in enumerate(kinds)]))
+    return t.select("db_name", "table_owner", "table_name", rows.alias("r")).select("db_name", "table_owner", "table_name", "r.*")
 
 
 def top_lobs(lobs: DataFrame, segments: DataFrame, n: int = 10, owner_like: str = "%") -> DataFrame:
@@ -349,10 +359,11 @@ def daily_counter_growth(sysstat: DataFrame, as_of: str, trend_days: int = 7, nu
     (× ``factor``), in MB. A day pairs only with the *calendar* previous
     day, so a missing day drops a pair. Counter resets (negative deltas)
     count unless ``drop_resets`` (S26)."""
-    d = daily_counter(sysstat, as_of, trend_days, stat)
-    prev = d.select("db_name", F.date_add("day", 1).alias("day"), F.col("counter_mb").alias("prev_mb"))
-    delta = d.join(prev, ["db_name", "day"], "inner").select(
-        "db_name", (F.col("counter_mb") - F.col("prev_mb")).alias("delta"))
+    by_day = Window.partitionBy("db_name").orderBy("day")           # one row per database and day
+    delta = (daily_counter(sysstat, as_of, trend_days, stat)
+             .withColumns({"_day": F.lag("day").over(by_day), "_mb": F.lag("counter_mb").over(by_day)})
+             .filter(F.date_add("_day", 1) == F.col("day"))
+             .select("db_name", (F.col("counter_mb") - F.col("_mb")).alias("delta")))
     if drop_resets:
         delta = delta.filter(F.col("delta") >= 0)
     return (delta.groupBy("db_name")
@@ -376,9 +387,9 @@ def recovery_area_free(recovery_usage: DataFrame, parameters: DataFrame) -> Data
                     F.round((100 - F.col("used_pct")) * F.col("dest_size") / MB / 100, 0).cast("bigint").alias("free_mb")))
 
 
-def sizing_verdict(growth: DataFrame, required: DataFrame, free: DataFrame) -> DataFrame:
-    """Need vs free in one row per database."""
-    return (growth.join(required, "db_name", "full_outer").join(free.select("db_name", "free_mb"), "db_name", "full_outer")
+def sizing_verdict(growth: DataFrame, free: DataFrame, factor: int = 2) -> DataFrame:
+    """Need (``factor`` times the estimated growth) vs free in one row per database."""
+    return (growth.withColumn("required_mb", F.col("estimate_mb") * factor).join(free.select("db_name", "free_mb"), "db_name", "full_outer")
             .select("db_name", "estimate_mb", "required_mb", "free_mb",
                     (F.col("free_mb") >= F.col("required_mb")).alias("sufficient")))
 

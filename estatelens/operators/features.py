@@ -122,7 +122,8 @@ def feature_in_use(as_of: str, days: int = 366, zero_len_is_null: bool = True) -
 
 def _db_info(databases: DataFrame, instance: DataFrame) -> DataFrame:
     return (databases.select("db_name", "dbid", F.col("name").alias("database_name"))
-            .join(instance.select("db_name", F.col("version").alias("db_version"), "host_name"), "db_name", "left"))
+            .join(instance.groupBy("db_name").agg(F.min_by("version", "instance_name").alias("db_version"),     # first of several instances
+                                                  F.min_by("host_name", "instance_name").alias("host_name")), "db_name", "left"))
 
 
 def option_usage_summary(feature_usage: DataFrame, instance: DataFrame, databases: DataFrame,
@@ -142,7 +143,7 @@ def option_usage_summary(feature_usage: DataFrame, instance: DataFrame, database
 
 
 def option_usage_detail(feature_usage: DataFrame, instance: DataFrame, databases: DataFrame,
-                        as_of: str, zero_len_is_null: bool = True) -> DataFrame:
+                        as_of: str, zero_len_is_null: bool = True, ordered: bool = False) -> DataFrame:
     """One row per used feature, relabelled, with dates, counts and report time."""
     spark = feature_usage.sparkSession
     n = F.col("name")
@@ -150,9 +151,9 @@ def option_usage_detail(feature_usage: DataFrame, instance: DataFrame, databases
              .when(n == NETWORK_COMPRESSION_FEATURE, NETWORK_COMPRESSION_LABEL).otherwise(n))
     f = (feature_usage.filter(feature_in_use(as_of, zero_len_is_null=zero_len_is_null))
          .join(F.broadcast(option_feature_map(spark)), "name", "inner"))
-    return (f.join(per_database(_db_info(databases, instance)), "db_name", "inner")
+    out = (f.join(per_database(_db_info(databases, instance)), "db_name", "inner")
             .select("db_name", "option_name", F.lit("YES").alias("used"), label.alias("feature"), "version",
                     "currently_used", "detected_usages", "last_usage_date", "total_samples", "last_sample_date",
                     "dbid", "database_name", "db_version", "host_name",
-                    F.date_format(F.lit(as_of).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("report_time"))
-            .orderBy("db_name", "option_name", "feature", "version"))
+                    F.date_format(F.lit(as_of).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("report_time")))
+    return out.orderBy("db_name", "option_name", "feature", "version") if ordered else out

@@ -161,16 +161,16 @@ def exempt_pairs(spark: SparkSession) -> DataFrame:
 
 def dependency_mismatch(objects: DataFrame, obj_dict: DataFrame, obj_dependency: DataFrame) -> DataFrame:
     """Objects to compile: dependents and parents of dependency edges with
-    property bit 1 whose (valid) dependent sees a parent that is not
+    property bit 1 whose (valid, not a sub-object) dependent sees a parent that is not
     healthy or whose timestamp moved, unless the type pair is exempt."""
     spark = objects.sparkSession
     d = obj_dict.select("db_name", F.col("obj_id").alias("d_obj"), F.col("owner").alias("d_owner"),
-                        F.col("name").alias("d_name"), F.col("type_id").alias("d_type"), F.col("status").alias("d_status"))
+                        F.col("name").alias("d_name"), F.col("type_id").alias("d_type"), F.col("status").alias("d_status"), "subname")
     p = obj_dict.select("db_name", F.col("obj_id").alias("p_obj"), F.col("owner").alias("p_owner"),
                         F.col("name").alias("p_name"), F.col("type_id").alias("p_type"),
                         F.col("status").alias("p_status"), F.col("stime").alias("p_stime"))
     e = (obj_dependency.filter(F.col("property").bitwiseAND(F.lit(1)) == 1)
-         .join(d.filter(F.col("d_status") == 1), ["db_name", "d_obj"], "inner")
+         .join(d.filter((F.col("d_status") == 1) & F.col("subname").isNull()), ["db_name", "d_obj"], "inner")
          .join(p, ["db_name", "p_obj"], "inner")
          # six fixed rows: broadcast is bounded by construction
          .join(F.broadcast(exempt_pairs(spark)), ["p_type", "d_type"], "left_anti")

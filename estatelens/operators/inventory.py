@@ -52,8 +52,10 @@ def inv_database(instance: DataFrame, parameters: DataFrame, databases: DataFram
                  registry_history: DataFrame) -> DataFrame:
     v = _lines(instance, nz_concat("version: ", F.col("version")))
     sp = _lines(parameters.filter(F.col("name") == "spfile"), nz_concat("spfile location: ", F.col("value")))
-    d = _lines(databases, nz_concat("database: ", _line("dbid", "name", "log_mode", "open_mode", "database_role")))
-    h = _lines(registry_history, nz_concat("patch: ", _line(F.date_format("action_time", TS_FMT), "action", "comments")))
+    d = _lines(databases, nz_concat("database: ", _line("dbid", "name", "db_unique_name", F.date_format("created", TS_FMT), "log_mode", "open_mode",
+                                                           "database_role", "primary_db_unique_name")))
+    h = _lines(registry_history, nz_concat("patch: ", _line(F.date_format("action_time", TS_FMT), "action", "namespace", "version", "id",
+                                                               "bundle_series", "comments")))
     return _union(v, sp, d, h).distinct()
 
 
@@ -82,7 +84,8 @@ def inv_saved_states(saved_states: DataFrame, databases: DataFrame, db_propertie
 
 def inv_users(users: DataFrame) -> DataFrame:
     return users.select("db_name", "username", "account_status", "lock_date", "expiry_date", "default_tablespace",
-                        "temporary_tablespace", "created", "profile")
+                        "temporary_tablespace", "created", "profile", "initial_rsrc_consumer_group", "password_versions",
+                        "editions_enabled", "authentication_type")
 
 
 def inv_segments(segments: DataFrame, internal_owners: DataFrame) -> DataFrame:
@@ -130,7 +133,8 @@ def inv_storage(tablespaces: DataFrame, ts_groups: DataFrame, data_files: DataFr
                 redo: DataFrame, standby_redo: DataFrame) -> DataFrame:
     gb = lambda c: (F.col(c) / 1073741824).cast("string")
     parts = [
-        _lines(tablespaces, nz_concat(F.col("contents"), " Tablespace ", _line("tablespace_name", "block_size"))),
+        _lines(tablespaces, nz_concat(F.col("contents"), " Tablespace ", _line("tablespace_name", "block_size", "initial_extent", "extent_management", "allocation_type",
+                                                                                      "segment_space_management", "bigfile"))),
         _lines(ts_groups, nz_concat("Tempspace Group: ", _line("group_name", "tablespace_name", sep=" "))),
         _lines(data_files, nz_concat("Datafile: ", F.col("tablespace_name"), " ",
                                      _line("file_name", "bytes", "maxbytes", "autoextensible", "increment_by"))),
@@ -182,8 +186,10 @@ def state_capture(objects: DataFrame, errors: DataFrame, sequences: DataFrame, s
     seq = sequences.filter(~F.col("sequence_owner").isin(list(STATE_SEQ_EXCLUDE))).select(
         "db_name", F.lit("Sequences").alias("section"),
         _line("sequence_owner", "sequence_name", "last_number").alias("line"))
-    ses = sessions.select("db_name", F.lit("Connections").alias("section"),
-                          _line("username", "machine").alias("line"))
+    # fixed value: the module column is the first 30 characters of module:program
+    module = F.substring(nz_concat(F.col("module"), ":", F.col("program")), 1, 30)
+    ses = sessions.filter(F.col("type") == "USER").select("db_name", F.lit("Connections").alias("section"),
+                                                          _line("username", module, "machine").alias("line"))
     return _union(cnt, inv, err, seq, ses)
 
 

@@ -74,7 +74,8 @@ def read_log_archive(spark, path: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class RetentionRule:
-    """A file matches when its name ends with ``suffix`` and size/age fit.
+    """A file matches when its path ends with ``suffix``, fits ``pattern`` (a
+    regular expression found in the path) and size/age fit.
     ``min_age_minutes`` compares the exact age (find -mmin);
     ``min_age_days`` compares whole days of age (find -mtime)."""
     suffix: str
@@ -82,11 +83,15 @@ class RetentionRule:
     empty: bool | None = None            # True: size 0, False: size > 0, None: any
     min_age_minutes: int | None = None
     min_age_days: int | None = None
+    pattern: str | None = None
 
 
 def default_retention_rules(keep_days: int = 30) -> list[RetentionRule]:
     # The source's cleanup rules, first match wins.
     return [
+        RetentionRule("", "delete", min_age_days=1, pattern=r"/listener/.*/log[^/]*\.xml[^/]*$"),
+        RetentionRule(".xml", "truncate", pattern=r"/listener/.*/log[^/]*\.xml$"),
+        RetentionRule("", "delete", min_age_days=keep_days, pattern=r"/listener[^/]*$"),
         RetentionRule(".aud", "delete"),
         RetentionRule(".trc", "delete", empty=True, min_age_minutes=360),
         RetentionRule(".trm", "delete", empty=True, min_age_minutes=360),
@@ -108,6 +113,8 @@ def file_retention_plan(files: DataFrame, as_of: str, rules=None) -> DataFrame:
     action = rule_no = None
     for i, r in enumerate(rules, 1):
         c = F.col("path").endswith(r.suffix) & ~F.col("is_dir")
+        if r.pattern is not None:
+            c = c & F.col("path").rlike(r.pattern)
         if r.empty is True:
             c = c & (F.col("size_bytes") == 0)
         elif r.empty is False:

@@ -180,25 +180,16 @@ def partition_rename_plan(tab_partitions: DataFrame, part_tables: DataFrame, int
     high value minus one unit. Rules apply in order and the first rule
     that selects the table and parses the high value wins (a bad value
     yields no plan, S11). Only rows whose name changes are kept."""
-    io = F.broadcast(internal_owners.select(F.col("owner").alias("table_owner")))   # built-in schema list
+    io = F.broadcast(internal_owners.select(F.col("owner").alias("table_owner"), F.lit(True).alias("__known")).distinct())   # built-in schema list
     pt = part_tables.select("db_name", F.col("owner").alias("table_owner"), "table_name",
                             F.col("interval").alias("__interval")).distinct()
     sysp = tab_partitions.filter(F.col("partition_name").like("SYS%"))
-    # internal flag by semi/anti split: keyed hash joins, or existence
-    # checks where the owner is a constant, never an unkeyed outer join
-    flagged = (sysp.join(io, "table_owner", "left_semi").withColumn("__internal", F.lit(True))
-               .unionByName(sysp.join(io, "table_owner", "left_anti").withColumn("__internal", F.lit(False))))
+    flagged = sysp.join(io, "table_owner", "left").withColumn("__internal", F.col("__known").isNotNull())
     p = flagged.join(pt, ["db_name", "table_owner", "table_name"], "left")
     hv, tn = F.col("high_value"), F.col("table_name")
-    new = None
-    for r in rules:
-        cand = F.when(_selects(r), _new_name(r, hv, tn))
-        new = cand if new is None else F.coalesce(new, cand)
-    rule_id = None
-    for r in rules:
-        hit = _selects(r) & _new_name(r, hv, tn).isNotNull()
-        rule_id = F.when(hit, r.kind) if rule_id is None else rule_id.when(hit, r.kind)
-    return (p.withColumn("new_name", new).withColumn("rule", rule_id)
+    tried = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.when(_selects(r), _new_name(r, hv, tn)).alias("new_name")) for r in rules])
+    first = F.get(F.filter(tried, lambda t: t["new_name"].isNotNull()), 0)
+    return (p.withColumn("won", first).select("*", "won.rule", "won.new_name")
             .filter(F.col("new_name").isNotNull() & (F.col("partition_name") != F.col("new_name")))
             .select("db_name", "table_owner", "table_name", "partition_name", "new_name", "rule",
                     nz_concat("alter table ", F.col("table_owner"), ".", F.col("table_name"), " rename partition ",
@@ -230,13 +221,17 @@ def index_partition_rename(ind_partitions: DataFrame, part_indexes: DataFrame, t
     return out.orderBy("db_name", "table_owner", "table_name", "partition_position", "index_name") if ordered else out
 
 
-def index_partition_colocate(tab_partitions: DataFrame, ind_partitions: DataFrame, owners) -> DataFrame:
-    """Index partitions stored in another tablespace than the table
-    partition of the same owner and name."""
+def index_partition_colocate(tab_partitions: DataFrame, ind_partitions: DataFrame, part_indexes: DataFrame, owners) -> DataFrame:
+    """Index partitions stored in another tablespace than the partition of
+    the same name of their own table. ``part_indexes`` names the table of an
+    index: owner and partition name alone would also pair an index with other
+    tables of the owner that use the same partition names."""
     t = (tab_partitions.filter(F.col("table_owner").isin(list(owners)))
-         .select("db_name", F.col("table_owner").alias("index_owner"), "partition_name",
+         .select("db_name", F.col("table_owner").alias("index_owner"), "table_name", "partition_name",
                  F.col("tablespace_name").alias("table_tablespace")))
-    j = (ind_partitions.join(t, ["db_name", "index_owner", "partition_name"], "inner")
+    own = part_indexes.select("db_name", F.col("owner").alias("index_owner"), "index_name", "table_name").distinct()
+    j = (ind_partitions.join(own, ["db_name", "index_owner", "index_name"], "inner")
+         .join(t, ["db_name", "index_owner", "table_name", "partition_name"], "inner")
          .filter(F.col("table_tablespace") != F.col("tablespace_name")))
     return j.select("db_name", "index_owner", "index_name", "partition_name",
                     nz_concat("alter index ", F.col("index_owner"), ".", F.col("index_name"), " rebuild partition ",
@@ -247,15 +242,25 @@ def index_partition_colocate(tab_partitions: DataFrame, ind_partitions: DataFram
 # --------------------------------------------------------- retention
 
 POLICY_SCHEMA = "table_owner string, table_name string, prefix string, days int, fmt string"
+# The source's retention policy (owner, table, name prefix, days, date pattern).
+DEFAULT_RETENTION = [
+    ("SCOTT", "LOG", "LOG_", 31, "yyyy_MMdd"),
+    ("SCOTT", "EMAIL_QUEUE", "EMAIL_QUEUE_", 62, "yyyy_MMdd"),
+    ("SCOTT", "REQUEST_LOG", "REQUEST_LOG_", 120, "yyyy_MMdd"),
+    ("SCOTT", "HISTORY", "HISTORY_", 365, "yyyy_MM"),
+]
 # Date patterns a retention policy may use in partition names.
 NAME_DATE_FORMATS = ("yyyy_MMdd", "yyyy_MM", "yyyyMMdd", "yyyyMM", "yyyy")
 
 
-def expired_partitions(tab_partitions: DataFrame, policy: DataFrame, as_of: str) -> DataFrame:
+def expired_partitions(tab_partitions: DataFrame, policy: DataFrame | None, as_of: str) -> DataFrame:
     """Partitions whose name sorts before ``prefix || format(as_of - days)``
     (a name compare, S13); names must start with the prefix. ``policy``
     rows: (table_owner, table_name, prefix, days, fmt) with one of
-    NAME_DATE_FORMATS; another format is an error, not an empty plan."""
+    NAME_DATE_FORMATS; another format is an error, not an empty plan.
+    None stands for DEFAULT_RETENTION."""
+    if policy is None:
+        policy = tab_partitions.sparkSession.createDataFrame(DEFAULT_RETENTION, POLICY_SCHEMA)
     cutoff_day = F.date_sub(F.to_date(F.lit(as_of).cast("timestamp_ntz")), F.col("days"))
     formatted = None
     for fmt in NAME_DATE_FORMATS:    # date_format needs a literal pattern
@@ -320,15 +325,15 @@ def store_in_drift(tables: DataFrame, store_lists: DataFrame, owner_groups: dict
                               F.col("target"), ");").alias("remedy")).distinct()
 
 
-def index_default_drift(part_indexes: DataFrame, part_tables: DataFrame) -> DataFrame:
+def index_default_drift(part_indexes: DataFrame, part_tables: DataFrame, ordered: bool = False) -> DataFrame:
     t = part_tables.select("db_name", "owner", "table_name", F.col("def_tablespace_name").alias("table_ts"))
     j = (part_indexes.join(t, ["db_name", "owner", "table_name"], "inner")
          .filter(~F.col("owner").like("SYS%") & ~F.col("index_name").like("SYS%")
                  & (F.col("def_tablespace_name") != F.col("table_ts"))))
-    return (j.select("db_name", "owner", "index_name", "table_name",
-                     nz_concat("alter index ", F.col("owner"), ".", F.col("index_name"),
-                               " MODIFY DEFAULT ATTRIBUTES TABLESPACE ", F.col("table_ts"), ";").alias("remedy"))
-            .orderBy("remedy"))
+    out = j.select("db_name", "owner", "index_name", "table_name",
+                   nz_concat("alter index ", F.col("owner"), ".", F.col("index_name"),
+                             " MODIFY DEFAULT ATTRIBUTES TABLESPACE ", F.col("table_ts"), ";").alias("remedy"))
+    return out.orderBy("remedy") if ordered else out
 
 
 # ------------------------------------------------- row movement, shrink

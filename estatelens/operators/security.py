@@ -126,11 +126,11 @@ def wrong_temp_tablespace(users: DataFrame, db_properties: DataFrame) -> DataFra
 
 
 def aged_passwords(user_base: DataFrame, as_of: str, days: int = 90, ordered: bool = False) -> DataFrame:
-    """Open accounts whose password is older than ``days``."""
+    """Open user accounts (type 1, not roles) whose password is older than ``days``, with their profile."""
     cutoff = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
-    out = (user_base.filter((F.col("astatus") == 0) & (F.col("ptime") < cutoff))
-           .select("db_name", "name", F.col("ptime").alias("last_password_change")))
-    return out.orderBy("db_name", "name") if ordered else out
+    out = (user_base.filter((F.col("astatus") == 0) & (F.col("type_id") == 1) & (F.col("ptime") < cutoff))
+           .select("db_name", "name", F.col("ptime").alias("last_password_change"), F.col("resource").alias("profile")))
+    return out.orderBy("db_name", "profile", "name") if ordered else out
 
 
 def elevated_privileges(pwfile_users: DataFrame, role_privs: DataFrame, exclude_sys: bool = True) -> DataFrame:

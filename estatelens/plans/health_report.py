@@ -45,7 +45,7 @@ FROM (SELECT DISTINCT u.db_name, u.username, u.profile, u.account_status
       WHERE u.profile = '{PROFILE}' AND (h.password_date IS NULL OR u.account_status NOT IN ('OPEN'))) x""",
     "aged_passwords": f"""SELECT 'aged_password' AS rule_id, db_name, name AS owner, name AS object_name, strftime(ptime, '%Y-%m-%d') AS detail,
   CAST(NULL AS VARCHAR) AS remedy
-FROM cat_user_base WHERE astatus = 0 AND ptime < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 90 DAY""",
+FROM cat_user_base WHERE astatus = 0 AND type_id = 1 AND ptime < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 90 DAY""",
     "elevated_privileges": """SELECT 'elevated_privilege' AS rule_id, db_name, grantee AS owner, grantee AS object_name, privilege AS detail, CAST(NULL AS VARCHAR) AS remedy
 FROM (SELECT db_name, 'SYSDBA' AS privilege, username AS grantee FROM cat_pwfile_users WHERE username <> 'SYS'
       UNION ALL SELECT db_name, 'DBA', grantee FROM cat_role_privs WHERE granted_role = 'DBA' AND grantee NOT LIKE 'SYS%') x""",

@@ -89,19 +89,20 @@ def q_small_increment(R):
 WITH plan AS ({_RECLAIM}),
 after_files AS (
   SELECT f.db_name, CAST(coalesce(p.shrunk_size_mb * 1048576, f.bytes) AS BIGINT) AS bytes
-  FROM cat_data_files f LEFT JOIN plan p ON p.db_name = f.db_name AND p.file_id = f.file_id),
-b AS (SELECT db_name, sum(bytes) AS s FROM cat_data_files GROUP BY db_name),
+  FROM cat_data_files f LEFT JOIN plan p ON p.db_name = f.db_name AND p.file_id = f.file_id WHERE {_NOT_SYS}),
+b AS (SELECT db_name, sum(bytes) AS s FROM cat_data_files WHERE {_NOT_SYS} GROUP BY db_name),
 a AS (SELECT db_name, sum(bytes) AS s FROM after_files GROUP BY db_name)
 SELECT db_name, round(coalesce(b.s, 0) / 1048576, 4) AS before_mb, round(coalesce(a.s, 0) / 1048576, 4) AS after_mb,
   round((coalesce(b.s, 0) - coalesce(a.s, 0)) / 1048576, 4) AS recovered_mb
 FROM b FULL OUTER JOIN a USING (db_name)""")
 def q_size_delta(R):
     plan = cap.reclaimable_space(R.data_files, R.extents, R.parameters)
-    return cap.size_delta(R.data_files, cap.resized_files(R.data_files, plan))
+    files = cap.user_files(R.data_files)
+    return cap.size_delta(files, cap.resized_files(files, plan))
 
 
 @register("segment_footprint", """
-SELECT db_name, table_owner, table_name, kind, round(sum(bytes) / 1048576) AS mb, count(*) AS segments FROM (
+WITH t AS (
   SELECT db_name, owner AS table_owner, segment_name AS table_name, bytes, 'Total Data Segments' AS kind
   FROM cat_segments WHERE segment_type LIKE 'TABLE%'
   UNION ALL
@@ -112,7 +113,12 @@ SELECT db_name, table_owner, table_name, kind, round(sum(bytes) / 1048576) AS mb
   SELECT s.db_name, l.owner, l.table_name, s.bytes, 'Total LOB Segments'
   FROM cat_segments s JOIN (SELECT DISTINCT db_name, owner, segment_name, table_name FROM cat_lobs) l
     ON s.db_name = l.db_name AND s.owner = l.owner AND s.segment_name = l.segment_name
-) t GROUP BY db_name, table_owner, table_name, kind""")
+)
+SELECT n.db_name, n.table_owner, n.table_name, k.kind, round(sum(t.bytes) / 1048576) AS mb, count(t.bytes) AS segments
+FROM (SELECT DISTINCT db_name, table_owner, table_name FROM t) n
+CROSS JOIN (VALUES ('Total Data Segments'), ('Total Index Segments'), ('Total LOB Segments')) AS k(kind)
+LEFT JOIN t ON t.db_name = n.db_name AND t.table_owner = n.table_owner AND t.table_name = n.table_name AND t.kind = k.kind
+GROUP BY n.db_name, n.table_owner, n.table_name, k.kind""")
 def q_segment_footprint(R):
     return cap.segment_footprint(R.segments, R.indexes, R.lobs)
 
@@ -257,7 +263,6 @@ FROM g FULL OUTER JOIN f USING (db_name)""")
 def q_sizing_verdict(R):
     return cap.sizing_verdict(
         cap.daily_counter_growth(R.sysstat, EVENTS_AS_OF),
-        cap.required_free_space(R.sysstat, EVENTS_AS_OF),
         cap.recovery_area_free(R.recovery_usage, R.parameters))
 
 

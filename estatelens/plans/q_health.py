@@ -130,7 +130,7 @@ def q_stale_dependents(R):
 WITH dd AS MATERIALIZED (
   SELECT dep.db_name, dep.p_obj, dep.p_timestamp, d.owner AS d_owner, d.name AS d_name, d.type_id AS d_type
   FROM cat_obj_dependency dep JOIN cat_obj_dict d ON d.db_name = dep.db_name AND d.obj_id = dep.d_obj
-  WHERE d.status = 1 AND (dep.property & 1) = 1),
+  WHERE d.status = 1 AND d.subname IS NULL AND (dep.property & 1) = 1),
 e AS (
   SELECT dd.db_name, dd.d_owner, dd.d_name, p.owner AS p_owner, p.name AS p_name
   FROM dd JOIN cat_obj_dict p ON p.db_name = dd.db_name AND p.obj_id = dd.p_obj
@@ -231,3 +231,37 @@ SELECT db_name, flashback_on, restore_points, is_clone, (NOT fb AND NOT is_clone
 FROM f""")
 def q_maintenance_gate(R):
     return h.maintenance_gate(R.databases, R.restore_points, R.parameters)
+
+
+@register("stale_table_stats_by_profile", f"""
+SELECT 'stale_table_stats' AS rule_id, t.db_name, t.owner, t.table_name AS object_name,
+  concat('num_rows=', CAST(t.num_rows AS VARCHAR)) AS detail,
+  'exec DBMS_STATS.GATHER_TABLE_STATS(''' || t.owner || ''',''"' || t.table_name || '"'',CASCADE=>TRUE);' AS remedy
+FROM cat_tables t
+WHERE t.temporary = 'N' AND t.secondary = 'N' AND t.segment_created = 'YES' AND t.table_name NOT LIKE 'SYS%'
+  AND (t.last_analyzed IS NULL OR t.last_analyzed < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 30 DAY)
+  AND t.num_rows < 50000 AND t.tablespace_name <> 'TS_3'
+  AND EXISTS (SELECT 1 FROM cat_users u WHERE u.profile = 'BUILDING' AND u.db_name = t.db_name AND u.username = t.owner)
+  AND EXISTS (SELECT 1 FROM cat_tab_stats s WHERE s.db_name = t.db_name AND s.owner = t.owner AND s.table_name = t.table_name
+              AND s.stattype_locked IS NULL)
+  AND NOT EXISTS (SELECT 1 FROM cat_externals x WHERE x.db_name = t.db_name AND x.owner = t.owner AND x.name = t.table_name)""")
+def q_stale_table_stats_by_profile(R):
+    """The stats-gathering form: users of a profile, a row limit and a caller's predicate."""
+    return h.stale_table_stats(R.tables, R.tab_stats, R.externals, ORDERS_AS_OF, owners=R.users.filter("profile = 'BUILDING'"),
+                               max_rows=50000, predicate="tablespace_name <> 'TS_3'", cascade=True)
+
+
+@register("unanalyzed_partitions_by_profile", f"""
+SELECT 'unanalyzed_partition' AS rule_id, t.db_name, t.table_owner AS owner, t.partition_name AS object_name, t.table_name AS detail,
+  'exec DBMS_STATS.GATHER_TABLE_STATS(''' || t.table_owner || ''',''"' || t.table_name || '"'',''' || t.partition_name ||
+  ''',granularity=>''APPROX_GLOBAL AND PARTITION'',CASCADE=>TRUE);' AS remedy
+FROM cat_tab_partitions t
+WHERE t.segment_created = 'YES' AND (t.last_analyzed IS NULL OR t.last_analyzed < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 10 DAY)
+  AND t.table_name NOT LIKE 'SYS%' AND t.num_rows < 1000000 AND t.tablespace_name <> 'TS_3'
+  AND EXISTS (SELECT 1 FROM cat_users u WHERE u.profile = 'BUILDING' AND u.db_name = t.db_name AND u.username = t.table_owner)
+  AND EXISTS (SELECT 1 FROM cat_tab_stats s WHERE s.db_name = t.db_name AND s.owner = t.table_owner AND s.table_name = t.table_name
+              AND s.partition_name = t.partition_name AND s.stattype_locked IS NULL)
+  AND NOT EXISTS (SELECT 1 FROM cat_externals x WHERE x.db_name = t.db_name AND x.owner = t.table_owner AND x.name = t.table_name)""")
+def q_unanalyzed_partitions_by_profile(R):
+    return h.unanalyzed_partitions(R.tab_partitions, R.tab_stats, R.externals, owners=R.users.filter("profile = 'BUILDING'"),
+                                   as_of=ORDERS_AS_OF, age_days=10, max_rows=1000000, predicate="tablespace_name <> 'TS_3'")

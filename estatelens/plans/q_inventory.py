@@ -14,8 +14,10 @@ _NOT_INT = "NOT IN (SELECT owner FROM cat_internal_owners)"
 SELECT DISTINCT * FROM (
   SELECT db_name, concat('version: ', version) AS line FROM cat_instance
   UNION ALL SELECT db_name, concat('spfile location: ', value) FROM cat_parameters WHERE name = 'spfile'
-  UNION ALL SELECT db_name, concat('database: ', dbid, ',', name, ',', log_mode, ',', open_mode, ',', database_role) FROM cat_databases
-  UNION ALL SELECT db_name, concat('patch: ', strftime(action_time, '%Y-%m-%d %H:%M:%S'), ',', action, ',', comments)
+  UNION ALL SELECT db_name, concat('database: ', dbid, ',', name, ',', db_unique_name, ',', strftime(created, '%Y-%m-%d %H:%M:%S'), ',',
+    log_mode, ',', open_mode, ',', database_role, ',', primary_db_unique_name) FROM cat_databases
+  UNION ALL SELECT db_name, concat('patch: ', strftime(action_time, '%Y-%m-%d %H:%M:%S'), ',', action, ',', namespace, ',', version, ',', id, ',',
+    bundle_series, ',', comments)
   FROM cat_registry_history) x""")
 def q_inv_database(R):
     return inv.inv_database(R.instance, R.parameters, R.databases, R.registry_history)
@@ -48,7 +50,8 @@ def q_inv_saved_states(R):
 
 
 @register("inv_users", """
-SELECT db_name, username, account_status, lock_date, expiry_date, default_tablespace, temporary_tablespace, created, profile
+SELECT db_name, username, account_status, lock_date, expiry_date, default_tablespace, temporary_tablespace, created, profile,
+  initial_rsrc_consumer_group, password_versions, editions_enabled, authentication_type
 FROM cat_users""")
 def q_inv_users(R):
     return inv.inv_users(R.users)
@@ -100,7 +103,8 @@ def q_inv_jobs(R):
 
 @register("inv_storage", """
 SELECT DISTINCT * FROM (
-  SELECT db_name, concat(contents, ' Tablespace ', tablespace_name, ',', block_size) AS line FROM cat_tablespaces
+  SELECT db_name, concat(contents, ' Tablespace ', tablespace_name, ',', block_size, ',', initial_extent, ',', extent_management, ',', allocation_type, ',',
+    segment_space_management, ',', bigfile) AS line FROM cat_tablespaces
   UNION ALL SELECT db_name, concat('Tempspace Group: ', group_name, ' ', tablespace_name) FROM cat_ts_groups
   UNION ALL SELECT db_name, concat('Datafile: ', tablespace_name, ' ', file_name, ',', bytes, ',', maxbytes, ',', autoextensible, ',', increment_by)
   FROM cat_data_files
@@ -151,7 +155,8 @@ UNION ALL SELECT db_name, 'Invalid objects', concat(object_name, ',', owner, ','
 UNION ALL SELECT db_name, 'Errors', concat(owner, ',', name, ',', text) FROM cat_errors
 UNION ALL SELECT db_name, 'Sequences', concat(sequence_owner, ',', sequence_name, ',', last_number) FROM cat_sequences
   WHERE sequence_owner NOT IN ('SYS', 'SYSTEM', 'DBSNMP')
-UNION ALL SELECT db_name, 'Connections', concat(username, ',', machine) FROM cat_sessions""")
+UNION ALL SELECT db_name, 'Connections', concat(username, ',', substr(concat(module, ':', program), 1, 30), ',', machine)
+  FROM cat_sessions WHERE type = 'USER'""")
 def q_state_capture(R):
     return inv.state_capture(R.objects, R.errors, R.sequences, R.sessions)
 

@@ -19,7 +19,7 @@ SUFFIX = "200108"                       # period of ORDERS_AS_OF
 TS_PREFIXES = ("ETL", "APP")
 OWNER_GROUPS = {"APP": "APP", "U0": "ETL", "U5": "APP", "U10": "ETL", "U15": "APP", "U20": "ETL"}
 EXCLUDE = ['U7."', '"T_1', "  "]
-RETENTION = [("APP", f"TAR_SALES_{k}", f"SALES_{k}_", 365, "yyyy_MM") for k in range(3)]
+RETENTION = [("APP", f"TAR_SALES_{k}", f"SALES_{k}_", 365, "yyyy_MM") for k in range(3)] + pa.DEFAULT_RETENTION
 
 _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
@@ -134,15 +134,16 @@ def q_index_partition_rename(R):
 @register("index_partition_colocate", """
 SELECT i.db_name, i.index_owner, i.index_name, i.partition_name,
   'alter index ' || i.index_owner || '.' || i.index_name || ' rebuild partition ' || i.partition_name || ' tablespace ' || t.tablespace_name || ' online;' AS remedy
-FROM cat_tab_partitions t JOIN cat_ind_partitions i
-  ON i.db_name = t.db_name AND i.index_owner = t.table_owner AND i.partition_name = t.partition_name
+FROM cat_tab_partitions t
+JOIN cat_part_indexes x ON x.db_name = t.db_name AND x.owner = t.table_owner AND x.table_name = t.table_name
+JOIN cat_ind_partitions i ON i.db_name = x.db_name AND i.index_owner = x.owner AND i.index_name = x.index_name AND i.partition_name = t.partition_name
 WHERE t.tablespace_name <> i.tablespace_name AND t.table_owner IN ('APP')""")
 def q_index_partition_colocate(R):
-    return pa.index_partition_colocate(R.tab_partitions, R.ind_partitions, owners=("APP",))
+    return pa.index_partition_colocate(R.tab_partitions, R.ind_partitions, R.part_indexes, owners=("APP",))
 
 
-_POLICY = "(VALUES " + ", ".join(f"('{o}', '{t}', '{p}', {d})" for o, t, p, d, _ in RETENTION) + \
-    ") AS pol(table_owner, table_name, prefix, days)"
+_POLICY = "(VALUES " + ", ".join(f"('{o}', '{t}', '{p}', {d}, '{'%Y_%m%d' if f == 'yyyy_MMdd' else '%Y_%m'}')" for o, t, p, d, f in RETENTION) + \
+    ") AS pol(table_owner, table_name, prefix, days, fmt)"
 
 
 @register("expired_partitions", f"""
@@ -151,7 +152,8 @@ renamed AS (
   SELECT tp.db_name, tp.table_owner, tp.table_name, coalesce(pl.new_name, tp.partition_name) AS partition_name
   FROM cat_tab_partitions tp LEFT JOIN plan pl ON pl.db_name = tp.db_name AND pl.table_owner = tp.table_owner
     AND pl.table_name = tp.table_name AND pl.partition_name = tp.partition_name),
-c AS (SELECT *, prefix || strftime(CAST(TIMESTAMP '{ORDERS_AS_OF}' AS DATE) - days, '%Y_%m') AS cutoff_name FROM {_POLICY})
+c AS (SELECT *, prefix || CASE fmt WHEN '%Y_%m%d' THEN strftime(CAST(TIMESTAMP '{ORDERS_AS_OF}' AS DATE) - days, '%Y_%m%d')
+       ELSE strftime(CAST(TIMESTAMP '{ORDERS_AS_OF}' AS DATE) - days, '%Y_%m') END AS cutoff_name FROM {_POLICY})
 SELECT r.db_name, r.table_owner, r.table_name, r.partition_name, c.cutoff_name,
   'alter table ' || r.table_owner || '.' || r.table_name || ' drop partition ' || r.partition_name || ' update global indexes;' AS remedy
 FROM renamed r JOIN c ON c.table_owner = r.table_owner AND c.table_name = r.table_name
@@ -253,3 +255,12 @@ SELECT * FROM ({_SHRINK}) s
 WHERE NOT ({" OR ".join(f"contains(remedy, '{p}')" for p in EXCLUDE if p.strip())})""")
 def q_exclude_patterns(R):
     return pa.exclude_patterns(pa.shrink_candidates(R.tables, R.mviews, R.mview_logs, R.indexes), EXCLUDE)
+
+
+@register("shrink_candidates_limited", f"""
+SELECT db_name, owner, table_name, num_rows, replace(remedy, ' CASCADE;', ' COMPACT;') AS remedy
+FROM ({_SHRINK} AND t.num_rows < 50000 AND t.tablespace_name <> 'TS_3') s""")
+def q_shrink_candidates_limited(R):
+    """The shrink plan with a row limit, a caller's predicate and COMPACT."""
+    return pa.shrink_candidates(R.tables, R.mviews, R.mview_logs, R.indexes, max_rows=50000, predicate="tablespace_name <> 'TS_3'",
+                                compact=True, cascade=False)

@@ -92,8 +92,8 @@ def q_wrong_temp_tablespace(R):
 
 
 @register("aged_passwords", f"""
-SELECT db_name, name, ptime AS last_password_change FROM cat_user_base
-WHERE astatus = 0 AND ptime < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 90 DAY""")
+SELECT db_name, name, ptime AS last_password_change, resource AS profile FROM cat_user_base
+WHERE astatus = 0 AND type_id = 1 AND ptime < TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 90 DAY""")
 def q_aged_passwords(R):
     return sec.aged_passwords(R.user_base, ORDERS_AS_OF, days=90)
 

@@ -17,9 +17,6 @@ from estatelens.sources import sinks
 from estatelens.sources.roles import EVENTS_AS_OF
 from estatelens.streaming import jobs
 
-FLEET = ("DB0", "DB1", "DB2", "DB3")          # the fixture fleet (roles key databases DB0..DB3)
-
-
 @register("scan_catalog", "SELECT * FROM cat_extents")
 def q_scan_catalog(R):
     path = cat.scratch_path(R.spark, "catalog", "extents")
@@ -30,7 +27,8 @@ def q_scan_catalog(R):
 @register("fleet_union", "SELECT * FROM cat_data_files")
 def q_fleet_union(R):
     df = R.data_files
-    frames = {db: df.filter(F.col("db_name") == db).drop("db_name") for db in FLEET}
+    fleet = [r.db_name for r in df.select("db_name").distinct().orderBy("db_name").collect()]       # a row per database
+    frames = {db: df.filter(F.col("db_name") == db).drop("db_name") for db in fleet}
     return cat.fleet_union(frames).select(*df.columns)
 
 
@@ -42,6 +40,13 @@ def q_fleet_select(R):
     return cat.fleet_select(R.data_files, R.databases, R.parameters)
 
 
+@register("fleet_select_containers", """
+SELECT c.* FROM cat_containers c JOIN cat_databases d ON d.db_name = c.db_name
+WHERE d.database_role = 'PRIMARY' AND c.name NOT IN ('CDB$ROOT', 'PDB$SEED')""")
+def q_fleet_select_containers(R):
+    return cat.fleet_select(R.containers, R.databases, R.parameters, exclude_types=("standby",), container_col="name")
+
+
 @register("database_status", """
 SELECT c.db_name, c.name AS container, c.con_id, true AS exists, c.open_mode = 'READ WRITE' AS is_open_rw,
   coalesce(d.database_role <> 'PRIMARY', false) AS is_standby, coalesce(upper(p.value) = 'TRUE', false) AS is_clone
@@ -162,19 +167,22 @@ def q_stream_redo_rate(R):
     return spark.read.parquet(out)
 
 
-@register("file_retention_plan", f"""
+@register("file_retention_plan", rf"""
 SELECT db_name, path, size_bytes, mtime, action, rule FROM (
   SELECT *, (epoch_us(TIMESTAMP '{EVENTS_AS_OF}') - epoch_us(mtime)) / 60000000.0 AS age_min FROM cat_files) f,
   LATERAL (SELECT CASE
-    WHEN NOT is_dir AND ends_with(path, '.aud') THEN 1
-    WHEN NOT is_dir AND ends_with(path, '.trc') AND size_bytes = 0 AND age_min > 360 THEN 2
-    WHEN NOT is_dir AND ends_with(path, '.trm') AND size_bytes = 0 AND age_min > 360 THEN 3
-    WHEN NOT is_dir AND ends_with(path, '.trc') AND size_bytes > 0 AND age_min > 10 THEN 4
-    WHEN NOT is_dir AND ends_with(path, '.trm') AND size_bytes > 0 AND age_min > 10 THEN 5
-    WHEN NOT is_dir AND ends_with(path, '.xml') AND floor(age_min / 1440) > 30 THEN 6
-    WHEN NOT is_dir AND ends_with(path, '.xml') AND floor(age_min / 1440) > 0 THEN 7
-    WHEN NOT is_dir AND ends_with(path, '.tgz') AND floor(age_min / 1440) > 30 THEN 8 END AS rule) r,
-  LATERAL (SELECT CASE WHEN rule IN (1, 2, 3, 6, 8) THEN 'delete' WHEN rule IN (4, 5, 7) THEN 'truncate' END AS action) a
+    WHEN NOT is_dir AND regexp_matches(path, '/listener/.*/log[^/]*\.xml[^/]*$') AND floor(age_min / 1440) > 1 THEN 1
+    WHEN NOT is_dir AND regexp_matches(path, '/listener/.*/log[^/]*\.xml$') THEN 2
+    WHEN NOT is_dir AND regexp_matches(path, '/listener[^/]*$') AND floor(age_min / 1440) > 30 THEN 3
+    WHEN NOT is_dir AND ends_with(path, '.aud') THEN 4
+    WHEN NOT is_dir AND ends_with(path, '.trc') AND size_bytes = 0 AND age_min > 360 THEN 5
+    WHEN NOT is_dir AND ends_with(path, '.trm') AND size_bytes = 0 AND age_min > 360 THEN 6
+    WHEN NOT is_dir AND ends_with(path, '.trc') AND size_bytes > 0 AND age_min > 10 THEN 7
+    WHEN NOT is_dir AND ends_with(path, '.trm') AND size_bytes > 0 AND age_min > 10 THEN 8
+    WHEN NOT is_dir AND ends_with(path, '.xml') AND floor(age_min / 1440) > 30 THEN 9
+    WHEN NOT is_dir AND ends_with(path, '.xml') AND floor(age_min / 1440) > 0 THEN 10
+    WHEN NOT is_dir AND ends_with(path, '.tgz') AND floor(age_min / 1440) > 30 THEN 11 END AS rule) r,
+  LATERAL (SELECT CASE WHEN rule IN (1, 3, 4, 5, 6, 9, 11) THEN 'delete' WHEN rule IN (2, 7, 8, 10) THEN 'truncate' END AS action) a
 WHERE rule IS NOT NULL""")
 def q_file_retention_plan(R):
     return lg.file_retention_plan(R.files, EVENTS_AS_OF)

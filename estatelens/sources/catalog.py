@@ -108,15 +108,21 @@ def database_status(containers: DataFrame, databases: DataFrame, parameters: Dat
 
 
 def fleet_select(df: DataFrame, databases: DataFrame, parameters: DataFrame, listed=None,
-                 drop_standby: bool = True, drop_clones: bool = True) -> DataFrame:
-    """Rows of the listed databases (all when None), without standbys
-    and clones."""
+                 exclude_types=("standby", "clonedb"), container_col: str | None = None) -> DataFrame:
+    """Rows of the listed databases (all when None) without those of the
+    excluded types: ``standby`` (any role but PRIMARY) and ``clonedb``.
+    With ``container_col`` rows of the root and seed containers go too."""
+    unknown = set(exclude_types) - {"standby", "clonedb"}
+    if unknown:
+        raise ValueError(f"unknown database types {sorted(unknown)}")
+    if container_col is not None:
+        df = df.filter(~F.coalesce(F.col(container_col).isin("CDB$ROOT", "PDB$SEED"), F.lit(False)))
     keep = databases.select("db_name", "database_role").join(clone_flags(parameters), "db_name", "left")
     if listed is not None:
         keep = keep.filter(F.col("db_name").isin(list(listed)))
-    if drop_standby:
+    if "standby" in exclude_types:
         keep = keep.filter(F.coalesce(F.col("database_role") == "PRIMARY", F.lit(True)))
-    if drop_clones:
+    if "clonedb" in exclude_types:
         keep = keep.filter(~F.coalesce(F.col("is_clone"), F.lit(False)))
     return df.join(per_database(keep.select("db_name").distinct()), "db_name", "left_semi")
 

@@ -81,10 +81,13 @@ _role("tablespaces", """
 SELECT DISTINCT concat('DB', p_partkey % 150 % 50 % 4) AS db_name,
   CASE WHEN p_size = 1 THEN 'SYSTEM' ELSE concat('TS_', p_partkey % 8) END AS tablespace_name,
   CASE WHEN p_partkey % 8 = 7 AND p_size <> 1 THEN 'TEMPORARY' ELSE 'PERMANENT' END AS contents,
-  CAST(8192 AS BIGINT) AS block_size
+  CAST(8192 AS BIGINT) AS block_size, CAST(65536 AS BIGINT) AS initial_extent, 'LOCAL' AS extent_management, 'SYSTEM' AS allocation_type,
+  CASE WHEN p_size = 1 THEN 'MANUAL' ELSE 'AUTO' END AS segment_space_management,
+  CASE WHEN p_partkey % 8 > 3 AND p_size <> 1 THEN 'YES' ELSE 'NO' END AS bigfile
 FROM part
 UNION
-SELECT DISTINCT concat('DB', c_custkey % 2), 'APP_200108', 'PERMANENT', CAST(8192 AS BIGINT) FROM customer""")
+SELECT DISTINCT concat('DB', c_custkey % 2), 'APP_200108', 'PERMANENT', CAST(8192 AS BIGINT), CAST(65536 AS BIGINT), 'LOCAL', 'SYSTEM', 'AUTO', 'YES'
+FROM customer""")
 
 _role("ts_groups", """
 SELECT DISTINCT concat('DB', s_suppkey % 4) AS db_name, 'TEMP_GRP' AS group_name, concat('TEMP_', s_suppkey % 3) AS tablespace_name
@@ -139,6 +142,8 @@ SELECT concat('DB', c_custkey % 4) AS db_name, CAST(c_custkey % 4 AS BIGINT) AS
   CASE c_custkey % 4 WHEN 3 THEN 'PHYSICAL STANDBY' ELSE 'PRIMARY' END AS database_role,
   CASE c_custkey % 4 WHEN 3 THEN 'MOUNTED' ELSE 'READ WRITE' END AS open_mode,
   CASE c_custkey % 4 WHEN 1 THEN 'NOARCHIVELOG' ELSE 'ARCHIVELOG' END AS log_mode,
+  concat('DB', c_custkey % 4, '_SITE') AS db_unique_name, CASE c_custkey % 4 WHEN 3 THEN 'DB3_MAIN' ELSE NULL END AS primary_db_unique_name,
+  TIMESTAMP '2000-01-01 00:00:00' + INTERVAL 1 DAY * (c_custkey % 4) AS created,
   min(c_name) AS platform_name
 FROM customer GROUP BY c_custkey % 4""")
 
@@ -188,7 +193,8 @@ SELECT concat('DB', p_partkey % 4) AS db_name, concat('COMP', p_size % 12) AS co
 FROM part GROUP BY p_partkey % 4, p_size % 12, p_size % 3""")
 
 _role("registry_history", """
-SELECT concat('DB', o_orderkey % 4) AS db_name, o_orderdate AS action_time, 'APPLY' AS action,
+SELECT concat('DB', o_orderkey % 4) AS db_name, o_orderdate AS action_time, 'APPLY' AS action, 'SERVER' AS namespace,
+  concat('19.', o_orderkey % 20) AS version, o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'PSU' ELSE NULL END AS bundle_series,
   concat('RU 19.', o_orderkey % 20) AS comments
 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'""")
 
@@ -390,7 +396,7 @@ SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, o_orderkey AS obj_id,
   concat('OBJ_', o_orderkey) AS name,
   CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 4 WHEN '3-MEDIUM' THEN 2 WHEN '5-LOW' THEN 12 ELSE 11 END AS type_id,
   CASE WHEN o_orderstatus = 'P' THEN 5 ELSE 1 END AS status,
-  o_orderdate + INTERVAL 50 DAY AS stime
+  o_orderdate + INTERVAL 50 DAY AS stime, CASE WHEN o_orderkey % 37 = 0 THEN 'P1' ELSE NULL END AS subname
 FROM orders""")
 
 _role("tab_privs", """
@@ -412,8 +418,14 @@ SELECT concat('DB', c_custkey % 4) AS db_name, CASE WHEN c_custkey % 61 = 0 THEN
   concat('TS_', c_custkey % 8) AS default_tablespace,
   TIMESTAMP '2000-01-01 00:00:00' + INTERVAL 1 DAY * (c_custkey % 400) AS created,
   CASE WHEN c_custkey % 17 = 0 THEN TIMESTAMP '2001-07-01 00:00:00' ELSE NULL END AS lock_date,
-  CASE WHEN c_acctbal < 0 THEN TIMESTAMP '2001-06-01 00:00:00' + INTERVAL 1 DAY * (c_custkey % 30) ELSE NULL END AS expiry_date
-FROM customer""")
+  CASE WHEN c_acctbal < 0 THEN TIMESTAMP '2001-06-01 00:00:00' + INTERVAL 1 DAY * (c_custkey % 30) ELSE NULL END AS expiry_date,
+  CASE WHEN c_custkey % 8 = 0 THEN 'SYS_GROUP' ELSE 'DEFAULT_CONSUMER_GROUP' END AS initial_rsrc_consumer_group, '11G 12C' AS password_versions,
+  CASE WHEN c_custkey % 9 = 0 THEN 'Y' ELSE 'N' END AS editions_enabled, CASE WHEN c_custkey % 21 = 0 THEN 'EXTERNAL' ELSE 'PASSWORD' END AS authentication_type
+FROM customer
+UNION ALL
+SELECT concat('DB', c_custkey % 4), 'APP', -1, 'BUILDING', 'OPEN', 'TEMP', 'TS_0', TIMESTAMP '2000-01-01 00:00:00',
+  CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), 'DEFAULT_CONSUMER_GROUP', '11G 12C', 'N', 'PASSWORD'
+FROM customer GROUP BY c_custkey % 4""")
 
 _role("user_history", """
 SELECT concat('DB', k % 4) AS db_name, k AS user_id, o_orderdate AS password_date
@@ -422,7 +434,7 @@ FROM (SELECT o_orderdate, CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 1 ELSE o_
 _role("user_base", """
 SELECT concat('DB', c.c_custkey % 4) AS db_name, concat('U', c.c_custkey) AS name, c.c_custkey AS user_id,
   CASE WHEN c.c_acctbal < 0 THEN 4 WHEN c.c_custkey % 17 = 0 THEN 8 ELSE 0 END AS astatus,
-  o.last_order AS ptime
+  o.last_order AS ptime, CASE WHEN c.c_custkey % 13 = 0 THEN 0 ELSE 1 END AS type_id, c.c_mktsegment AS resource
 FROM customer c LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey""")
 
 _role("users_defpwd", """
@@ -483,8 +495,9 @@ FROM part""")
 
 _role("sessions", """
 SELECT concat('DB', user_id % 4) AS db_name, CAST(user_id % 2 + 1 AS BIGINT) AS inst_id, concat('U', user_id % 50) AS username,
-  concat('host', user_id % 7) AS machine, 'ACTIVE' AS status, event_id AS sid
-FROM events WHERE event_type = 'signup'""")
+  concat('host', user_id % 7) AS machine, 'ACTIVE' AS status, event_id AS sid,
+  CASE WHEN event_type = 'signup' THEN 'USER' ELSE 'BACKGROUND' END AS type, concat('module ', event_type) AS module, concat('client', user_id % 9, '@app') AS program
+FROM events""")
 
 _role("sql_profiles", """
 SELECT concat('DB', p_partkey % 4) AS db_name, concat('SYS_SQLPROF_', p_partkey) AS name,
@@ -577,7 +590,8 @@ SELECT concat('DB', user_id % 4) AS db_name, ts, concat(event_type, ' ', props)
 
 _role("files", """
 SELECT concat('DB', doc_id % 4) AS db_name,
-  concat('/diag/', source, '/f', doc_id, CASE doc_id % 5 WHEN 0 THEN '.trc' WHEN 1 THEN '.trm' WHEN 2 THEN '.aud' WHEN 3 THEN '.xml' ELSE '.tgz' END) AS path,
+  CASE doc_id % 13 WHEN 0 THEN concat('/diag/listener/alert/log_', doc_id, '.xml') WHEN 1 THEN concat('/diag/listener/trace/listener.log_', doc_id, '.gz')
+    ELSE concat('/diag/', source, '/f', doc_id, CASE doc_id % 5 WHEN 0 THEN '.trc' WHEN 1 THEN '.trm' WHEN 2 THEN '.aud' WHEN 3 THEN '.xml' ELSE '.tgz' END) END AS path,
   false AS is_dir, CASE WHEN doc_id % 7 = 0 THEN CAST(0 AS BIGINT) ELSE n_chars END AS size_bytes,
   CAST(doc_id % 90 AS INT) AS age_days, CAST((doc_id * 37) % 1440 AS INT) AS age_minutes,
   TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY * (doc_id % 90) - INTERVAL 1 MINUTE * ((doc_id * 37) % 1440) AS mtime

@@ -44,10 +44,15 @@ def test_retention_rules_first_match_and_ages(spark):
         ("D", "/a/s.xml", False, 5, t0 - dt.timedelta(hours=20)),       # 0 whole days: nothing
         ("D", "/a/t.aud", False, 5, t0),                                # audit: delete
         ("D", "/a/d.aud", True, 0, t0),                                 # a directory: nothing
+        ("D", "/listener/alert/log_1.xml", False, 5, t0 - dt.timedelta(days=2)),      # listener XML older than a day: delete
+        ("D", "/listener/alert/log.xml", False, 5, t0),                               # current listener XML: truncate
+        ("D", "/b/listener.log_1.gz", False, 5, t0 - dt.timedelta(days=31)),          # archived listener log: delete
+        ("D", "/b/listener.log_2.gz", False, 5, t0 - dt.timedelta(days=30)),          # not old enough: nothing
     ], "db_name string, path string, is_dir boolean, size_bytes long, mtime timestamp_ntz")
     got = {r.path: r.action for r in lg.file_retention_plan(files, as_of).collect()}
     assert got == {"/a/x.trc": "delete", "/a/z.trc": "truncate", "/a/q.xml": "delete",
-                   "/a/r.xml": "truncate", "/a/t.aud": "delete"}
+                   "/a/r.xml": "truncate", "/a/t.aud": "delete", "/listener/alert/log_1.xml": "delete",
+                   "/listener/alert/log.xml": "truncate", "/b/listener.log_1.gz": "delete"}
 
 
 def test_retention_requires_prefix(spark):  # S13
@@ -73,8 +78,8 @@ def test_fleet_select_switches(spark):
     df = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "db_name string, v int")
     names = lambda d: sorted(r.db_name for r in d.collect())
     assert names(cat.fleet_select(df, dbs, params)) == ["A"]
-    assert names(cat.fleet_select(df, dbs, params, drop_clones=False)) == ["A", "C"]
-    assert names(cat.fleet_select(df, dbs, params, listed=["B", "C"], drop_standby=False, drop_clones=False)) == ["B", "C"]
+    assert names(cat.fleet_select(df, dbs, params, exclude_types=("standby",))) == ["A", "C"]
+    assert names(cat.fleet_select(df, dbs, params, listed=["B", "C"], exclude_types=())) == ["B", "C"]
 
 
 def test_snapshot_diff_null_safe(spark):

@@ -38,3 +38,14 @@ def test_fact_scan_is_pruned(spark):
     plan = QUERIES["reclaimable_space"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     # lineitem has 11 columns; the extents role needs 3 of them
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double>" in plan
+
+
+def test_one_scan_of_the_partitions_per_branch_of_their_role(spark):
+    plan = QUERIES["partition_rename_plan"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    # five branches of the partitions role, four of the partitioned tables and the list of built-in owners
+    assert plan.count("Relation [") <= 10, plan
+
+
+def test_growth_is_aggregated_once(spark):
+    plan = QUERIES["sizing_verdict"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 3, plan          # the counter, the recovery area and the parameters

@@ -143,3 +143,30 @@ def test_maintenance_gate_flags(spark):
     gate = {r.db_name: r for r in h.maintenance_gate(R.databases, R.restore_points, R.parameters).collect()}
     assert gate["DB0"].is_clone and not gate["DB0"].may_run          # clonedb=TRUE
     assert gate["DB2"].reason == "flashback active"                    # flashback YES
+
+
+def test_every_rename_rule_has_rows(spark):
+    R = Roles(spark, SF_SMALL)
+    plan = pa.partition_rename_plan(R.tab_partitions, R.part_tables, R.internal_owners)
+    assert {r.rule for r in plan.select("rule").distinct().collect()} == {"day", "num3", "interval_num", "int_month", "date_month"}
+
+
+def test_default_retention_policy(spark):
+    tp = spark.createDataFrame([("D", "SCOTT", "LOG", "LOG_2001_0701"), ("D", "SCOTT", "LOG", "LOG_2001_0703"), ("D", "SCOTT", "HISTORY", "HISTORY_2000_07")],
+                               "db_name string, table_owner string, table_name string, partition_name string")
+    got = {r.partition_name for r in pa.expired_partitions(tp, None, "2001-08-02 00:00:00").collect()}
+    assert got == {"LOG_2001_0701", "HISTORY_2000_07"}
+
+
+def test_footprint_has_three_rows_a_table(spark):
+    seg = spark.createDataFrame([("D", "U", "T", "TABLE", 1048576)], "db_name string, owner string, segment_name string, segment_type string, bytes long")
+    ix = spark.createDataFrame([], "db_name string, owner string, index_name string, table_owner string, table_name string")
+    lobs = spark.createDataFrame([], "db_name string, owner string, segment_name string, table_name string")
+    got = {(r.kind, r.mb, r.segments) for r in cap.segment_footprint(seg, ix, lobs).collect()}
+    assert got == {("Total Data Segments", 1.0, 1), ("Total Index Segments", None, 0), ("Total LOB Segments", None, 0)}
+
+
+def test_growth_pairs_only_neighbouring_days(spark):
+    rows = [("D", 1, dt.datetime(2024, 1, d, 12), "redo size", v * 1048576) for d, v in ((25, 10), (26, 30), (28, 100), (29, 140))]
+    st = spark.createDataFrame(rows, "db_name string, instance_number int, begin_interval_time timestamp_ntz, stat_name string, value long")
+    assert cap.daily_counter_growth(st, "2024-01-31 00:00:00", num_days=1).first().estimate_mb == 30
