@@ -26,6 +26,8 @@ LIMIT_BYTES = 16 * 1024 * 1024
 STEP = 12
 #: 15 hex digits of the hash.
 HASH_BITS = 60
+#: Parts in which rows that share all bits of the hash are numbered.
+SALTS = 64
 
 
 def hash_bits(doc_id: Column) -> Column:
@@ -60,7 +62,8 @@ def directory(rows: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
 def shard(docs: DataFrame, limit: int = LIMIT_BYTES, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, bytes, shard (its bits), depth, shard_bytes and page of every row of ``docs`` (doc_id, text)."""
     rows = scratch(docs.select(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)], hash_bits(F.col("doc_id")).alias("bits"),
-                               F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), "shard")
+                               F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
+                               F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")), "shard")       # written, so a rerun task sees the same
     buckets = scratch(directory(rows, limit), "buckets")
     # A row's bucket is the one whose bits begin its hash: an equality for each depth that occurs (60 at most).
     depths = [r.depth for r in buckets.select("depth").distinct().orderBy("depth").collect()]
@@ -74,7 +77,6 @@ def shard(docs: DataFrame, limit: int = LIMIT_BYTES, keep: tuple[str, ...] = ("d
     same = placed.filter((F.col("depth") == HASH_BITS) & (F.col("shard_bytes") > limit))
     part = Window.partitionBy("prefix", "salt").orderBy("bytes")
     room = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.max("bytes").over(Window.partitionBy("prefix", "salt")))))
-    same = (same.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(64)))
-            .withColumn("page", (F.floor((F.row_number().over(part) - 1) / room) * 64 + F.col("salt")).cast("long")).drop("salt"))
+    same = same.withColumn("page", (F.floor((F.row_number().over(part) - 1) / room) * SALTS + F.col("salt")).cast("long"))
     return whole.unionByName(same).select(*[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "bytes", F.col("prefix").alias("shard"), "depth",
                                           "shard_bytes", "page")
