@@ -14,8 +14,8 @@ shuffled once, with the columns that are kept; the words taken
 follow in closed form from a document's first and last word.
 
 Defined results: null text has no words; null source is a source of its own and
-comes last; a source without words has target 0; ties in the order go by
-doc_id, then size, and rows equal in both are interchangeable.
+comes last; a source without words has target 0; the order follows doc_id and
+text together, ties go by doc_id, then size, and rows equal in both are interchangeable.
 """
 
 from __future__ import annotations
@@ -99,7 +99,8 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[int
     ``copies`` is for users who take documents whole: how often the block with
     the document's first word is selected.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # the text is part of the seed's input, so that an id (or null) shared by very many rows is spread over the buckets
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string")))
     place = ["none", "src", "bucket"]                       # null sources by a flag, so that window and join deal rows out alike
     rows = (docs.select(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)], F.col("doc_id").alias("id"), F.col("source").isNull().alias("none"),
                         F.coalesce("source", F.lit("")).alias("src"), word_count(F.col("text")).alias("size"), order.alias("order"))
