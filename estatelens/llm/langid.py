@@ -179,19 +179,20 @@ class Predictor:
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Network:
     """Train on at most ``train_docs`` documents of each language that are not held out.
 
-    They are those with the smallest hash of their id; each gives up to
-    ``TRAIN_WINDOWS`` windows at hashed places.
+    Chosen by a hash of id and text; each gives up to ``TRAIN_WINDOWS`` windows
+    at hashed places.
     """
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     # Twice as many as needed pass a threshold on the hash, so that the window sees a bounded number of rows at any size.
     counts = docs.filter(usable).groupBy("lang").agg((2.0 * train_docs / F.count("*")).alias("share"))
     counts = F.broadcast(counts)                # a row for each output of the network; the texts stay where they are
-    place = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    # by id and text, so that very many rows that share an id (or null) do not pass the threshold together
+    place = F.pmod(F.xxhash64(F.lit("place"), "doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
     rows = docs.select("lang", "doc_id", "text").filter(usable).join(counts, "lang").filter((place < F.col("share")) & F.col("text").rlike(r"\p{L}"))
     raw = F.col("text").cast("binary")
     space = F.greatest(F.lit(1), F.octet_length("text") - WINDOW + 1)
     cut = [F.substring(raw, (F.pmod(F.xxhash64(F.lit(k), "doc_id"), space) + 1).cast("int"), F.lit(WINDOW)) for k in range(TRAIN_WINDOWS)]
-    rows = rows.select("lang", F.xxhash64("doc_id").alias("h"), F.array_distinct(F.array(*cut)).alias("cut"))
+    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.array_distinct(F.array(*cut)).alias("cut"))
     few = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "cut"))).filter(F.col("n") <= train_docs)
     got = few.select("lang", F.explode("cut").alias("w")).collect()         # train_docs * TRAIN_WINDOWS * WINDOW bytes a language
     langs = sorted({r.lang for r in got})
