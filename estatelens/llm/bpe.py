@@ -37,6 +37,8 @@ from estatelens.llm.common import prepare
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Entries a task keeps in each of its two tables before it starts them anew.
 CACHE_ENTRIES = 400_000
+#: Code points of all keys of such a table; texts without spaces have few, but very long ones.
+CACHE_CHARS = 8_000_000
 
 
 @functools.cache
@@ -60,19 +62,22 @@ def older_half(table: dict) -> dict:
 class PieceEncoder:
     """Whole text -> ids as little-endian unsigned 32-bit bytes, piece by piece."""
 
-    def __init__(self, pattern: str, encode_piece: Callable[[str], list[int]], entries: int = CACHE_ENTRIES):
+    def __init__(self, pattern: str, encode_piece: Callable[[str], list[int]], entries: int = CACHE_ENTRIES, chars: int = CACHE_CHARS):
         self.find = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")).findall
-        self.encode_piece, self.entries = encode_piece, entries
+        self.encode_piece, self.entries, self.chars = encode_piece, entries, chars
+        self.piece_chars = self.word_chars = 0
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes | bool] = {}     # text after a space -> ids with that space; False: not cut here
 
     def _ids(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            if len(self.pieces) >= self.entries:
+            while self.pieces and (len(self.pieces) >= self.entries or self.piece_chars >= self.chars):
                 self.pieces = older_half(self.pieces)
+                self.piece_chars = sum(map(len, self.pieces))
             ids = self.encode_piece(piece)
             got = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            self.piece_chars += len(piece)
         return got
 
     def whole(self, text: str) -> bytes:
@@ -85,10 +90,12 @@ class PieceEncoder:
         return part != "" and not part[0].isspace() and not part[-1].isspace()
 
     def _add_words(self, parts: list[str]) -> None:
-        if len(self.words) >= self.entries:
+        while self.words and (len(self.words) >= self.entries or self.word_chars >= self.chars):
             self.words = older_half(self.words)
+            self.word_chars = sum(map(len, self.words))
         for p in parts:
             if p not in self.words:
+                self.word_chars += len(p)
                 if p.isalpha():
                     self.words[p] = self._ids(" " + p)
                 elif p[:-1].isalpha() and p[-1] in ".,;:!?":

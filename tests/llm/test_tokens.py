@@ -52,6 +52,14 @@ def test_tables_that_start_anew_change_nothing():
     assert enc(text) == enc(text) == pack(tik().encode_ordinary(text))
 
 
+def test_tables_are_bounded_by_characters():
+    enc = bpe.PieceEncoder(PATTERN, bpe.rank_encoder(RANKS, PATTERN).encode_piece, chars=300)
+    for k in range(40):
+        text = f"start line{k}\n" + "x" * 20 + f"{k}-no-space-in-here, then {'long' * 30}{k}"
+        assert enc(text) == pack(tik().encode_ordinary(text))
+        assert sum(map(len, enc.words)) == enc.word_chars <= 300 + len(text) and sum(map(len, enc.pieces)) == enc.piece_chars <= 300 + len(text)
+
+
 def test_op1(make_docs, edge_rows):
     tokens = bpe.encode(make_docs(edge_rows), RANKS, PATTERN, offsets=True)
     got = bpe.decode(tokens, RANKS).select("doc_id", "ids", "decoded", "starts", "ends", *bpe.digests()).collect()
