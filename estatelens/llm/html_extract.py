@@ -65,6 +65,12 @@ MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spon
          "overlay", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "widget", "pagination",
          "pager", "toolbar", "skip", "copyright", "disclaimer", "form", "search"}
 MAIN = {"article", "main"}
+#: Blocks that are no containers are looked at only for their own marks, and become containers if those mark boilerplate.
+MARKED = {"p", "li", "dt", "dd", "tr", "td", "th", "pre", "address", "center", "figcaption"}
+#: Words that say little on such a small block.
+WEAK = {"side", "header", "foot", "form", "search", "share", "related", "banner"}
+#: A block of the first kind ends where one of the others starts.
+ENDS = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}}
 WORD = re.compile(r"[a-z]+")
 
 
@@ -117,7 +123,7 @@ class Page:
             return label, -1 if words & {"comment", "comments", "reply", "replies"} else 1
         if name == "header":
             return label, 1 if above == 1 and not words & MARKS - {"header"} else -1
-        return label, -1 if words & MARKS else above
+        return label, -1 if words & (MARKS - WEAK if name in MARKED else MARKS) else above
 
     def close(self, name: str) -> None:
         """End the innermost such element and what is open inside it; an end tag without a start ends nothing."""
@@ -126,6 +132,11 @@ class Page:
                 del self.open[k:]
                 return
 
+    def close_marked(self, name: str) -> None:
+        """The end tag of a small block ends the innermost one, if it stands open."""
+        if self.open and self.open[-1][0] == name:
+            self.open.pop()
+
     def read(self, source: str) -> None:
         at = 0
         while at < len(source):
@@ -150,11 +161,13 @@ class Page:
             if name in BLOCKS:
                 self.end_block()
                 self.links = 0
-            if name in CONTAINERS:
+            if not m[1] and self.open and name in ENDS.get(self.open[-1][0], ()):
+                self.open.pop()
+            if name in CONTAINERS or name in MARKED and (m[1] or m[3]):
+                label, verdict = ("", 0) if m[1] else self.mark(name, m[3])
                 if m[1]:
-                    self.close(name)
-                elif name not in VOID:
-                    label, verdict = self.mark(name, m[3])
+                    self.close_marked(name) if name in MARKED else self.close(name)
+                elif name in CONTAINERS or verdict < 0 <= (self.open[-1][2] if self.open else 0):
                     seen = self.open[-1][3] if self.open else self.top
                     seen[label] += 1
                     label += f"~{seen[label]}" * (seen[label] > 1)

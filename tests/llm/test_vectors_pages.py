@@ -114,7 +114,10 @@ def text_of(source):
     ("<div class='cookie-notice'>c</div><div class=sidebar>s</div><div role=banner>b</div><div>real</div>", "real"),
     ('<div title="a > b">x</div>', "x"), ("<main><header><h1>H</h1></header><p>p</p></main><header>site</header>", "H\np"),
     ("<p>a < b and c</p>", "a < b and c"), ("<article><p>x", "x"), ("<div hidden>h</div><p>v</p>", "v"),
-    ("<html><head><title>t</title></head><body><header>top</header><p>body text</p></body></html>", "body text")])
+    ("<html><head><title>t</title></head><body><header>top</header><p>body text</p></body></html>", "body text"),
+    ("<article><p>a</p><p class=ad>buy<p>b</p><p hidden>h</p><p class='lead'>c</p></article>", "a\nb\nc"),
+    ("<ol><li class='comment x'>hi<p>there</p></li><li>item</ol><p>end</p>", "item\nend"),
+    ("<table><tr><td class=newsletter>n<td>cell</table><p class='notice'>n<div>d</div>", "cell\nd")])
 def test_page_blocks(source, want):
     assert text_of(source) == want
 
