@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 
 def per_database(df: DataFrame) -> DataFrame:
-    """Mark a frame with at most one row per database (settings, sizes,
-    identity) for broadcast. Its size is bounded by the number of
-    databases in the fleet, not by the data, and a join keyed on
-    ``db_name`` alone must never shuffle the large side: all rows of a
-    busy database would meet in one task."""
-    return F.broadcast(df)
+    """One row per database (settings, sizes, identity), for broadcast.
+
+    A database with several rows (a cluster's instances) keeps the smallest,
+    so the size is bounded by the number of databases in the fleet, not by the
+    data, and no join multiplies rows. A join keyed on ``db_name`` alone must
+    never shuffle the large side: all rows of a busy database would meet in
+    one task."""
+    rest = [c for c in df.columns if c != "db_name"]
+    if not rest:
+        return F.broadcast(df.distinct())
+    one = df.groupBy("db_name").agg(F.min(F.struct(*rest)).alias("__row"))
+    return F.broadcast(one.select(*[F.col("__row")[c].alias(c) if c in rest else F.col(c) for c in df.columns]))

@@ -45,6 +45,27 @@ def trunc_toward_zero(c, scale: int = 0) -> Column:
     return F.signum(c) * F.floor(F.abs(c) * f) / f
 
 
+def number_text(c, fmt: str) -> Column:
+    """to_char(number, fmt) for formats of 9s, group commas and one point, e.g.
+    ``999,999.9``; ``FM`` in front drops the padding, ``%`` at the end follows
+    the number. No zero stands before the point; a number too wide for the
+    format is shown as #. NULL stays NULL."""
+    percent = "%" if fmt.endswith("%") else ""
+    body = fmt.removeprefix("FM").removesuffix("%")
+    whole, _, decimals = body.partition(".")
+    if not re.fullmatch(r"9[9,]*", whole) or not re.fullmatch(r"9*", decimals):
+        raise ValueError(f"unsupported number format {fmt!r}")
+    n = F.round(_c(c).cast("decimal(38,10)"), len(decimals))
+    text = F.format_number(n, len(decimals))
+    if "," not in whole:
+        text = F.replace(text, F.lit(","), F.lit(""))
+    if decimals:
+        text = F.regexp_replace(text, r"^(-?)0\.", "$1.")
+    width = len(body) + 1                                   # a place for the sign
+    text = F.when(F.abs(n) >= F.lit(10 ** whole.count("9")), "#" * width).otherwise(text)
+    return F.concat(text if fmt.startswith("FM") else F.lpad(text, width, " "), F.lit(percent))
+
+
 def substr1(c, pos: int, length: int | None = None, zero_len_is_null: bool = True) -> Column:
     """substr with position 0 treated as 1 (S5) and, by default, a
     zero length giving NULL rather than '' (S6)."""

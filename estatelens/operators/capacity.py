@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from estatelens.functions.findings import finding
-from estatelens.functions.sqlcompat import nz_concat, quoted, trunc_toward_zero
+from estatelens.functions.sqlcompat import number_text, nz_concat, quoted, trunc_toward_zero
 from estatelens.functions.fleet import per_database
 
 MB = 1024 * 1024
@@ -396,24 +396,28 @@ def sizing_verdict(growth: DataFrame, free: DataFrame, factor: int = 2) -> DataF
 
 # ------------------------------------------------------------------ memory
 
-def memory_stats(pgastat: DataFrame) -> DataFrame:
-    """Statistics with byte values in MB and the unit relabelled."""
+def memory_stats(pgastat: DataFrame, as_text: bool = False) -> DataFrame:
+    """Statistics with byte values in MB and the unit relabelled; ``as_text``
+    gives the value in the report's number format."""
     is_b = F.col("unit").eqNullSafe("bytes")
+    value = F.when(is_b, F.col("value") / MB).otherwise(F.col("value"))
     return pgastat.select(
         "db_name", "name",
-        F.round(F.when(is_b, F.col("value") / MB).otherwise(F.col("value")), 1).alias("value"),
+        (number_text(value, "999,999,999.9") if as_text else F.round(value, 1)).alias("value"),
         F.when(is_b, F.lit("mbytes")).otherwise(F.col("unit")).alias("unit"))
 
 
-def memory_advice(pga_advice: DataFrame) -> DataFrame:
-    """Advice rows: MB truncated toward zero and factors as percent."""
+def memory_advice(pga_advice: DataFrame, as_text: bool = False) -> DataFrame:
+    """Advice rows: MB truncated toward zero and factors as percent;
+    ``as_text`` gives the percentages in the report's number format."""
+    factor, hits = F.col("pga_target_factor") * 100, F.col("estd_pga_cache_hit_percentage")
     return pga_advice.select(
         "db_name",
         trunc_toward_zero(F.col("pga_target_for_estimate") / MB).cast("bigint").alias("target_mb"),
-        F.round(F.col("pga_target_factor") * 100, 1).alias("target_factor_pct"),
+        (number_text(factor, "999.9%") if as_text else F.round(factor, 1)).alias("target_factor_pct"),
         trunc_toward_zero(F.col("bytes_processed") / MB).cast("bigint").alias("bytes_processed_mb"),
         trunc_toward_zero(F.col("estd_extra_bytes_rw") / MB).cast("bigint").alias("extra_bytes_rw_mb"),
-        F.round(F.col("estd_pga_cache_hit_percentage"), 0).alias("cache_hit_pct"),
+        (number_text(hits, "999%") if as_text else F.round(hits, 0)).alias("cache_hit_pct"),
         F.col("estd_overalloc_count").alias("overalloc_count"))
 
 

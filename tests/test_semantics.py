@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from estatelens.functions.sqlcompat import before_last, nz_concat, substr1, trunc_toward_zero
+from estatelens.functions.fleet import per_database
+from estatelens.functions.sqlcompat import before_last, number_text, nz_concat, substr1, trunc_toward_zero
 from estatelens.operators import capacity as cap
 from estatelens.operators import features as fe
 from estatelens.operators import health as h
@@ -170,3 +171,22 @@ def test_growth_pairs_only_neighbouring_days(spark):
     rows = [("D", 1, dt.datetime(2024, 1, d, 12), "redo size", v * 1048576) for d, v in ((25, 10), (26, 30), (28, 100), (29, 140))]
     st = spark.createDataFrame(rows, "db_name string, instance_number int, begin_interval_time timestamp_ntz, stat_name string, value long")
     assert cap.daily_counter_growth(st, "2024-01-31 00:00:00", num_days=1).first().estimate_mb == 30
+
+
+def test_number_text(spark):
+    got = spark.createDataFrame([(1234567.25,), (0.05,), (-12.0,), (1e12,), (None,)], "x double").select(
+        number_text("x", "999,999,999.9").alias("a"), number_text("x", "FM9999999999999").alias("b"), number_text("x", "9999999.9%").alias("c")).collect()
+    assert [r.a for r in got] == ["   1,234,567.3", "            .1", "         -12.0", "#" * 14, None]
+    assert [r.b for r in got] == ["1234567", "0", "-12", "1000000000000", None]
+    assert [r.c for r in got] == [" 1234567.3%", "        .1%", "     -12.0%", "#" * 10 + "%", None]
+
+
+def test_per_database_is_one_row(spark):
+    df = spark.createDataFrame([("D", "h2", 1), ("D", "h1", 2), ("E", None, 3)], "db_name string, host string, n int")
+    assert sorted(map(tuple, per_database(df).collect())) == [("D", "h1", 2), ("E", None, 3)]
+    assert sorted(map(tuple, per_database(df.select("db_name")).collect())) == [("D",), ("E",)]
+
+
+def test_memory_report_text(spark):
+    stats = spark.createDataFrame([("D", "a", 1073741824.0, "bytes"), ("D", "b", 7.0, None)], "db_name string, name string, value double, unit string")
+    assert [r.value for r in cap.memory_stats(stats, as_text=True).orderBy("name").collect()] == ["       1,024.0", "           7.0"]
