@@ -11,7 +11,8 @@ host's template: text in such a class is template text, and the slots between
 its tokens hold what varies. Slots keep or drop their text as a whole:
 
 * dropped: slots under menus, headers, footers, sidebars, notices, adverts, forms
-  and reader comments, by element, role or mark;
+  and reader comments, by element, role or mark; a mark or form around
+  most of the page, or around its only article, is ignored;
 * if a page has an article (or main) element, only its slots are main text, all of it;
 * otherwise template text goes, and slots that are mostly links on the host.
 
@@ -29,6 +30,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -47,7 +49,7 @@ LINK_SHARE = 0.6
 TAG = re.compile(r"<!--(?:.*?-->|.*+\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-hidden|hidden|style)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?", re.I)
 #: Elements whose content is never text.
-SILENT = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "title", "select", "audio", "video", "head"}
+SILENT = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "title", "select", "audio", "video"}
 #: Of these the content is raw: only their own end tag ends them.
 RAW = {"script", "style", "noscript", "textarea", "iframe", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -56,14 +58,23 @@ CONTAINERS = {"html", "body", "div", "section", "article", "main", "nav", "heade
               "details", "dialog", "menu", "fieldset", "blockquote", "button"}
 BLOCKS = CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "pre", "hr",
                        "address", "figcaption", "summary", "legend", "option", "center", "hgroup", "search"}
-BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset", "search"}
-ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar"}
+BOILERPLATE = {"nav", "footer", "aside", "menu", "dialog", "button", "search"}
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar"}
+#: Elements (and a role) that count like a mark: boilerplate, unless they hold most of the page.
+FORMS = {"form", "fieldset"}
 #: Words of a class or id that mark boilerplate.
 MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "sidebar", "side",
          "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "header", "masthead", "topbar", "footer", "foot", "comment", "comments",
          "disqus", "replies", "respond", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal",
          "overlay", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "widget", "pagination",
          "pager", "toolbar", "skip", "copyright", "disclaimer", "form", "search"}
+COMMENTS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
+#: Words beside "header" that make it the head of a text.
+HEADED = {"article", "entry", "post", "story"}
+#: A class that says what a layout has or lacks marks nothing.
+LAYOUT = re.compile(r"(?:has|no|not|with|without)[-_]")
+#: Share of the page's characters from which a container's mark is ignored; reader comments often hold most of a page.
+MOST, MOST_COMMENTS = 0.5, 0.9
 MAIN = {"article", "main"}
 #: Blocks that are no containers are looked at only for their own marks, and become containers if those mark boilerplate.
 MARKED = {"p", "li", "dt", "dd", "tr", "td", "th", "pre", "address", "center", "figcaption"}
@@ -81,23 +92,46 @@ def host(url: str | None) -> str:
         return url or ""
 
 
+class State(NamedTuple):
+    """What the open elements say: boilerplate for certain, inside an article, innermost marked container (-1: none)."""
+
+    out: bool = False
+    main: bool = False
+    marked: int = -1
+
+
+class Marked(NamedTuple):
+    """A container that a mark calls boilerplate: the marked one around it, whether it stands in an article, is for comments."""
+
+    above: int
+    in_main: bool
+    comments: bool
+
+
 class Page:
-    """Blocks (slot, text, characters in links, verdict) of one page; verdict: 1 main, -1 boilerplate, 0 open."""
+    """Blocks (slot, text, characters in links, verdict) of one page; verdict: 1 main, -1 boilerplate, 0 open.
+
+    Marks are judged when the page is read: one on a container that holds most
+    of the page, outside of articles and not mostly links, says nothing.
+    """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, int, int]] = []
+        self.found: list[tuple[str, str, int, State]] = []
+        self.marked: list[Marked] = []
         self.chains: list[str] = []
-        self.open: list[tuple[str, str, int, Counter]] = []         # element, chain, verdict, containers seen inside
+        self.open: list[tuple[str, str, State, Counter]] = []         # element, chain, state, containers seen inside
         self.top: Counter = Counter()
         self.text: list[str] = []
         self.linked = self.links = 0
+        self.silent: dict[str, dict[int, int]] = {}
         self.read(source)
+        self.blocks = [(c, t, n, v) for (c, t, n, _), v in zip(self.found, self.verdicts())]
 
     def end_block(self) -> None:
         t = " ".join("".join(self.text).split())
         if t:
-            _, chain, verdict, _ = self.open[-1] if self.open else ("", "", 0, None)
-            self.blocks.append((chain, t, min(self.linked, len(t)), verdict))
+            _, chain, state, _ = self.open[-1] if self.open else ("", "", State(), None)
+            self.found.append((chain, t, min(self.linked, len(t)), state))
         self.text, self.linked = [], 0
 
     def add(self, raw: str) -> None:
@@ -106,24 +140,70 @@ class Page:
         if self.links:
             self.linked += len(t)
 
-    def mark(self, name: str, attributes: str) -> tuple[str, int]:
-        """Name with its class and id, and the verdict on the element."""
+    def mark(self, name: str, attributes: str) -> tuple[str, State]:
+        """Name with its class and id, and the state inside the element."""
         found = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in ATTRIBUTE.finditer(attributes)}
         label = name + "".join(f".{x}" for x in found.get("class", "").lower().split()) + (f"#{found['id'].lower()}" if found.get("id") else "")
-        words = set(WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-        above = self.open[-1][2] if self.open else 0
-        if above < 0:
-            return label, -1
+        words = {w for x in f"{found.get('class', '')} {found.get('id', '')}".lower().split() if not LAYOUT.match(x) for w in WORD.findall(x)}
+        above = self.open[-1][2] if self.open else State()
+        if above.out:
+            return label, above
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I)
-        if hidden or name in BOILERPLATE or found.get("role", "").lower() in ROLES:
-            return label, -1
+        role = found.get("role", "").lower()
+        if hidden or name in BOILERPLATE or role in ROLES:
+            return label, above._replace(out=True)
         if name in ("html", "body"):
             return label, above
         if name in MAIN:
-            return label, -1 if words & {"comment", "comments", "reply", "replies"} else 1
-        if name == "header":
-            return label, 1 if above == 1 and not words & MARKS - {"header"} else -1
-        return label, -1 if words & (MARKS - WEAK if name in MARKED else MARKS) else above
+            return label, self.under_mark(above, words) if words & {"comment", "comments", "reply", "replies"} else above._replace(main=True)
+        if name == "header" and not above.main:
+            return label, above._replace(out=True)
+        marks = words & (MARKS - WEAK if name in MARKED else MARKS)
+        if "header" in marks and (name == "header" or above.main or words & HEADED):
+            marks -= {"header"}
+        return label, self.under_mark(above, words) if marks or name in FORMS or role == "form" else above
+
+    def under_mark(self, above: State, words: set[str]) -> State:
+        self.marked.append(Marked(above.marked, above.main, bool(words & COMMENTS)))
+        return above._replace(marked=len(self.marked) - 1)
+
+    def verdicts(self) -> list[int]:
+        size, linked = [0] * len(self.marked), [0] * len(self.marked)
+        total = 0
+        for _, t, n, s in self.found:
+            if not s.out:
+                total += len(t)
+                if s.marked >= 0:
+                    size[s.marked] += len(t)
+                    linked[s.marked] += n
+        for k in range(len(self.marked) - 1, -1, -1):              # a container comes after the one around it
+            if (up := self.marked[k].above) >= 0:
+                size[up] += size[k]
+                linked[up] += linked[k]
+        free = any(s.main and not s.out and s.marked < 0 for *_, s in self.found)   # then marks hide no article
+        ignored, weak = [], []                                      # by the container and all marked ones around it
+        for m, n, inside in zip(self.marked, size, linked):
+            most = n > (MOST_COMMENTS if m.comments else MOST) * total and inside <= LINK_SHARE * n and not m.in_main and not free
+            ignored.append(most and (m.above < 0 or ignored[m.above]))
+            weak.append(most or not m.in_main and not m.comments and (m.above < 0 or weak[m.above]))
+        got = [-1 if s.out or s.marked >= 0 and not ignored[s.marked] else int(s.main) for *_, s in self.found]
+        if 1 not in got:                                            # an article under marks, if it has more text than what stands free
+            under = {k for k, (*_, s) in enumerate(self.found) if s.main and not s.out and weak[s.marked]}
+            if sum(len(self.found[k][1]) for k in under) >= sum(len(x[1]) for x, v in zip(self.found, got) if v == 0):
+                got = [1 if k in under else v for k, v in enumerate(got)]
+        return got
+
+    def silent_end(self, name: str, start: int, source: str) -> int | None:
+        """Where the silent element that starts here ends; each end tag ends the last one open. None: never."""
+        if name not in self.silent:
+            ends, still = {}, []
+            for m in re.finditer(rf"<(/?){name}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", source, re.I):
+                if not m[1] and not m[0].endswith("/>"):
+                    still.append(m.start())
+                elif m[1] and still:
+                    ends[still.pop()] = m.end()
+            self.silent[name] = ends
+        return self.silent[name].get(start)
 
     def close(self, name: str) -> None:
         """End the innermost such element and what is open inside it; an end tag without a start ends nothing."""
@@ -150,9 +230,13 @@ class Page:
             if not name:
                 continue
             if name in SILENT:
-                if not m[1] and not m[3].endswith("/"):
-                    end = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)" + (r"|(?=<body[\s>])" if name == "head" else ""), re.I).search(source, at)
+                if m[1] or m[3].endswith("/"):
+                    continue
+                if name in RAW:
+                    end = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I).search(source, at)
                     at = end.end() if end else len(source)
+                else:                                # left open: as if it were empty
+                    at = self.silent_end(name, m.start(), source) or at
                 continue
             if name == "br":
                 self.text.append(" ")
@@ -164,15 +248,16 @@ class Page:
             if not m[1] and self.open and name in ENDS.get(self.open[-1][0], ()):
                 self.open.pop()
             if name in CONTAINERS or name in MARKED and (m[1] or m[3]):
-                label, verdict = ("", 0) if m[1] else self.mark(name, m[3])
+                above = self.open[-1][2] if self.open else State()
+                label, state = ("", above) if m[1] else self.mark(name, m[3])
                 if m[1]:
                     self.close_marked(name) if name in MARKED else self.close(name)
-                elif name in CONTAINERS or verdict < 0 <= (self.open[-1][2] if self.open else 0):
+                elif name in CONTAINERS or state != above:
                     seen = self.open[-1][3] if self.open else self.top
                     seen[label] += 1
                     label += f"~{seen[label]}" * (seen[label] > 1)
                     chain = f"{self.open[-1][1]}/{label}" if self.open else label
-                    self.open.append((name, chain, verdict, Counter()))
+                    self.open.append((name, chain, state, Counter()))
                     self.chains.append(chain)
         self.end_block()
 

@@ -122,6 +122,26 @@ def test_page_blocks(source, want):
     assert text_of(source) == want
 
 
+STORY = "<article><h1>T</h1><p>A story of some length.</p></article>"
+
+
+@pytest.mark.parametrize("source,want", [
+    *[(f"{start}<nav>menu</nav>{STORY}<footer>f</footer>", "T\nA story of some length.") for start in
+      ("<form id=aspnetForm>", "<div class='layout has-sidebar'>", "<div class='no-comments'>", "<section class=social>", "<form><div class=widget>")],
+    ("<div class=social><p>All of the page stands in here.</p></div><p>end</p>", "All of the page stands in here.\nend"),
+    ("<div class=sidebar><article>teaser</article></div><div>The long text of this page.</div>", "The long text of this page."),
+    ("<div class=sidebar><article>a teaser that is longer than the story</article></div><article>story</article>", "story"),
+    ("<div class=menu><a href=/>a long list of links to other pages</a></div><p>text</p>", "text"),
+    ("<p>A short story.</p><div class=comments><p>first of many words by readers</p><p>more of them</p></div>", "A short story."),
+    ("<article><section id=comments><article>a comment</article></section><p>p</p></article>", "p"),
+    ("<article><div class='article-header'><h1>T</h1></div><p>p</p></article>", "T\np"), ("<div class=entry-header><h1>T</h1></div><p>text</p>", "T\ntext"),
+    ("<html><head><meta charset=utf-8><title>t</title><p>a<p>b", "a\nb"), ("<head><title>t</title><div class=x>a</div>", "a"),
+    ("<p>a</p><svg><path d=x><p>b</p>", "a\nb"), ("<p>a</p><select><p>b</p><select><option>no</select><p>c</p>", "a\nb\nc"),
+    ("<p>a</p><object><p>b</p>", "a\nb"), ("<svg><svg>no</svg>no</svg><p>a</p>", "a")])
+def test_marks_and_open_elements_lose_no_text(source, want):
+    assert text_of(source) == want
+
+
 def test_template_of_a_host(spark):
     def page(k, host="h.example"):
         return f"http://{host}/{k}", (f"<html><body><div><a href=/a>Home</a> <a href=/{k}>Next page {k}</a></div><div><p>We are a company.</p><p>Story {k} is told here.</p>"
