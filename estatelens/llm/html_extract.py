@@ -5,19 +5,24 @@ boundaries, with the slot it stands in: the chain of container elements with
 their marks and places among like siblings) and template tokens. A token is a container's chain or a block's
 text in its slot. Over the pages of a host the occurrence vector of a token
 (how often on which page) is folded into a hash; tokens with equal vectors form
-an equivalence class. Classes that occur on enough pages of the host and
-whose containers nest (the chain of one begins that of the next) make up the
-host's template: text in such a class is template text, and the slots between
-its tokens hold what varies. Slots keep or drop their text as a whole:
+an equivalence class. Tokens of a class that come in one order on all its pages,
+each in one slot of the host's widest class, make it valid if it has enough words
+and elements and varying text stands beside it. The texts of valid classes
+are the template, on pages with and without an article element, and the
+slots between them hold what varies. Then elements and marks refine:
 
 * dropped: slots under menus, headers, footers, sidebars, notices, adverts, forms
   and reader comments, by element, role or mark; a mark or form around
   most of the page, or around its only article, is ignored;
-* if a page has an article (or main) element, only its slots are main text, all of it;
-* otherwise template text goes, and slots that are mostly links on the host.
+* if a page has an article (or main) element, only its slots are main text; if
+  template text is the greater part of it, the page varies too little and all of it stays;
+* otherwise slots that are mostly links on the host go.
+
+A page counts in vectors by its text that elements and marks leave, so copies
+with other adverts or menus are one page and make no template.
 
 Statistics are sums per (host, token), so a host with a third of all pages is
-split by token, and only positions of dropped blocks come back to a page.
+split by token, and only dropped tokens and slots come back to a page.
 
 Defined results: null or empty html and pages without main text give an empty
 text; a url without a host makes a host of its own; unclosed and truncated
@@ -35,14 +40,20 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelens.llm.common import prepare, scratch
 
-#: A class is part of a template if it occurs on this many pages and this share of its host's pages.
+#: A class is part of a template if it occurs on this many distinct pages and this share of its host's pages, distinct and all.
 MIN_PAGES = 4
 MIN_SHARE = 0.5
+#: Words and elements a class has at least.
+MIN_SIZE = 3
+#: Share of an article's characters that has to be left without template text.
+LEFT_SHARE = 0.5
+#: Parts of a host's common token in joins.
+SALTS = 16
 #: Share of a slot's characters that stand in links, over the host, from which it is a menu.
 LINK_SHARE = 0.6
 
@@ -118,7 +129,8 @@ class Page:
     def __init__(self, source: str):
         self.found: list[tuple[str, str, int, State]] = []
         self.marked: list[Marked] = []
-        self.chains: list[str] = []
+        self.chains: list[tuple[str, int]] = []
+        self.places: list[int] = []                                   # of blocks among blocks and chains
         self.open: list[tuple[str, str, State, Counter]] = []         # element, chain, state, containers seen inside
         self.top: Counter = Counter()
         self.text: list[str] = []
@@ -131,6 +143,7 @@ class Page:
         t = " ".join("".join(self.text).split())
         if t:
             _, chain, state, _ = self.open[-1] if self.open else ("", "", State(), None)
+            self.places.append(len(self.found) + len(self.chains))
             self.found.append((chain, t, min(self.linked, len(t)), state))
         self.text, self.linked = [], 0
 
@@ -258,7 +271,7 @@ class Page:
                     label += f"~{seen[label]}" * (seen[label] > 1)
                     chain = f"{self.open[-1][1]}/{label}" if self.open else label
                     self.open.append((name, chain, state, Counter()))
-                    self.chains.append(chain)
+                    self.chains.append((chain, len(self.found) + len(self.chains)))
         self.end_block()
 
 
@@ -266,66 +279,101 @@ def token_hash(chain: str, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{chain}\0{text}") - (1 << 63)
 
 
-PARSED = ("page_id bigint, url string, host string, blocks array<struct<slot:bigint,token:bigint,depth:int,text:string,linked:int,verdict:int>>, "
-          "chains array<struct<token:bigint,parent:bigint,n:int>>")
+PARSED = ("page_id bigint, url string, host string, content bigint, blocks array<struct<slot:bigint,token:bigint,at:int,n:int,size:int,words:int,text:string,linked:int,verdict:int>>, "
+          "chains array<struct<token:bigint,at:int,n:int>>")
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """Blocks and container tokens of every page; nothing is dropped."""
+    """Blocks and container tokens of every page. n: occurrences, at the first of equal tokens of a page. Only blocks that may be main text keep it."""
     prepare(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            blocks, chains = [], []
+            blocks, chains, contents = [], [], []
             for source in b.column(2).to_pylist():
                 p = Page(source or "")
-                blocks.append([{"slot": token_hash("", c), "token": token_hash(c, t), "depth": c.count("/"), "text": t, "linked": n, "verdict": v} for c, t, n, v in p.blocks])
-                chains.append([{"token": token_hash("", c), "parent": token_hash("", c.rpartition("/")[0]), "n": n} for c, n in Counter(p.chains).items()])
+                tokens = [token_hash(c, t) for c, t, *_ in p.blocks]
+                left = Counter(tokens)
+                kept = int(any(v == 1 for *_, v in p.blocks))
+                blocks.append([{"slot": token_hash("", c), "token": k, "at": at, "n": left.pop(k, 0), "size": len(t), "words": t.count(" ") + 1, "text": t if v == kept else None, "linked": n, "verdict": v}
+                               for (c, t, n, v), k, at in zip(p.blocks, tokens, p.places)])
+                left = Counter(c for c, _ in p.chains)
+                chains.append([{"token": token_hash("", c), "at": at, "n": left.pop(c)} for c, at in p.chains if c in left])
+                contents.append(token_hash("", "\n".join(t for _, t, _, v in p.blocks if v == kept)))
             hosts = [host(u) for u in b.column(1).to_pylist()]
-            b_type = pa.list_(pa.struct([("slot", pa.int64()), ("token", pa.int64()), ("depth", pa.int32()), ("text", pa.string()), ("linked", pa.int32()), ("verdict", pa.int32())]))
-            c_type = pa.list_(pa.struct([("token", pa.int64()), ("parent", pa.int64()), ("n", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hosts, pa.string()), pa.array(blocks, b_type), pa.array(chains, c_type)],
-                                             ["page_id", "url", "host", "blocks", "chains"])
+            b_type = pa.list_(pa.struct([("slot", pa.int64()), ("token", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("size", pa.int32()), ("words", pa.int32()), ("text", pa.string()),
+                                         ("linked", pa.int32()), ("verdict", pa.int32())]))
+            c_type = pa.list_(pa.struct([("token", pa.int64()), ("at", pa.int32()), ("n", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(blocks, b_type), pa.array(chains, c_type)],
+                                             ["page_id", "url", "host", "content", "blocks", "chains"])
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(run, PARSED)
 
 
-def template(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, token, is_text: the template of each host, from ``parsed`` with a ``page`` key.
+def tokens(parsed: DataFrame) -> DataFrame:
+    """host, page, content, token, is_text, kept (a text that may be main text), words, n, at of every token of a page, once."""
+    own = ["host", "page", "content"]
+    block = (parsed.select(*own, F.explode("blocks").alias("b")).filter("b.n > 0")
+             .select(*own, "b.token", F.lit(True).alias("is_text"), F.col("b.text").isNotNull().alias("kept"), "b.words", "b.n", "b.at"))
+    chain = parsed.select(*own, F.explode("chains").alias("c")).select(*own, "c.token", F.lit(False).alias("is_text"), F.lit(False).alias("kept"), F.lit(1).alias("words"), "c.n", "c.at")
+    return block.unionByName(chain)
+
+
+def on_pages(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """``rows`` (with a page) joined with ``common`` by host and token; a token of a large host is split."""
+    salt = F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int").alias("salt")
+    salts = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.select("*", salt).join(salts, ["host", "token", "salt"]).drop("salt")
+
+
+def template(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, min_size: int = MIN_SIZE) -> DataFrame:
+    """page, token: the template's texts on each page where they may be main text, from ``parsed`` with a ``page`` key.
 
     The occurrence vector of a token is folded into the xor of a hash of
-    (page, count). A class is valid if it is frequent and its containers nest:
-    each one's parent is in the template too, or it is a root.
+    (content, count). Of a frequent class, tokens stay that have one place among
+    the class's tokens on all pages and lie in one slot of the host's widest
+    class; it is valid if these have ``min_size`` words and elements, and a token
+    outside the template stands beside one of them on some page.
     """
-    block = parsed.select("host", "page", F.explode("blocks").alias("b")).select("host", "page", F.col("b.token").alias("token"), F.col("b.slot").alias("parent"), F.lit(True).alias("is_text"), F.lit(1).alias("n"))
-    chain = parsed.select("host", "page", F.explode("chains").alias("c")).select("host", "page", F.col("c.token").alias("token"), F.col("c.parent").alias("parent"), F.lit(False).alias("is_text"), F.col("c.n").alias("n"))
-    counts = block.unionByName(chain).groupBy("host", "token", "parent", "is_text", "page").agg(F.sum("n").alias("n"))
-    vectors = counts.groupBy("host", "token", "parent", "is_text").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"))
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
-    frequent = scratch(vectors.join(sizes, "host").filter((F.col("pages") >= min_pages) & (F.col("pages") >= min_share * F.col("host_pages"))), "classes")
-    members = frequent.groupBy("host", "vector").agg(F.count("*").alias("class_size"))
-    frequent = frequent.join(members, ["host", "vector"])
-    containers = frequent.filter("NOT is_text").select("host", F.col("token").alias("parent")).distinct()
-    root = F.lit(token_hash("", ""))
-    nested = frequent.join(containers.withColumn("in_template", F.lit(True)), ["host", "parent"], "left")
-    return nested.filter(F.col("in_template") | (F.col("parent") == root)).select("host", "token", "is_text", "class_size")
+    counts = tokens(parsed).groupBy("host", "token", "is_text", "words", "content").agg(F.sum("n").alias("n"), F.count("*").alias("pages"))
+    vectors = counts.groupBy("host", "token", "is_text", "words").agg(F.count("*").alias("contents"), F.sum("pages").alias("pages"), F.bit_xor(F.xxhash64("content", "n")).alias("vector"))
+    sizes = (parsed.groupBy("host", "content").agg(F.count("*").alias("copies")).groupBy("host")
+             .agg(F.sum("copies").alias("host_pages"), F.count("*").alias("host_contents")))
+    frequent = scratch(vectors.filter(F.col("contents") >= min_pages).join(sizes, "host")
+                       .filter((F.col("pages") >= min_share * F.col("host_pages")) & (F.col("contents") >= min_share * F.col("host_contents")))
+                       .select("host", "token", "vector", "contents", F.col("words").alias("size")), "classes")
+    classes = frequent.groupBy("host", "vector").agg(F.max("contents").alias("contents"), F.sum("size").alias("size"))
+    widest = classes.groupBy("host").agg(F.max_by("vector", F.struct("contents", "size", "vector")).alias("widest"))
+    common = frequent.join(widest, "host").select("host", "token", "vector", "size", (F.col("vector") == F.col("widest")).cast("int").alias("widest"))
+    found = on_pages(tokens(parsed).select("host", "page", "token", "is_text", "kept", "at"), common)
+    by_place = Window.partitionBy("page").orderBy("at")
+    beside = (F.col("at") - F.coalesce(F.lag("at").over(by_place), F.lit(-1)) > 1) | (F.lead("at").over(by_place) - F.col("at") > 1)
+    placed = scratch(found.select("host", "page", "token", "is_text", "kept", "vector", "size", F.sum("widest").over(by_place).alias("slot"), beside.alias("beside"),
+                                  F.row_number().over(Window.partitionBy("page", "vector").orderBy("at")).alias("place")), "placed")
+    fixed = (placed.groupBy("host", "token", "is_text", "vector", "size").agg(F.min("place").alias("p0"), F.max("place").alias("p1"), F.min("slot").alias("s0"), F.max("slot").alias("s1"),
+                                                                              F.bool_or("beside").alias("beside")).filter("p0 = p1 AND s0 = s1"))
+    valid = fixed.groupBy("host", "vector").agg(F.sum("size").alias("total"), F.bool_or("beside").alias("frames")).filter((F.col("total") >= min_size) & F.col("frames"))
+    texts = scratch(fixed.filter("is_text").join(valid, ["host", "vector"], "left_semi").select("host", "token"), "fixed")
+    return on_pages(placed.filter("kept").select("host", "page", "token"), texts).select("page", "token")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html)."""
     parsed = scratch(parse(pages).withColumn("page", F.monotonically_increasing_id()), "parsed")
     has_main = F.exists("blocks", lambda b: b["verdict"] == 1)
-    # blocks on which only the host's template can decide
-    open_blocks = (parsed.filter(~has_main).select("host", "page", F.posexplode("blocks").alias("at", "b")).filter("b.verdict = 0")
-                   .select("host", "page", "at", "b.slot", "b.token", F.length("b.text").alias("size"), "b.linked"))
+    # blocks on which only the host's slots can decide
+    open_blocks = (parsed.filter(~has_main).select("host", "page", F.explode("blocks").alias("b")).filter("b.verdict = 0")
+                   .select("host", "page", "b.slot", "b.size", "b.linked"))
     open_blocks = scratch(open_blocks, "open")
-    texts = template(parsed).filter("is_text").select("host", "token")
     menus = (open_blocks.groupBy("host", "slot").agg(F.sum("size").alias("size"), F.sum("linked").alias("linked"))
              .filter(F.col("linked") > LINK_SHARE * F.col("size")).select("host", "slot"))
-    fixed = open_blocks.join(scratch(texts, "fixed"), ["host", "token"], "left_semi").select("page", "at")
-    menu = open_blocks.join(scratch(menus, "menus"), ["host", "slot"], "left_semi").select("page", "at")
-    dropped = fixed.unionByName(menu).groupBy("page").agg(F.collect_set("at").alias("dropped"))
-    got = parsed.join(dropped, "page", "left").withColumn("has_main", has_main)
-    keep = F.filter("blocks", lambda b, i: F.when(F.col("has_main"), b["verdict"] == 1).otherwise(
-        (b["verdict"] == 0) & ~F.coalesce(F.array_contains("dropped", i), F.lit(False))))
+    menu = open_blocks.join(scratch(menus, "menus"), ["host", "slot"], "left_semi").select("page", F.col("slot").alias("token"))
+    # written first: its size decides whether the texts are shuffled
+    dropped = scratch(template(parsed).unionByName(menu).groupBy("page").agg(F.collect_set("token").alias("dropped")), "dropped")
+    candidates = F.transform(F.filter("blocks", lambda b: b["text"].isNotNull()), lambda b: F.struct(b["token"].alias("token"), b["slot"].alias("slot"), b["size"].alias("size"), b["text"].alias("text")))
+    got = (parsed.select("page", "page_id", "url", has_main.alias("has_main"), candidates.alias("all")).join(dropped, "page", "left")
+           .withColumn("dropped", F.coalesce("dropped", F.array().cast("array<bigint>"))))
+    left = F.filter("all", lambda b: ~F.array_contains("dropped", b["token"]) & (F.col("has_main") | ~F.array_contains("dropped", b["slot"])))
+    size = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda n, b: n + b["size"])
+    keep = F.when(F.col("has_main") & (size("left") < LEFT_SHARE * size("all")), F.col("all")).otherwise(F.col("left"))
     text = F.array_join(F.transform(keep, lambda b: b["text"]), "\n")
-    return got.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return got.withColumn("left", left).select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

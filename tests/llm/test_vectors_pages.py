@@ -165,3 +165,34 @@ def test_repeated_article_text_stays(spark):
     html = "<nav>Menu</nav><article><h1>Same</h1><p>Copied story.</p></article><footer>(c)</footer>"
     df = spark.createDataFrame([(k, f"http://h/{k}", html) for k in range(8)], "page_id long, url string, html string")
     assert {r.text for r in html_extract.main_text(df).collect()} == {"Same\nCopied story."}
+
+
+def extract(spark, sources, host="h.example"):
+    df = spark.createDataFrame([(k, f"http://{host}/{k}", x) for k, x in enumerate(sources)], "page_id long, url string, html string")
+    return [r.text for r in sorted(html_extract.main_text(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_template_text_goes_from_articles_too(spark):
+    got = extract(spark, [f"<html><body><article><h1>Title {k}</h1><p>Share this story now</p><p>Story {k} has more words than the template.</p><p>Thanks for reading</p></article></body></html>"
+                          for k in range(8)])
+    assert got == [f"Title {k}\nStory {k} has more words than the template." for k in range(8)]
+
+
+def test_copies_are_no_template(spark):
+    copies = [f"<html><body><div class=ad>Buy {k}</div><div><p>A story told many times.</p><p>It ends well.</p></div></body></html>" for k in range(12)]
+    others = [f"<html><body><div><p>Story {k}.</p></div></body></html>" for k in range(6)]
+    assert extract(spark, copies + others) == ["A story told many times.\nIt ends well."] * 12 + [f"Story {k}." for k in range(6)]
+
+
+def test_near_copies_of_an_article_stay(spark):
+    got = extract(spark, [f"<article><p>A long story that is told on all pages of the host.</p><p>Part {k}.</p></article>" for k in range(6)])
+    assert got == [f"A long story that is told on all pages of the host.\nPart {k}." for k in range(6)]
+
+
+def test_texts_without_a_fixed_place_or_enough_words_are_no_template(spark):
+    moving = [[f"First words of {k}.", "This moves about the page.", "It has no fixed place."] for k in range(8)]
+    pages = ["<html><body><p>Always in front here.</p>" + "".join(f"<p>{x}</p>" for x in (m if k % 2 else [m[0], m[2], m[1]])) + "<p>Yes.</p>" * (k % 2) + f"<p>End {k}.</p></body></html>"
+             for k, m in enumerate(moving)]
+    got = extract(spark, pages)
+    for k, (text, m) in enumerate(zip(got, moving)):
+        assert text.split("\n") == [*(m if k % 2 else [m[0], m[2], m[1]]), *["Yes."] * (k % 2), f"End {k}."]
