@@ -20,13 +20,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Length of an IBAN by country, from the registry.
+IBAN_LENGTH = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "HR LV LI CH", 22: "BH BG CR GE DE IE ME RS GB VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ MD PK RO SA SK ES SE TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO SV GT HU LB NI PL",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}
+KNOWN = "|".join(IBAN_LENGTH.values()).replace(" ", "|")
+#: Fixed length by country; else an unspaced run, or groups of four and a shorter last one.
+IBAN = "|".join([rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+(?![A-Za-z0-9])" for n, c in IBAN_LENGTH.items()]
+                + [rf"[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}+|(?:\x20(?!(?:{KNOWN})[0-9]{{2}})[A-Z0-9]{{4}}(?![A-Za-z0-9])){{2,7}}+(?:\x20[A-Z0-9]{{1,3}})?+)(?![A-Za-z0-9])"])
 #: Kinds in the order of the report, and their patterns.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{IBAN})",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 BASE = ("email", "ip", "card", "phone")

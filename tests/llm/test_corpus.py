@@ -289,3 +289,15 @@ def test_pipeline_stages(spark, make_docs, edge_rows):
     for _, stage in C.STAGES:
         empty = scratch(stage(spark, empty, ""), "test")
     assert empty.count() == 0
+
+
+def test_iban_before_words_and_numbers(make_docs):
+    whole, groups, belgian = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "BE68 5390 0754 7034"
+    cases = [(f"IBAN {i}{after}", [i]) for i in (whole, groups, belgian) for after in (" Please pay", " BIC COBADEFF", " BANK OF X", " 5 euros", " 1234 5678", " A", "", ".")]
+    cases += [(f"IBAN {groups} GB82 WEST 1234 5698 7654 32 {belgian}", [groups, "GB82 WEST 1234 5698 7654 32", belgian]), (f"IBAN XX12 ABCD EFGH {groups}", [groups]),
+              ("IBAN DE89 3704 0044 0532 0130 01 Please", []), (f"IBAN {whole}X", []), (f"IBAN {whole}please", [])]
+    for r in pii.report(make_docs([(k, t) for k, (t, _) in enumerate(cases)])).collect():
+        text, want = cases[r.doc_id]
+        got = [x.split(":") for x in r.spans.split(",") if x.startswith("iban")]
+        assert [text[int(a):int(b)] for _, a, b in got] == want, text
+    assert [r.text for r in pii.redact(make_docs([(1, f"IBAN {groups} BIC COBADEFF")])).collect()] == ["IBAN <IBAN> BIC COBADEFF"]
