@@ -166,16 +166,32 @@ def rank_encoder(path: str, pattern: str) -> PieceEncoder:
 
 
 @functools.cache
-def file_encoder(path: str, pattern: str) -> PieceEncoder:
-    """Encoder for a byte-level file of the tokenizers library; special tokens' strings are ordinary text."""
+def file_encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
+    """Encoder for a byte-level file of the tokenizers library; the strings of its added tokens are these tokens."""
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path).model
+    tokenizer = Tokenizer.from_file(path)
+    model = tokenizer.model
     model._resize_cache(0)
 
     def encode_piece(piece: str) -> list[int]:
         return [x.id for x in model.tokenize(_mapped(piece))]
-    return PieceEncoder(pattern, encode_piece)
+    pieces = PieceEncoder(pattern, encode_piece)
+    added = tokenizer.get_added_tokens_decoder()
+    if not added:
+        return pieces
+    ids = {t.content: struct.pack("<I", k) for k, t in added.items()}
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) + ")")
+    plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
+
+    def encode(text: str | None) -> bytes:
+        if not text or not cut.search(text):
+            return pieces(text)
+        if not plain:                                # tokens that take white space or need a word's end: the library's own step
+            got = tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(got)}I", *got)
+        return b"".join(ids[x] if k % 2 else pieces(x) for k, x in enumerate(cut.split(text)))
+    return encode
 
 
 class TokenBytes:

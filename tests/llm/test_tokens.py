@@ -115,3 +115,23 @@ def test_empty_tables(spark, make_docs):
     path = scratch_path(spark, "test")
     bitplanes.write(make_docs([]), path, JSON, PATTERN)
     assert bitplanes.read(spark, path).count() == 0
+
+
+def added_json(text):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "one two <|endoftext|> three, four<|endoftext|>\n", "<|endoftext", "a <|endoftext|"])
+def test_added_tokens_of_the_file(text):
+    assert bpe.file_encoder(JSON, PATTERN)(text) == pack(added_json(text))
+    assert ("<|endoftext|>" in text) == (added_json(text) != brute_json(text))
+
+
+def test_op3_added_tokens(spark, make_docs):
+    path = scratch_path(spark, "test")
+    texts = ["one <|endoftext|> two", "three"]
+    bitplanes.write(make_docs(list(enumerate(texts))), path, JSON, PATTERN)
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in bitplanes.read(spark, path).collect()}
+    want = [pack([*added_json(t), 0]) for t in texts]
+    assert got == {0: (0, len(want[0]) // 4, zlib.crc32(want[0])), 1: (len(want[0]) // 4, len(want[1]) // 4, zlib.crc32(want[1]))}
