@@ -8,9 +8,6 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, os.path.dirname(HERE))
 sys.path.insert(0, HERE)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -32,11 +29,11 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck_small():
-    from harness import duck
+    from harness import SF_SMALL, duck
     return duck(SF_SMALL)
 
 
 @pytest.fixture(scope="session")
 def duck_mid():
-    from harness import duck
+    from harness import SF_MID, duck
     return duck(SF_MID)

@@ -3,9 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_MID, SF_SMALL
 from estatelens.plans import registry
-from harness import compare
+from harness import SF_MID, SF_SMALL, compare
 
 # the library's own keys; the training-data operators have tests of their own
 QUERIES = {k: q for k, q in E.queries().items() if k in registry.QUERIES}

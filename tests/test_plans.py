@@ -4,7 +4,7 @@ nested-loop join, and the large roles are read with pruned columns."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from harness import SF_SMALL
 from estatelens.plans import registry
 
 QUERIES = {k: q for k, q in E.queries().items() if k in registry.QUERIES}

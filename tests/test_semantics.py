@@ -12,7 +12,7 @@ from estatelens.operators import health as h
 from estatelens.operators import partitions as pa
 from estatelens.operators import security as sec
 from estatelens.sources.roles import Roles
-from conftest import SF_SMALL
+from harness import SF_SMALL
 
 
 def test_null_concat_is_empty(spark):  # S1

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SF_SMALL
+from harness import SF_SMALL
 from estatelens.operators import capacity as cap
 from estatelens.operators import security as sec
 from estatelens.sources.roles import Roles
