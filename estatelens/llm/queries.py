@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelens.llm import ann, bitplanes, bpe, embed_dedup, html_extract, langid, mixing, pii, sharding, simhash
+from estatelens.llm import ann, bitplanes, bpe, embed_dedup, html_extract, langid, mixing, pii, repair, sharding, simhash
 from estatelens.llm.common import scratch_path, table
 
 #: Folder of the tokenizer files; unset: the installed package that carries them.
@@ -68,6 +68,10 @@ def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_sharding, op3_bitplanes, op4_mixing, op5_pii, op6_html, op7_ann, op8_langid, op9_simhash, op10_embed_dedup)}
+    f.__name__: f for f in (op1_byte_bpe, op2_sharding, op3_bitplanes, op4_mixing, op5_pii, op6_html, op7_ann, op8_langid, op9_simhash, op10_embed_dedup, op13_repair)}
 ORACLE: dict[str, str] = {}
