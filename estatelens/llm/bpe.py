@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +119,111 @@ class PieceEncoder:
             return self.whole(text)
 
 
+class BatchEncoder:
+    """The ids of many texts at once, through one flat table of the ids of known words.
+
+    Arrow cuts the texts at single spaces and numbers the words of the batch;
+    each distinct word is looked up once and numpy copies the ids in order.
+    Where white space stands beside such a space, the parts around it stay one
+    unit. With ``lead`` every text is read as space + text.
+    """
+
+    def __init__(self, pieces: PieceEncoder, lead: bool = False, entries: int = 2 * CACHE_ENTRIES, chars: int = 2 * CACHE_CHARS):
+        self.pieces, self.lead, self.entries, self.max_chars = pieces, lead, entries, chars
+        self.slot: dict[str, int] = {}               # word after a space, or any unit behind a tab -> row of first and length
+        self.mark: dict[str, list[int]] = {}
+        self.chars = 0
+        self.first, self.length, self.flat = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "<u4")
+
+    def _halve(self) -> None:
+        """Keep the words that came first; the frequent ones do."""
+        while self.slot and (len(self.slot) >= self.entries or self.chars >= self.max_chars):
+            keep = list(itertools.islice(self.slot, len(self.slot) // 2))
+            self.slot = {w: k for k, w in enumerate(keep)}
+            self.chars = sum(map(len, keep))
+            self.first, self.length = self.first[:len(keep)], self.length[:len(keep)]
+            self.flat = self.flat[:int(self.length.sum())]
+
+    def _ids(self, key: str) -> list[int]:
+        pieces = self.pieces
+        if key.isalpha():
+            return pieces.encode_piece(" " + key)
+        if key[:-1].isalpha() and key[-1] in ".,;:!?":
+            row = self.slot.get(key[:-1], -1)
+            if 0 <= row < len(self.first):
+                a = self.first[row]
+                head = self.flat[a:a + self.length[row]].tolist()
+            else:
+                head = pieces.encode_piece(" " + key[:-1])
+            end = self.mark.get(key[-1])
+            if end is None:
+                end = self.mark[key[-1]] = pieces.encode_piece(key[-1])
+            return head + end
+        return memoryview(pieces.whole(key[1:] if key[:1] == "\t" else " " + key)).cast("I").tolist()
+
+    def new_ids(self, keys: list[str]) -> list[list[int]]:
+        return [*map(self._ids, keys)]
+
+    def rows(self, keys: list[str]) -> np.ndarray:
+        """Rows of the keys; new ones are encoded and added."""
+        self._halve()
+        rows = np.array([*map(self.slot.get, keys, itertools.repeat(-1))], "i8")
+        at = np.flatnonzero(rows < 0)
+        if len(at):
+            new = [keys[k] for k in at.tolist()]
+            got = self.new_ids(new)
+            n = np.array([*map(len, got)], "i8")
+            rows[at] = len(self.slot) + np.arange(len(new))
+            self.slot.update(zip(new, rows[at].tolist()))
+            self.chars += sum(map(len, new))
+            self.first = np.concatenate((self.first, len(self.flat) + np.cumsum(n) - n))
+            self.length = np.concatenate((self.length, n))
+            self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(got), "<u4", int(n.sum()))))
+        return rows
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, and how many each text has. A null or empty text has none."""
+        texts = pc.fill_null(texts, "")
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, "i8")
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
+        word = words.indices.to_numpy(zero_copy_only=False).astype("i8")
+        names = words.dictionary
+        begin = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)))).astype("i8")
+        some = pc.not_equal(names, "")
+        opens = pc.and_(some, pc.equal(pc.utf8_ltrim_whitespace(names), names)).to_numpy(zero_copy_only=False)
+        closes = pc.and_(some, pc.equal(pc.utf8_rtrim_whitespace(names), names)).to_numpy(zero_copy_only=False)
+        starts = np.empty(len(word), bool)            # parts that begin a unit
+        starts[1:] = closes[word[:-1]] & opens[word[1:]]
+        starts[begin[:-1]] = True
+        at = np.flatnonzero(starts)
+        size = np.diff(np.append(at, len(word)))
+        own = size > 1                                # units that are not one word after a space
+        text_at = np.searchsorted(at, begin[:-1])
+        own[text_at] |= ~opens[word[begin[:-1]]] if self.lead else True
+        names = names.to_pylist()
+        which = np.empty(len(at), "i8")
+        count = np.bincount(word[at[~own]], minlength=len(names))
+        used = np.flatnonzero(count)
+        number = np.cumsum(count > 0) - 1
+        which[~own] = number[word[at[~own]]]
+        keys = [names[k] for k in used.tolist()]
+        more: dict[str, int] = {}
+        first = np.zeros(len(at), bool)
+        first[text_at] = not self.lead
+        for k in np.flatnonzero(own).tolist():
+            a = at[k]
+            key = ("\t" if first[k] else "\t ") + " ".join([names[w] for w in word[a:a + size[k]].tolist()])
+            which[k] = more.setdefault(key, len(keys) + len(more))
+        row = self.rows(keys + list(more))[which]
+        n = self.length[row]
+        n[text_at[pc.equal(texts, "").to_numpy(zero_copy_only=False)]] = 0
+        shift = self.first[row] - (np.cumsum(n) - n)
+        ids = self.flat[np.arange(int(n.sum())) + np.repeat(shift, n)]
+        return ids, np.add.reduceat(n, text_at)
+
+
 def rank_merges(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
     """Every pair of tokens that joins to a token, by the rank of that token."""
     pairs = []
@@ -136,6 +242,8 @@ LONG_PIECE = 48
 
 def _mapped(piece: str) -> str:
     """The bytes of the piece as characters of the byte table."""
+    if piece[1:].isalpha() and piece[0] == " " and piece.isascii():
+        return "\u0120" + piece[1:]
     return piece.encode().decode("latin-1").translate(byte_table())
 
 
@@ -165,18 +273,24 @@ def rank_encoder(path: str, pattern: str) -> PieceEncoder:
     return PieceEncoder(pattern, encode_piece)
 
 
-@functools.cache
-def file_encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
-    """Encoder for a byte-level file of the tokenizers library; the strings of its added tokens are these tokens."""
+def plain_pieces(path: str, pattern: str) -> PieceEncoder:
+    """Pieces of a byte-level file of the tokenizers library; strings of added tokens are ordinary text."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    model = tokenizer.model
+    model = Tokenizer.from_file(path).model
     model._resize_cache(0)
 
     def encode_piece(piece: str) -> list[int]:
         return [x.id for x in model.tokenize(_mapped(piece))]
-    pieces = PieceEncoder(pattern, encode_piece)
+    return PieceEncoder(pattern, encode_piece)
+
+
+@functools.cache
+def file_encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
+    """Encoder for a byte-level file of the tokenizers library; the strings of its added tokens are these tokens."""
+    from tokenizers import Tokenizer
+
+    tokenizer, pieces = Tokenizer.from_file(path), plain_pieces(path, pattern)
     added = tokenizer.get_added_tokens_decoder()
     if not added:
         return pieces
@@ -194,6 +308,25 @@ def file_encoder(path: str, pattern: str) -> Callable[[str | None], bytes]:
     return encode
 
 
+@functools.cache
+def file_batches(path: str, pattern: str) -> Callable[[pa.Array], list[bytes]]:
+    """As ``file_encoder``, for an array of texts at once."""
+    from tokenizers import Tokenizer
+
+    batch = BatchEncoder(plain_pieces(path, pattern))
+    added = [t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()]
+
+    def encode(texts: pa.Array) -> list[bytes]:
+        holds = functools.reduce(pc.or_, [pc.match_substring(texts, t) for t in added], pa.array(np.zeros(len(texts), bool)))
+        ids, n = batch(pc.if_else(pc.fill_null(holds, False), None, texts))
+        raw, end = ids.astype("<u4").tobytes(), (4 * np.cumsum(n)).tolist()
+        out = [raw[a:b] for a, b in zip([0, *end], end)]
+        for k in np.flatnonzero(pc.fill_null(holds, False).to_numpy(zero_copy_only=False)).tolist():
+            out[k] = file_encoder(path, pattern)(texts[k].as_py())
+        return out
+    return encode
+
+
 class TokenBytes:
     """The reversed byte table: the bytes of every id, end to end, with first byte and length."""
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import estatelens
@@ -54,3 +56,15 @@ def scratch(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def larger(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in batches of about ``size`` bytes; one row may be larger."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if sum(x.num_rows for x in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
