@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelens.llm import align, ann, bitplanes, bpe, embed_dedup, html_extract, langid, mixing, pii, repair, sharding, simhash
+from estatelens.llm import align, ann, bitplanes, bpe, embed_dedup, html_extract, langid, mixing, pii, repair, sharding, simhash, suffix_dedup
 from estatelens.llm.common import scratch_path, table
 
 #: Folder of the tokenizer files; unset: the installed package that carries them.
@@ -68,6 +68,10 @@ def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")[:1])
 
@@ -77,5 +81,5 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_sharding, op3_bitplanes, op4_mixing, op5_pii, op6_html, op7_ann, op8_langid, op9_simhash, op10_embed_dedup, op12_alignment, op13_repair)}
+    f.__name__: f for f in (op1_byte_bpe, op2_sharding, op3_bitplanes, op4_mixing, op5_pii, op6_html, op7_ann, op8_langid, op9_simhash, op10_embed_dedup, op11_suffix_dedup, op12_alignment, op13_repair)}
 ORACLE: dict[str, str] = {}
