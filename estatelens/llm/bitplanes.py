@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from estatelens.llm.bpe import file_encoder
-from estatelens.llm.common import prepare
+from estatelens.llm.bpe import file_batches
+from estatelens.llm.common import larger, prepare
 
 #: Ids in one chunk: 256 kB before compression.
 CHUNK_IDS = 65_536
@@ -69,7 +69,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int
     prepare(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pack = file_encoder(tokenizer, pattern), zstandard.ZstdCompressor(level=ZSTD_LEVEL)
+        enc, pack = file_batches(tokenizer, pattern), zstandard.ZstdCompressor(level=ZSTD_LEVEL)
         end = np.array([end_id], dtype="<u4").tobytes()
         shard = TaskContext.get().partitionId()
         held, size, chunk, number = [], 0, 0, 0        # held: (doc_id, number, bytes of ids)
@@ -96,9 +96,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)],
                                               ["shard", "chunk", "first", "n_ids", "planes", "seg_doc", "seg_no", "seg_begin", "seg_len"])
 
-        for b in batches:
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.append((d, number, enc(t) + end))
+        for b in larger(batches):
+            for d, ids in zip(b.column(0).to_pylist(), enc(b.column(1))):
+                held.append((d, number, ids + end))
                 number += 1
                 size += len(held[-1][2]) // 4
                 while size >= chunk_ids:

@@ -40,6 +40,20 @@ def test_encoders_equal_the_libraries(text):
     assert bpe.file_encoder(JSON, PATTERN)(text) == pack(brute_json(text))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.one_of(st.sampled_from("ab \n\t'-=.1é 　"), st.characters(exclude_categories=["Cs"])), max_size=30)), max_size=8),
+       st.integers(1, 6))
+def test_batches_equal_single_texts(texts, entries):
+    import pyarrow as pa
+    assert bpe.file_batches(JSON, PATTERN)(pa.array([*texts, "a<|endoftext|>b"], pa.string())) == [bpe.file_encoder(JSON, PATTERN)(t) for t in [*texts, "a<|endoftext|>b"]]
+    for lead in (False, True):
+        small = bpe.BatchEncoder(bpe.plain_pieces(JSON, PATTERN), lead=lead, entries=entries)
+        for _ in range(2):
+            ids, n = small(pa.array(texts, pa.string()))
+            want = [brute_json(" " * lead + t) if t else [] for t in texts]
+            assert ids.tolist() == [x for w in want for x in w] and n.tolist() == [len(w) for w in want]
+
+
 @pytest.mark.parametrize("unit", ["a", "ab", " ", "=", "ha", "th", "\n", "-", "0", "é"])
 def test_repeated_parts(unit):
     for n in range(1, 70):
