@@ -29,8 +29,10 @@ def with_roles(sql: str) -> str:
     ctes = [f"cat_{n} AS ({ROLE_SQL[n]})" for n in names]
     body = sql.strip()
     if body[:5].upper() == "WITH ":
-        ctes.append(body[5:].lstrip())
-        return "WITH " + ",\n".join(ctes)
+        rest = body[5:].lstrip()
+        recursive = "RECURSIVE " if rest[:10].upper() == "RECURSIVE " else ""
+        ctes.append(rest[len(recursive):])
+        return f"WITH {recursive}" + ",\n".join(ctes)
     if not ctes:
         return body
     return "WITH " + ",\n".join(ctes) + "\n" + body
@@ -65,4 +67,6 @@ def load_all() -> None:
         q_objects,
         q_inventory,
         q_sources,
+        q_editions,
+        q_temporal,
     )

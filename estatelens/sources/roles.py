@@ -597,6 +597,45 @@ SELECT concat('DB', doc_id % 4) AS db_name,
   TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY * (doc_id % 90) - INTERVAL 1 MINUTE * ((doc_id * 37) % 1440) AS mtime
 FROM documents""")
 
+# ------------------------------------------------------ editions, outages
+# Editions of a database form chains of 40 from the base; in every thousand one
+# chain closes to a cycle and one names a parent that is gone.
+_role("editions", """
+SELECT concat('DB', c_custkey % 4) AS db_name, concat('E_', c_custkey) AS edition_name,
+  CASE WHEN i % 1000 = 7 THEN concat('E_', c_custkey + 8) WHEN i % 1000 = 45 THEN 'E_GONE' WHEN i % 40 = 0 THEN 'ORA$BASE' ELSE concat('E_', c_custkey - 4) END AS parent_edition_name
+FROM (SELECT c_custkey, CAST((c_custkey - c_custkey % 4) / 4 AS BIGINT) AS i FROM customer) t
+UNION ALL
+SELECT concat('DB', c_custkey % 4), 'ORA$BASE', NULL FROM customer GROUP BY c_custkey % 4""")
+
+_role("edition_comments", """
+SELECT concat('DB', c_custkey % 4) AS db_name, concat('E_', c_custkey) AS edition_name, concat('release ', c_mktsegment) AS comments FROM customer""")
+
+_role("edition_privs", """
+SELECT concat('DB', c_custkey % 4) AS db_name, concat('E_', c_custkey) AS table_name, concat('U', c_nationkey) AS grantee,
+  CASE WHEN c_acctbal < 0 THEN 'ALTER' ELSE 'USE' END AS privilege
+FROM customer""")
+
+_role("edition_objects", """
+SELECT concat('DB', o_custkey % 4) AS db_name, concat('E_', o_custkey) AS edition_name, concat('OBJ_', o_orderkey) AS object_name,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'SYNONYM' WHEN '2-HIGH' THEN 'VIEW' ELSE 'PACKAGE' END AS object_type,
+  CASE WHEN o_orderstatus = 'P' THEN 'INVALID' ELSE 'VALID' END AS status, o_orderdate AS created
+FROM orders""")
+
+_role("services", """
+SELECT concat('DB', s_suppkey % 4) AS db_name, CASE WHEN s_suppkey % 13 = 0 THEN concat('SYS$', s_suppkey) WHEN s_suppkey % 17 = 0 THEN concat('s', s_suppkey, 'XDB') ELSE concat('svc_', s_suppkey) END AS name,
+  CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE concat('E_', s_suppkey) END AS edition
+FROM supplier""")
+
+# Most outages last seconds, every 500th two days.
+_role("outages", """
+SELECT concat('DB', user_id % 4) AS db_name, event_id AS outage_id, ts AS started,
+  ts + INTERVAL 1 SECOND * (CASE WHEN event_id % 500 = 0 THEN 172800 ELSE CAST(round(value) AS BIGINT) END) AS ended
+FROM events""")
+
+_role("log_windows", """
+SELECT concat('DB', user_id % 4) AS db_name, event_id AS recid, ts - INTERVAL 1 SECOND * CAST(round(value * 2) AS BIGINT) AS first_time, ts AS next_time
+FROM events""")
+
 
 # --------------------------------------------------------------- loaders
 
