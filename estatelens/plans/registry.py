@@ -69,4 +69,5 @@ def load_all() -> None:
         q_sources,
         q_editions,
         q_temporal,
+        q_deltas,
     )
