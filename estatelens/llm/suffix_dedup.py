@@ -22,7 +22,7 @@ its bytes. Such strings are windows, the first ``length`` bytes of a suffix.
 Anchors that a thousandth of a sample of blocks shares are dealt out in
 ``SALTS`` slices, their contexts all open; open contexts of these and of anchors
 with more than ``WIDE`` contexts are too many for one task and are told apart
-by digests of single windows, added up before they are shuffled. Every case is
+by digests of single windows, each sent once per task, in packs dealt by digest. Every case is
 exact; the sample only steers which way a row goes.
 
 Memory: a block of ``BLOCK_BYTES`` or one longer text. Defined results: a null
@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelens.llm.common import prepare, scratch
+from estatelens.llm.common import larger, prepare, scratch
 
 LENGTH = 200
 GRAM = 64
@@ -52,6 +52,8 @@ SLICE = 1 << 21
 PACK_BYTES = 1_000_000
 WIDE = 256
 SALTS = 64
+#: Windows of very wide anchors that meet in one task.
+SHARE_WINDOWS = 1_000_000
 #: One block in so many is looked at for anchors that much of the corpus shares.
 SAMPLE = 16
 POSITION = np.uint64((1 << 22) - 1)
@@ -327,19 +329,87 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, SPAN)
 
 
-def _wide_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many contexts: equal windows by their digests."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+PACK = "share int, high binary, low binary, many binary, block binary, place binary"
+PACK_SCHEMA = pa.schema([("share", pa.int32())] + [(c, pa.binary()) for c in ("high", "low", "many", "block", "place")])
+
+
+def _grouped(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the digests, and for each in that order the number of its group."""
+    order = np.lexsort((low, high))
+    h, l = high[order], low[order]
+    return order, np.cumsum(np.append(True, (h[1:] != h[:-1]) | (l[1:] != l[:-1]))) - 1 if len(order) else order
+
+
+def _stretches(block: np.ndarray, place: np.ndarray, length: int) -> pa.RecordBatch:
+    """Windows as spans; neighbours become one."""
+    order = np.lexsort((place, block))
+    block, place = block[order], place[order]
+    new = np.append(True, (block[1:] != block[:-1]) | (place[1:] != place[:-1] + 1)) if len(block) else np.zeros(0, bool)
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(block))[:len(at)] - 1
+    return pa.RecordBatch.from_arrays([pa.array(block[at]), pa.array(place[at]), pa.array(place[last] + length)], ["block", "first", "last"])
+
+
+def _wide_spans(contexts: DataFrame, length: int, share_windows: int = SHARE_WINDOWS) -> DataFrame:
+    """The same for anchors with very many contexts: equal windows by their digests.
+
+    A task sorts the digests of all windows of a batch and sends each digest
+    once, in packs dealt by digest; one that it saw twice is marked ``many`` and
+    carries a place only where a single one is left to be judged. So a window
+    that the whole corpus shares is one entry per batch.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in larger(batches, 4_000_000):
+            rows = list(zip(*[b.column(c).to_pylist() for c in ("block", "lo", "shape", "whole", "bytes")]))
+            n = np.array([r[2] % 1024 for r in rows], "i8")
+            key = np.frombuffer(b"".join(hashlib.blake2b(r[4][k:k + length], digest_size=16).digest() for r, m in zip(rows, n.tolist()) for k in range(m)), "<u8").reshape(-1, 2)
+            which = np.repeat(np.arange(len(n)), n)
+            place = np.array([r[1] for r in rows], "i8")[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+            block = np.where(np.array([r[3] for r in rows])[which], -1, np.array([r[0] for r in rows], "i8")[which])       # -1: marked as a whole already
+            order, group = _grouped(key[:, 0], key[:, 1])
+            many = np.bincount(group)[group] > 1
+            seen = many & (block[order] >= 0)
+            if seen.any():                                # equal windows in this batch: judged here
+                yield _as_pack(-1, key[order[seen]], many[seen], block[order[seen]], place[order[seen]])
+            first = np.append(True, group[1:] != group[:-1])
+            key, many, block, place = key[order[first]], many[first], np.where(many[first], -1, block[order[first]]), place[order[first]]
+            share = (key[:, 0] % np.uint64(shares)).astype("i8")
+            by_share = np.argsort(share, kind="stable")
+            for at in np.split(by_share, np.flatnonzero(np.diff(share[by_share])) + 1):
+                yield _as_pack(int(share[at[0]]), key[at], many[at], block[at], place[at])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+
+        def result() -> pa.RecordBatch:
+            high, low, many, block, place = (np.concatenate([np.frombuffer(r[c], kind) for r in held]) for c, kind in (("high", "<u8"), ("low", "<u8"), ("many", "u1"), ("block", "<i8"), ("place", "<i8")))
+            order, group = _grouped(high, low)
+            again = (np.bincount(group) + np.bincount(group, many[order]) > 1)[group] & (block[order] >= 0)
+            return _stretches(block[order[again]], place[order[again]], length)
+
         for b in batches:
-            for block, lo, shape, whole, data in zip(*[c.to_pylist() for c in b.columns]):
-                n = shape % 1024
-                key = [hashlib.blake2b(data[k:k + length], digest_size=16).digest() for k in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array([block] * n, pa.int64()), pa.array(range(lo, lo + n), pa.int64()), pa.array([whole] * n)],
-                                                 ["key", "block", "first", "whole"])
-    rows = contexts.filter("wide").select("block", "lo", "shape", "whole", "bytes").mapInArrow(run, "key binary, block bigint, first bigint, whole boolean")
-    rows = scratch(rows, "windows")
-    again = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    return rows.filter("not whole").join(again, "key", "left_semi").select("block", "first", (F.col("first") + length).alias("last"))
+            for r in b.to_pylist():
+                if r["share"] != now and held:
+                    yield result()
+                    held = []
+                now = r["share"]
+                if now < 0:
+                    yield _stretches(np.frombuffer(r["block"], "<i8"), np.frombuffer(r["place"], "<i8"), length)
+                else:
+                    held.append(r)
+        if held:
+            yield result()
+
+    wide = contexts.filter("wide").select("block", "lo", "shape", "whole", "bytes")
+    shares = 1 + (wide.agg(F.sum(F.pmod("shape", F.lit(1024)))).first()[0] or 0) // share_windows
+    packs = wide.mapInArrow(pack, PACK)
+    # what a task has judged alone needs no meeting place
+    return packs.repartition(F.when(F.col("share") >= 0, F.col("share")).otherwise(F.xxhash64("block", "place"))).sortWithinPartitions("share").mapInArrow(judge, SPAN)
+
+
+def _as_pack(share: int, key: np.ndarray, many: np.ndarray, block: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    values = (key[:, 0], key[:, 1], many.astype("u1"), block, place)
+    return pa.RecordBatch.from_arrays([pa.array([share], pa.int32()), *[pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in values]], schema=PACK_SCHEMA)
 
 
 def _cut(id_type: pa.DataType, texts: bool):
@@ -365,7 +435,8 @@ def _cut(id_type: pa.DataType, texts: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = False, block_bytes: int = BLOCK_BYTES, wide: int = WIDE, sample: int = SAMPLE) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = False, block_bytes: int = BLOCK_BYTES, wide: int = WIDE, sample: int = SAMPLE,
+                   share_windows: int = SHARE_WINDOWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 (with ``texts`` instead kept, the remaining bytes) of every row of ``docs`` (doc_id, text)."""
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -379,7 +450,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     contexts = scratch(_open_contexts(blocks, judged, length), "contexts")
     prepare(spark, 2_000)
     whole = judged.filter("whole").select("block", F.col("lo").alias("first"), (F.col("lo") + F.pmod("shape", F.lit(1024)) + (length - 1)).alias("last"))
-    spans = scratch(whole.unionByName(_sorted_spans(contexts, length)).unionByName(_wide_spans(contexts, length)), "spans")
+    spans = scratch(whole.unionByName(_sorted_spans(contexts, length)).unionByName(_wide_spans(contexts, length, share_windows)), "spans")
     prepare(spark, 4)
     lists = spans.groupBy("block").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     end = "kept binary" if texts else "kept_sha256 string"

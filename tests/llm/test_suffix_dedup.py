@@ -92,7 +92,7 @@ def texts(seed, n=120):
     return out
 
 
-@pytest.mark.parametrize("seed,options", [(1, {}), (2, {"block_bytes": 300}), (3, {"wide": 2, "block_bytes": 2000}), (4, {"wide": 0}), (5, {"sample": 1, "block_bytes": 900})])
+@pytest.mark.parametrize("seed,options", [(1, {}), (2, {"block_bytes": 300}), (3, {"wide": 2, "block_bytes": 2000}), (4, {"wide": 0}), (6, {"wide": 0, "share_windows": 500, "block_bytes": 700}), (5, {"sample": 1, "block_bytes": 900})])
 def test_documents_equal_plain(spark, make_docs, seed, options):
     t = texts(seed)
     rows = [(k % 100 if k % 7 else None, x) for k, x in enumerate(t)]
