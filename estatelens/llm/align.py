@@ -33,12 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelens.llm.bpe import BatchEncoder, byte_table, plain_pieces
+from estatelens.llm.bpe import BatchEncoder, byte_table, plain_pieces, units
 from estatelens.llm.common import larger, prepare, scratch
 
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 700_000
+#: Words in each side's table.
+ENTRIES = 200_000
 #: Distinct pairs in one table of a task.
-TABLE_PAIRS = 2_000_000
+TABLE_PAIRS = 1_000_000
 #: Pairs in one row of a written table.
 ROW_PAIRS = 20_000
 #: A group of more links than this gives each distinct id pair once, with its multiplicity.
@@ -64,18 +66,14 @@ class PieceBatches(BatchEncoder):
 
     def __init__(self, model):
         self.model = model
-        super().__init__(_NoPieces(), lead=True)
+        super().__init__(_NoPieces(), lead=True, entries=ENTRIES)
         marks = [model.id_to_piece(k) for k in range(model.get_piece_size())]
-        self.whole_texts = any("▁" in p.lstrip("▁") for p in marks)
+        if any("▁" in p.lstrip("▁") for p in marks):
+            raise ValueError("pieces of this model reach over spaces, so words do not merge on their own")
 
     def new_ids(self, keys: list[str]) -> list[list[int]]:
         return self.model.encode([k[2:] if k[:1] == "\t" else k for k in keys], num_threads=1)
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if not self.whole_texts:
-            return super().__call__(texts)
-        got = self.model.encode([t or "" for t in texts.to_pylist()], num_threads=1)
-        return np.array([x for ids in got for x in ids], "<u4"), np.array([len(ids) for ids in got], "i8")
 
 
 class _NoPieces:
@@ -92,7 +90,7 @@ def byte_side(path: str, pattern: str) -> tuple[BatchEncoder, Flat]:
     tokens = [b""] * (max(vocab.values()) + 1)
     for text, k in vocab.items():
         tokens[k] = bytes(back[c] for c in text) if all(c in back for c in text) else text.encode()
-    return BatchEncoder(plain_pieces(path, pattern), lead=True), Flat(tokens)
+    return BatchEncoder(plain_pieces(path, pattern), lead=True, entries=ENTRIES), Flat(tokens)
 
 
 @functools.cache
@@ -111,13 +109,18 @@ def decimals(n: int) -> Flat:
     return Flat([b"%d%s" % (k, end) for end in (b",", b"|", b";", b"") for k in range(n)])
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[_lasting(x)]
+
+
 def overlaps(doc_a: np.ndarray, start_a: np.ndarray, doc_b: np.ndarray, start_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of all overlapping tokens. Starts ascend over the batch and every document's first tokens start together."""
     a = pd.DataFrame({"at": start_a, "doc": doc_a, "a": np.arange(len(start_a))})
     b = pd.DataFrame({"at": start_b, "doc": doc_b, "b": np.arange(len(start_b))})
     covering = [pd.merge_asof(a, b, on="at", by="doc"), pd.merge_asof(b, a, on="at", by="doc")]
     pairs = np.concatenate([m["a"].to_numpy("i8") * (len(b) + 1) + m["b"].to_numpy("i8") for m in covering])
-    pairs = np.unique(pairs)
+    pairs = distinct(pairs)
     return pairs // (len(b) + 1), pairs % (len(b) + 1)
 
 
@@ -154,8 +157,9 @@ def align_batch(texts: pa.Array, side_a: tuple[BatchEncoder, Flat], side_b: tupl
     size = np.array([len(r) for r in raw], "i8")
     good = size > 0
     ids, counts, lengths = [], [], []
+    cut = units(texts, True)
     for encoder, table in (side_a, side_b):
-        x, n = encoder(texts)
+        x, n = encoder.encode(cut)
         length = table.length[x]
         data, begin = table.take(x).tobytes(), np.concatenate(([0], np.cumsum(length)))
         to = np.cumsum(n)
@@ -171,7 +175,7 @@ def align_batch(texts: pa.Array, side_a: tuple[BatchEncoder, Flat], side_b: tupl
         kept.append((x, doc, end - length, end))
     (a, doc_a, start_a, end_a), (b, doc_b, start_b, end_b) = kept
     over_a, over_b = overlaps(doc_a, start_a, doc_b, start_b)
-    closing = np.unique(end_a[over_a][end_a[over_a] == end_b[over_b]])
+    closing = distinct(end_a[over_a][end_a[over_a] == end_b[over_b]])
     group_a, group_b = np.searchsorted(closing, end_a), np.searchsorted(closing, end_b)
     groups = len(closing)
     last_a = _lasting(group_a)

@@ -24,6 +24,7 @@ import itertools
 import re
 import struct
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,52 @@ class PieceEncoder:
             return self.whole(text)
 
 
+class Units(NamedTuple):
+    """Texts cut into units: their distinct keys, the key of every unit, each text's first unit, whether a text is empty."""
+    keys: list[str]
+    which: np.ndarray
+    begin: np.ndarray
+    empty: np.ndarray
+
+
+def units(texts: pa.Array, lead: bool) -> Units:
+    """Cut at single spaces between characters that are no white space. A key is the word after its space, or behind a tab the unit as it is."""
+    texts = pc.fill_null(texts, "")
+    if not len(texts):
+        return Units([], np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, bool))
+    split = pc.split_pattern(texts, " ")
+    words = split.flatten().dictionary_encode()
+    word = words.indices.to_numpy(zero_copy_only=False)
+    names = words.dictionary
+    begin = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)))).astype("i8")
+    some = pc.not_equal(names, "")
+    opens = pc.and_(some, pc.equal(pc.utf8_ltrim_whitespace(names), names)).to_numpy(zero_copy_only=False)
+    closes = pc.and_(some, pc.equal(pc.utf8_rtrim_whitespace(names), names)).to_numpy(zero_copy_only=False)
+    starts = np.empty(len(word), bool)                # parts that begin a unit
+    starts[1:] = closes[word[:-1]] & opens[word[1:]]
+    starts[begin[:-1]] = True
+    at = np.flatnonzero(starts)
+    size = np.diff(np.append(at, len(word)))
+    own = size > 1                                    # units that are not one word after a space
+    text_at = np.searchsorted(at, begin[:-1])
+    own[text_at] |= ~opens[word[begin[:-1]]] if lead else True
+    names = names.to_pylist()
+    which = np.empty(len(at), "i8")
+    plain = word[at[~own]]
+    count = np.bincount(plain, minlength=len(names))
+    used = np.flatnonzero(count)
+    which[~own] = (np.cumsum(count > 0) - 1)[plain]
+    keys = [names[k] for k in used.tolist()]
+    more: dict[str, int] = {}
+    first = np.zeros(len(at), bool)
+    first[text_at] = not lead
+    for k in np.flatnonzero(own).tolist():
+        a = at[k]
+        key = ("\t" if first[k] else "\t ") + " ".join([names[w] for w in word[a:a + size[k]].tolist()])
+        which[k] = more.setdefault(key, len(keys) + len(more))
+    return Units(keys + list(more), which, text_at, pc.equal(texts, "").to_numpy(zero_copy_only=False))
+
+
 class BatchEncoder:
     """The ids of many texts at once, through one flat table of the ids of known words.
 
@@ -183,45 +230,17 @@ class BatchEncoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many each text has. A null or empty text has none."""
-        texts = pc.fill_null(texts, "")
-        if not len(texts):
+        return self.encode(units(texts, self.lead))
+
+    def encode(self, cut: Units) -> tuple[np.ndarray, np.ndarray]:
+        if not len(cut.begin):
             return np.zeros(0, "<u4"), np.zeros(0, "i8")
-        split = pc.split_pattern(texts, " ")
-        words = split.flatten().dictionary_encode()
-        word = words.indices.to_numpy(zero_copy_only=False).astype("i8")
-        names = words.dictionary
-        begin = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)))).astype("i8")
-        some = pc.not_equal(names, "")
-        opens = pc.and_(some, pc.equal(pc.utf8_ltrim_whitespace(names), names)).to_numpy(zero_copy_only=False)
-        closes = pc.and_(some, pc.equal(pc.utf8_rtrim_whitespace(names), names)).to_numpy(zero_copy_only=False)
-        starts = np.empty(len(word), bool)            # parts that begin a unit
-        starts[1:] = closes[word[:-1]] & opens[word[1:]]
-        starts[begin[:-1]] = True
-        at = np.flatnonzero(starts)
-        size = np.diff(np.append(at, len(word)))
-        own = size > 1                                # units that are not one word after a space
-        text_at = np.searchsorted(at, begin[:-1])
-        own[text_at] |= ~opens[word[begin[:-1]]] if self.lead else True
-        names = names.to_pylist()
-        which = np.empty(len(at), "i8")
-        count = np.bincount(word[at[~own]], minlength=len(names))
-        used = np.flatnonzero(count)
-        number = np.cumsum(count > 0) - 1
-        which[~own] = number[word[at[~own]]]
-        keys = [names[k] for k in used.tolist()]
-        more: dict[str, int] = {}
-        first = np.zeros(len(at), bool)
-        first[text_at] = not self.lead
-        for k in np.flatnonzero(own).tolist():
-            a = at[k]
-            key = ("\t" if first[k] else "\t ") + " ".join([names[w] for w in word[a:a + size[k]].tolist()])
-            which[k] = more.setdefault(key, len(keys) + len(more))
-        row = self.rows(keys + list(more))[which]
+        row = self.rows(cut.keys)[cut.which]
         n = self.length[row]
-        n[text_at[pc.equal(texts, "").to_numpy(zero_copy_only=False)]] = 0
+        n[cut.begin[cut.empty]] = 0
         shift = self.first[row] - (np.cumsum(n) - n)
         ids = self.flat[np.arange(int(n.sum())) + np.repeat(shift, n)]
-        return ids, np.add.reduceat(n, text_at)
+        return ids, np.add.reduceat(n, cut.begin)
 
 
 def rank_merges(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
