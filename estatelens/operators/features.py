@@ -135,7 +135,7 @@ def option_usage_summary(feature_usage: DataFrame, instance: DataFrame, database
             .agg(F.max(feature_in_use(as_of, zero_len_is_null=zero_len_is_null).cast("int")).alias("num")))
     universe = databases.select("db_name", F.explode(F.array(*[F.lit(o) for o in option_names()])).alias("option_name"))
     return (universe.join(used, ["db_name", "option_name"], "left")
-            .join(per_database(_db_info(databases, instance)), "db_name", "left")
+            .join(per_database(_db_info(databases, instance), several="smallest"), "db_name", "left")
             .select("db_name", "option_name",
                     F.when(F.coalesce("num", F.lit(0)) > 0, "YES").otherwise("NO").alias("used"),
                     "dbid", "database_name", "db_version", "host_name")
@@ -151,7 +151,7 @@ def option_usage_detail(feature_usage: DataFrame, instance: DataFrame, databases
              .when(n == NETWORK_COMPRESSION_FEATURE, NETWORK_COMPRESSION_LABEL).otherwise(n))
     f = (feature_usage.filter(feature_in_use(as_of, zero_len_is_null=zero_len_is_null))
          .join(F.broadcast(option_feature_map(spark)), "name", "inner"))
-    out = (f.join(per_database(_db_info(databases, instance)), "db_name", "inner")
+    out = (f.join(per_database(_db_info(databases, instance), several="smallest"), "db_name", "inner")
             .select("db_name", "option_name", F.lit("YES").alias("used"), label.alias("feature"), "version",
                     "currently_used", "detected_usages", "last_usage_date", "total_samples", "last_sample_date",
                     "dbid", "database_name", "db_version", "host_name",

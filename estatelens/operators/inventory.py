@@ -68,7 +68,7 @@ def inv_profiles_directories(sql_profiles: DataFrame, directories: DataFrame) ->
 
 
 def inv_containers(containers: DataFrame, instance: DataFrame) -> DataFrame:
-    c = containers.join(per_database(instance.select("db_name", "host_name")), "db_name", "left")
+    c = containers.join(per_database(instance.select("db_name", "host_name"), several="smallest"), "db_name", "left")
     a = _lines(c, _line("name", "con_id", "host_name", "db_name", "open_mode", sep=" "))
     b = _lines(containers.filter(~F.col("name").isin(list(ROOT_CONTAINERS))), nz_concat("PDB: ", F.col("name")))
     return _union(a, b).distinct()

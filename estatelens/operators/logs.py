@@ -84,14 +84,15 @@ class RetentionRule:
     min_age_minutes: int | None = None
     min_age_days: int | None = None
     pattern: str | None = None
+    contains: str = ""                   # plain text that every match of ``pattern`` holds
 
 
 def default_retention_rules(keep_days: int = 30) -> list[RetentionRule]:
     # The source's cleanup rules, first match wins.
     return [
-        RetentionRule("", "delete", min_age_days=1, pattern=r"/listener/.*/log[^/]*\.xml[^/]*$"),
-        RetentionRule(".xml", "truncate", pattern=r"/listener/.*/log[^/]*\.xml$"),
-        RetentionRule("", "delete", min_age_days=keep_days, pattern=r"/listener[^/]*$"),
+        RetentionRule("", "delete", min_age_days=1, pattern=r"/listener/.*/log[^/]*\.xml[^/]*$", contains="/listener/"),
+        RetentionRule(".xml", "truncate", pattern=r"/listener/.*/log[^/]*\.xml$", contains="/listener/"),
+        RetentionRule("", "delete", min_age_days=keep_days, pattern=r"/listener[^/]*$", contains="/listener"),
         RetentionRule(".aud", "delete"),
         RetentionRule(".trc", "delete", empty=True, min_age_minutes=360),
         RetentionRule(".trm", "delete", empty=True, min_age_minutes=360),
@@ -112,9 +113,10 @@ def file_retention_plan(files: DataFrame, as_of: str, rules=None) -> DataFrame:
     age_days = F.floor(age_min / 1440)
     action = rule_no = None
     for i, r in enumerate(rules, 1):
-        c = F.col("path").endswith(r.suffix) & ~F.col("is_dir")
-        if r.pattern is not None:
-            c = c & F.col("path").rlike(r.pattern)
+        # cheap tests first; Spark keeps the order of AND, so a pattern is tried only where they hold
+        c = ~F.col("is_dir")
+        if r.suffix:
+            c = c & F.col("path").endswith(r.suffix)
         if r.empty is True:
             c = c & (F.col("size_bytes") == 0)
         elif r.empty is False:
@@ -123,6 +125,10 @@ def file_retention_plan(files: DataFrame, as_of: str, rules=None) -> DataFrame:
             c = c & (age_min > r.min_age_minutes)
         if r.min_age_days is not None:
             c = c & (age_days > r.min_age_days)
+        if r.pattern is not None:
+            if r.contains:
+                c = c & F.col("path").contains(r.contains)
+            c = c & F.col("path").rlike(r.pattern)
         action = F.when(c, r.action) if action is None else action.when(c, r.action)
         rule_no = F.when(c, i) if rule_no is None else rule_no.when(c, i)
     return (files.withColumn("action", action).withColumn("rule", rule_no)

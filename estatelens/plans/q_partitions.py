@@ -147,8 +147,8 @@ _POLICY = "(VALUES " + ", ".join(f"('{o}', '{t}', '{p}', {d}, '{'%Y_%m%d' if f =
 
 
 @register("expired_partitions", f"""
-WITH plan AS ({_PLAN}),
-renamed AS (
+WITH plan AS MATERIALIZED ({_PLAN}),
+renamed AS MATERIALIZED (
   SELECT tp.db_name, tp.table_owner, tp.table_name, coalesce(pl.new_name, tp.partition_name) AS partition_name
   FROM cat_tab_partitions tp LEFT JOIN plan pl ON pl.db_name = tp.db_name AND pl.table_owner = tp.table_owner
     AND pl.table_name = tp.table_name AND pl.partition_name = tp.partition_name),

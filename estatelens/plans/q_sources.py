@@ -26,10 +26,10 @@ def q_scan_catalog(R):
 
 @register("fleet_union", "SELECT * FROM cat_data_files")
 def q_fleet_union(R):
-    df = R.data_files
-    fleet = [r.db_name for r in df.select("db_name").distinct().orderBy("db_name").collect()]       # a row per database
-    frames = {db: df.filter(F.col("db_name") == db).drop("db_name") for db in fleet}
-    return cat.fleet_union(frames).select(*df.columns)
+    """One folder per database, as collectors leave them, read as one table."""
+    path = cat.scratch_path(R.spark, "fleet")
+    cat.write_catalog(R.data_files, path)
+    return cat.fleet_read(R.spark, path, R.data_files.drop("db_name").schema).select(*R.data_files.columns)
 
 
 @register("fleet_select", """

@@ -70,4 +70,5 @@ def load_all() -> None:
         q_editions,
         q_temporal,
         q_deltas,
+        q_rollups,
     )

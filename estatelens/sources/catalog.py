@@ -84,12 +84,26 @@ def read_catalog_jdbc(spark: SparkSession, url: str, table: str, db_name: str, *
 
 
 def fleet_union(frames: dict) -> DataFrame:
-    """Union per-database frames (e.g. one JDBC read per database) into
-    one fleet frame keyed by ``db_name``; columns are matched by name."""
+    """Union a few per-database frames (e.g. one JDBC read per database) into
+    one fleet frame keyed by ``db_name``; columns are matched by name. The plan
+    has a branch per frame; many databases are written to folders and come back
+    by ``fleet_read``."""
     parts = [df.withColumn("db_name", F.lit(db)) for db, df in frames.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def fleet_read(spark: SparkSession, path: str, schema: T.StructType, databases=None) -> DataFrame:
+    """The same query's rows of all databases, from one folder ``db_name=<name>`` each.
+
+    One scan whatever the width of the fleet: the database is a partition
+    column, so the plan does not grow and no list of databases is collected;
+    ``databases`` prunes folders. A column that some database lacks reads NULL.
+    """
+    whole = T.StructType([*schema.fields, T.StructField("db_name", T.StringType())])
+    df = spark.read.schema(whole).parquet(path)
+    return df if databases is None else df.filter(F.col("db_name").isin(list(databases)))
+
+
 def clone_flags(parameters: DataFrame) -> DataFrame:
     return (parameters.filter(F.col("name") == "clonedb")
             .select("db_name", (F.upper("value") == "TRUE").alias("is_clone")))

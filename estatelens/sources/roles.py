@@ -196,15 +196,15 @@ _role("registry_history", """
 SELECT concat('DB', o_orderkey % 4) AS db_name, o_orderdate AS action_time, 'APPLY' AS action, 'SERVER' AS namespace,
   concat('19.', o_orderkey % 20) AS version, o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'PSU' ELSE NULL END AS bundle_series,
   concat('RU 19.', o_orderkey % 20) AS comments
-FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'""")
+FROM orders""")
 
 _role("network_acls", """
 SELECT concat('DB', o_orderkey % 4) AS db_name, concat('/sys/acls/', o_orderkey, '.xml') AS acl,
-  CASE WHEN o_orderkey % 4 = 2 OR o_orderkey = 1 THEN '*' ELSE concat('host', o_custkey) END AS host
-FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P'
+  CASE WHEN o_orderkey % 4 = 2 THEN '*' ELSE concat('host', o_custkey) END AS host
+FROM orders
 UNION ALL
-SELECT concat('DB', c_custkey % 4), concat('/sys/acls/default_', c_custkey % 4, '.xml'), '*'
-FROM customer WHERE c_custkey % 4 = 1 GROUP BY c_custkey % 4""")
+SELECT concat('DB', c_custkey % 4), concat('/sys/acls/default_', c_custkey % 4, '.xml'), CASE c_custkey % 4 WHEN 1 THEN '*' ELSE 'localhost' END
+FROM customer GROUP BY c_custkey % 4""")
 
 _role("pgastat", """
 SELECT concat('DB', user_id % 4) AS db_name, concat('pga ', event_type) AS name,
@@ -358,8 +358,8 @@ FROM orders""")
 
 _role("errors", """
 SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, concat('U', o_orderkey % 50) AS owner, concat('OBJ_', o_orderkey) AS name,
-  'PACKAGE BODY' AS type, CAST(o_orderkey % 7 + 1 AS BIGINT) AS line, concat('PLS-00', 201 + o_orderkey % 3) AS text
-FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'""")
+  CASE o_orderpriority WHEN '2-HIGH' THEN 'VIEW' WHEN '5-LOW' THEN 'TRIGGER' ELSE 'PACKAGE BODY' END AS type, CAST(o_orderkey % 7 + 1 AS BIGINT) AS line, concat('PLS-00', 201 + o_orderkey % 3) AS text
+FROM orders""")
 
 _role("triggers", """
 SELECT concat('DB', o_orderkey % 50 % 4) AS db_name, CASE WHEN o_orderkey % 41 = 0 THEN 'PUBLIC' WHEN o_orderkey % 43 = 0 THEN 'APEX_040200' WHEN o_orderkey % 47 = 0 THEN 'MDSYS' ELSE concat('U', o_orderkey % 50) END AS owner,
@@ -632,6 +632,12 @@ SELECT concat('DB', user_id % 4) AS db_name, event_id AS outage_id, ts AS starte
   ts + INTERVAL 1 SECOND * (CASE WHEN event_id % 500 = 0 THEN 172800 ELSE CAST(round(value) AS BIGINT) END) AS ended
 FROM events""")
 
+# JSON, name: value pairs, cut JSON, plain text and nothing.
+_role("event_details", """
+SELECT concat('DB', user_id % 4) AS db_name, event_id,
+  CASE event_id % 11 WHEN 0 THEN substr(props, 1, 4) WHEN 1 THEN concat('Compression used: TRUE, samples: ', event_id) WHEN 2 THEN NULL WHEN 3 THEN 'no details' ELSE props END AS info
+FROM events""")
+
 _role("log_windows", """
 SELECT concat('DB', user_id % 4) AS db_name, event_id AS recid, ts - INTERVAL 1 SECOND * CAST(round(value * 2) AS BIGINT) AS first_time, ts AS next_time
 FROM events""")
