@@ -58,7 +58,8 @@ SALTS = 16
 LINK_SHARE = 0.6
 
 TAG = re.compile(r"<!--(?:.*?-->|.*+\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-hidden|hidden|style)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?", re.I)
+#: One attribute: a name bounded by white space, = or /, and its whole value, so nothing inside a value is taken for a name.
+ATTRIBUTE = re.compile(r"([^\s=>/\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?|[\"'/=]", re.S)
 #: Elements whose content is never text.
 SILENT = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "title", "select", "audio", "video"}
 #: Of these the content is raw: only their own end tag ends them.
@@ -79,6 +80,11 @@ MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spon
          "disqus", "replies", "respond", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal",
          "overlay", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "widget", "pagination",
          "pager", "toolbar", "skip", "copyright", "disclaimer", "form", "search"}
+#: Words of a class or id that say where or what a part is, not what it is about.
+PLAIN = {"area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "card", "cell", "col", "column", "container", "content", "count", "div",
+         "fixed", "grid", "group", "icon", "icons", "inner", "item", "items", "js", "label", "large", "left", "link", "links", "list", "main", "meta", "mid",
+         "module", "outer", "page", "pane", "panel", "posts", "primary", "region", "right", "row", "section", "secondary", "site", "slot", "small", "sticky",
+         "text", "title", "top", "unit", "wrap", "wrapper", "zone"}
 COMMENTS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
 #: Words beside "header" that make it the head of a text.
 HEADED = {"article", "entry", "post", "story"}
@@ -155,13 +161,18 @@ class Page:
 
     def mark(self, name: str, attributes: str) -> tuple[str, State]:
         """Name with its class and id, and the state inside the element."""
-        found = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in ATTRIBUTE.finditer(attributes)}
+        found: dict[str, str] = {}
+        for m in ATTRIBUTE.finditer(attributes):
+            if m[1]:                                                  # of attributes of one name the first counts
+                found.setdefault(m[1].lower(), next((html.unescape(x) for x in m.groups()[1:] if x is not None), ""))
         label = name + "".join(f".{x}" for x in found.get("class", "").lower().split()) + (f"#{found['id'].lower()}" if found.get("id") else "")
-        words = {w for x in f"{found.get('class', '')} {found.get('id', '')}".lower().split() if not LAYOUT.match(x) for w in WORD.findall(x)}
+        names = [WORD.findall(x) for x in f"{found.get('class', '')} {found.get('id', '')}".lower().split() if not LAYOUT.match(x)]
+        # a name marks only if it says nothing else: social-links does, social-policy does not
+        words = {w for x in names if all(w in MARKS or w in COMMENTS or w in HEADED or w in PLAIN for w in x) for w in x}
         above = self.open[-1][2] if self.open else State()
         if above.out:
             return label, above
-        hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I)
+        hidden = found.get("hidden", "until-found").lower() != "until-found" or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I)
         role = found.get("role", "").lower()
         if hidden or name in BOILERPLATE or role in ROLES:
             return label, above._replace(out=True)
