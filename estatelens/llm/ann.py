@@ -17,6 +17,7 @@ up to ``2 * MIN_PART`` rows make one part, which is then an exact search.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelens.llm.common import scratch
-from estatelens.llm.vectors import matrix, valid_vectors
+from estatelens.llm.vectors import by_length, matrix, valid_vectors
 
 K = 10
 #: Rows of the sample that graph, network and mass are fitted on; one in five is held out.
@@ -191,6 +192,13 @@ def nearest(q: np.ndarray, q_id: np.ndarray, r: np.ndarray, r_id: np.ndarray, k:
 def search(vectors: DataFrame, every: int = 100, k: int = K, parts: int = PARTS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for every row whose vec_id is divisible by ``every``."""
     rows = scratch(valid_vectors(vectors).filter("vec_id IS NOT NULL").distinct(), "ann")
+    found = functools.reduce(DataFrame.unionByName, [_found(one, every, k, parts) for one in by_length(rows)])
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(rows: DataFrame, every: int, k: int, parts: int) -> DataFrame:
+    """query_id, vec_id, score: candidates among vectors of one length, the k nearest of every block of rows that a query meets."""
     n = rows.count()
     sample = [bytes(r.vec) for r in rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(SAMPLE).select("vec").collect()]
     router, mass = fit(matrix(sample), max(1, min(parts, n // MIN_PART))) if n else (Router(1, 1), 1.0)
@@ -221,6 +229,4 @@ def search(vectors: DataFrame, every: int = 100, k: int = K, parts: int = PARTS)
             return pa.table({"query_id": np.zeros(0, "i8"), "vec_id": np.zeros(0, "i8"), "score": np.zeros(0)})
         i, j, d = nearest(m[asks], ids[asks], m[~asks], ids[~asks], k)
         return pa.table({"query_id": ids[asks][i], "vec_id": ids[~asks][j], "score": d})
-    found = placed.groupBy("part", "queries", "block").applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return placed.groupBy("part", "queries", "block").applyInArrow(compare, "query_id bigint, vec_id bigint, score double")

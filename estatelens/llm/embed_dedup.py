@@ -21,6 +21,7 @@ other; a null vec_id is never kept.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from estatelens.llm.common import scratch
 from estatelens.llm.components import components
-from estatelens.llm.vectors import matrix, unit, valid_vectors
+from estatelens.llm.vectors import by_length, matrix, unit, valid_vectors
 
 MIN_COSINE = 0.9
 #: Vectors that pivots are chosen from, and the most pivots (512 doubles each at 64 dimensions).
@@ -107,8 +108,19 @@ def block_links(left: np.ndarray, right: np.ndarray | None, copies: np.ndarray,
 
 def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, block: int = BLOCK, cell_rows: int = CELL_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding)."""
-    eps = math.sqrt(2 - 2 * min_cosine)
     valid = scratch(valid_vectors(vectors), "vectors")
+    out = functools.reduce(DataFrame.unionByName, [_linked(one, min_cosine, block, cell_rows) for one in by_length(valid)])
+    rest = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).groupBy("vec_id").count()
+    used = valid.groupBy("vec_id").agg(F.count("*").alias("used"))
+    rest = rest.join(used, rest.vec_id.eqNullSafe(used.vec_id), "left").select(rest.vec_id, (F.col("count") - F.coalesce("used", F.lit(0))).alias("left_out"))
+    rest = rest.filter("left_out > 0").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                                              F.explode(F.expr("array_repeat(0, CAST(left_out AS INT))"))).drop("col")
+    return out.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def _linked(valid: DataFrame, min_cosine: float, block: int, cell_rows: int) -> DataFrame:
+    """vec_id, n_links, component_id of valid vectors of one length."""
+    eps = math.sqrt(2 - 2 * min_cosine)
     points = scratch(valid.groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
                      .withColumn("node", F.monotonically_increasing_id()), "points")
     n = points.count()
@@ -155,10 +167,4 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, block: i
                                    (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "grouped")
     least = points.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     points = scratch(points.join(least, "component").select("vec", "n_links", "component_id"), "labelled")
-    out = valid.join(points, "vec").select("vec_id", "n_links", "component_id")
-    rest = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).groupBy("vec_id").count()
-    used = valid.groupBy("vec_id").agg(F.count("*").alias("used"))
-    rest = rest.join(used, rest.vec_id.eqNullSafe(used.vec_id), "left").select(rest.vec_id, (F.col("count") - F.coalesce("used", F.lit(0))).alias("left_out"))
-    rest = rest.filter("left_out > 0").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                                              F.explode(F.expr("array_repeat(0, CAST(left_out AS INT))"))).drop("col")
-    return out.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return valid.join(points, "vec").select("vec_id", "n_links", "component_id")

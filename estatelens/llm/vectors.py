@@ -16,8 +16,8 @@ def valid_vectors(frame: DataFrame, vector: str = "embedding") -> DataFrame:
     """vec_id and vec (little-endian doubles) of the rows that can be compared.
 
     Null and empty vectors, zero vectors and those with null or non-finite
-    components are left out, as are vectors of another length than the most
-    frequent one (ties: the smaller).
+    components are left out. Vectors of several lengths stay; ``by_length``
+    gives each length on its own, as no measure compares two of them.
     """
     prepare(frame.sparkSession)
     v = F.col(vector)
@@ -25,17 +25,21 @@ def valid_vectors(frame: DataFrame, vector: str = "embedding") -> DataFrame:
     rows = frame.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
     v = F.col("v")
     rows = rows.filter(v.isNotNull() & F.forall(v, number) & F.exists(v, lambda x: x != 0))
-    usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = rows.filter(F.size("v") == (usual.n if usual else 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            flat = b.column(1).flatten().to_numpy(zero_copy_only=False).astype("<f8")
-            m = flat.reshape(b.num_rows, -1) if b.num_rows else flat.reshape(0, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in m], pa.binary())], ["vec_id", "vec"])
+            flat = b.column(1).flatten().to_numpy(zero_copy_only=False).astype("<f8").tobytes()
+            end = (8 * np.cumsum(b.column(1).value_lengths().to_numpy(zero_copy_only=False))).tolist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([flat[s:e] for s, e in zip([0, *end], end)], pa.binary())], ["vec_id", "vec"])
     return rows.mapInArrow(run, "vec_id bigint, vec binary")
 
 
+def by_length(valid: DataFrame) -> list[DataFrame]:
+    """The rows of ``valid_vectors`` of each length; the lengths of a table are few."""
+    lengths = sorted(r[0] for r in valid.select(F.octet_length("vec")).distinct().collect())
+    return [valid.filter(F.octet_length("vec") == n) for n in lengths] if len(lengths) > 1 else [valid]
+
+
 def matrix(column: pa.Array | pa.ChunkedArray | list) -> np.ndarray:
     """Binary vectors -> rows of doubles."""
     values = column if isinstance(column, list) else column.to_pylist()

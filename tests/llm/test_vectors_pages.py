@@ -196,3 +196,28 @@ def test_texts_without_a_fixed_place_or_enough_words_are_no_template(spark):
     got = extract(spark, pages)
     for k, (text, m) in enumerate(zip(got, moving)):
         assert text.split("\n") == [*(m if k % 2 else [m[0], m[2], m[1]]), *["Yes."] * (k % 2), f"End {k}."]
+
+
+def test_vectors_of_every_length_are_compared_with_their_own(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [1.0, 0.0]), (4, [3.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.1]), (100, [1.0, 0.0, 0.1]), (200, [1.0, 0.05]), (7, [1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 100: (2, 1), 3: (3, 3), 4: (3, 3), 6: (3, 3), 200: (3, 3), 5: (0, 5), 7: (0, 7)}
+    found = {}
+    for r in ann.search(frame(spark, rows)).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert {q: [v for _, v in sorted(x)] for q, x in found.items()} == {100: [1, 2], 200: [3, 6, 5, 4]}
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<article data-title="The hidden valley"><p>Kept.</p></article>', "Kept."),
+    ('<article alt=\'class="nav" hidden\'><p>Kept.</p></article>', "Kept."),
+    ('<main data-role="navigation"><p>Kept.</p></main>', "Kept."),
+    ('<article><section data-id="comments"><p>Kept.</p></section></article>', "Kept."),
+    ('<article><div data-hidden="false"><p>Kept.</p></div></article>', "Kept."),
+    ('<article><div hidden="until-found"><p>Kept.</p></div><div hidden>gone</div><div HIDDEN="">gone</div></article>', "Kept."),
+    ('<article><div class="social-policy"><p>A</p></div><div class="foot-anatomy"><p>B</p></div><div class="notice-of-motion"><p>C</p></div><p class="search-theory">D</p></article>', "A\nB\nC\nD"),
+    ('<article><p>Kept.</p><div class="social-links">gone</div><div class="cookie-notice">gone</div><p class="ad-slot">gone</p></article>', "Kept."),
+    ('<article class="a" class="nav"><p>Kept.</p></article>', "Kept."),
+])
+def test_attributes_and_class_names_are_read_whole(page, text):
+    assert "\n".join(t for _, t, _, v in html_extract.Page(page).blocks if v == 1) == text
