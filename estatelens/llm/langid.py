@@ -35,8 +35,9 @@ EPOCHS = 12
 #: Windows in one step of a prediction.
 BATCH = 512
 UNKNOWN = "und"
-#: Below this mean probability no language is accepted by ``accepted``.
+#: A window is explained by a language that has this probability; ``accepted`` asks for this share of explained windows.
 MIN_SCORE = 0.5
+MIN_KNOWN = 0.5
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -134,11 +135,12 @@ class Predictor:
             best.append(z.max(axis=1))
         return np.concatenate(best, axis=1).astype("f4") / self.unit
 
-    def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and score of each text: probabilities of its windows, weighted by their bytes."""
+    def texts(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language and score of each text (probabilities of its windows, weighted by their bytes), and the share of windows that some language explains."""
         langs = self.net.langs
         raw = [t.encode() if t and langs and LETTER.search(t) else b"" for t in texts]
         total = np.zeros((len(texts), max(1, len(langs))))
+        known = np.zeros(len(texts))
         held: list[np.ndarray] = []
         owner: list[tuple[int, int]] = []
 
@@ -148,6 +150,7 @@ class Predictor:
                 at = 0
                 for i, n in owner:
                     total[i] += p[at:at + n].sum(axis=0)
+                    known[i] += (p[at:at + n].max(axis=1) >= MIN_SCORE).sum()
                     at += n
                 held.clear(), owner.clear()
 
@@ -165,15 +168,16 @@ class Predictor:
                         flush()
                         waiting = 0
         flush()
-        out, score = [], []
+        out, score, share = [], [], []
         for i, b in enumerate(raw):
+            share.append(float(known[i] / max(1, -(-len(b) // WINDOW))))
             if not b:
                 out.append(UNKNOWN), score.append(0.0)
             else:
                 p = total[i] / total[i].sum()
                 k = int(p.argmax())
                 out.append(langs[k]), score.append(float(min(1.0, p[k])))
-        return out, score
+        return out, score, share
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Network:
@@ -204,21 +208,22 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Network:
 
 
 def predict(docs: DataFrame, net: Network) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; only the text is looked at."""
+    """``docs`` with ``lang_pred``, ``score`` and ``known``; only the text is looked at."""
     prepare(docs.sparkSession)
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
+    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "known")]
     docs = docs.select(*[docs[f.name] for f in kept])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double, known double"
     at = [f.name for f in kept].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Predictor(net)
         for b in batches:
-            lang, score = p.texts(b.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, "lang_pred", "score"])
+            lang, score, known = p.texts(b.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(known, pa.float64())],
+                                             [*b.schema.names, "lang_pred", "score", "known"])
     return docs.mapInArrow(run, schema)
 
 
 def accepted() -> Column:
-    """Documents in a language that the network knows."""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    """Documents most of whose windows are in some language that the network knows, be it one or several."""
+    return (F.col("lang_pred") != UNKNOWN) & (F.col("known") >= MIN_KNOWN)
