@@ -261,8 +261,6 @@ LONG_PIECE = 48
 
 def _mapped(piece: str) -> str:
     """The bytes of the piece as characters of the byte table."""
-    if piece[1:].isalpha() and piece[0] == " " and piece.isascii():
-        return "\u0120" + piece[1:]
     return piece.encode().decode("latin-1").translate(byte_table())
 
 
@@ -298,9 +296,11 @@ def plain_pieces(path: str, pattern: str) -> PieceEncoder:
 
     model = Tokenizer.from_file(path).model
     model._resize_cache(0)
+    space = byte_table()[0x20]
 
     def encode_piece(piece: str) -> list[int]:
-        return [x.id for x in model.tokenize(_mapped(piece))]
+        word = piece[1:]
+        return [x.id for x in model.tokenize(space + word if piece[0] == " " and word.isalpha() and word.isascii() else _mapped(piece))]
     return PieceEncoder(pattern, encode_piece)
 
 

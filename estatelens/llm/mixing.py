@@ -14,7 +14,9 @@ shuffled once, with the columns that are kept; the words taken
 follow in closed form from a document's first and last word.
 
 Defined results: null text has no words; null source is a source of its own and
-comes last; a source without words has target 0; the order follows doc_id and
+comes last; a source without words has target 0; blocks have ``block_words``
+words, or fewer where a source is small, so that each target is worth
+``SMALLEST_SEATS`` seats or its seats are single words; the order follows doc_id and
 text together, ties go by doc_id, then size, and rows equal in both are interchangeable.
 """
 
@@ -31,6 +33,8 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 32
 SHARD_BLOCKS = 131_072
+#: Seats that the smallest target, or source, is worth at least; blocks shrink to that end.
+SMALLEST_SEATS = 32
 SEED = 42
 #: Hex digits of the order that make a bucket: 4096 buckets a source.
 BUCKET_DIGITS = 3
@@ -110,6 +114,10 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[int
     earlier = Window.partitionBy("none", "src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select(*place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     goal = scratch(targets(sources, weights, max_repeats), "mix-goal")
+    # a small source is as many seats as a large one has at least, down to seats of one word
+    least = goal.filter("target > 0").agg(F.min(F.least("target", F.col("source_size").cast("double")))).first()[0]
+    widest, block_words = block_words, max(1, min(block_words, int((least or 0) // SMALLEST_SEATS)))
+    shard_blocks = shard_blocks * widest // block_words        # shards of as many words as before
     total = quotas(goal, block_words, shard_blocks).groupBy("rank").agg(F.sum("quota").alias("seats"))
     shift = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")))), 1, 12), 16, 10).cast("long")
     goal = (goal.join(total, "rank", "left").withColumn("block", F.lit(block_words).cast("long"))

@@ -301,3 +301,30 @@ def test_iban_before_words_and_numbers(make_docs):
         got = [x.split(":") for x in r.spans.split(",") if x.startswith("iban")]
         assert [text[int(a):int(b)] for _, a, b in got] == want, text
     assert [r.text for r in pii.redact(make_docs([(1, f"IBAN {groups} BIC COBADEFF")])).collect()] == ["IBAN <IBAN> BIC COBADEFF"]
+
+
+@pytest.mark.parametrize("sizes", [[40], [10, 10], [3] * 30, [1], [5, 40_000], [64, 7, 0, 2000]])
+def test_small_sources_meet_their_targets(make_docs, sizes):
+    rows = [(k * 1000 + j, " ".join(["w"] * min(50, n - 50 * j)), "en", f"s{k:03d}") for k, n in enumerate(sizes) for j in range(max(1, -(-n // 50)))]
+    taken, target = {}, {}
+    for r in mixing.mix(make_docs(rows), keep=("doc_id", "source")).collect():
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 3 * r["size"]
+    assert abs(sum(taken.values()) - sum(target.values())) <= max(1, 0.01 * sum(sizes))
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= max(1.0, 0.04 * t)
+
+
+def test_a_text_in_several_known_languages_is_accepted(spark, make_docs):
+    alphabet = {"aa": "abcdefg", "bb": "hijklmn", "cc": "opqrstu"}
+    import random
+    r = random.Random(3)
+    prose = lambda lang, n: " ".join("".join(r.choice(alphabet[lang]) for _ in range(r.randint(2, 8))) for _ in range(n))
+    train = [(k, prose(lang, 120), lang, "s") for k, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    net = langid.fit(make_docs(train))
+    mixed = " ".join(prose(lang, 200) for lang in alphabet)
+    rows = [(1000, mixed, "aa", "s"), (1001, None, "aa", "s"), (1002, "", None, "s"), (1003, "12 !?", None, "s"), (1004, prose("bb", 300), None, "s")]
+    got = {x.doc_id: x for x in langid.predict(make_docs(rows), net).withColumn("ok", langid.accepted()).collect()}
+    assert got[1000].score < 0.5 and got[1000].known > 0.9 and got[1000].ok and got[1004].ok
+    assert not any(got[k].ok for k in (1001, 1002, 1003))
