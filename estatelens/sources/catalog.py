@@ -15,24 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estatelens.session import checkpoint_dir
+from estatelens.sources.schemas import role_schema
 from estatelens.functions.fleet import per_database
 
-# Columns an operator may rely on, per role (FIXTURES.md §1); a snapshot
-# missing any of them is rejected on read.
-REQUIRED_COLUMNS = {
-    "data_files": ["db_name", "file_id", "file_name", "tablespace_name", "bytes", "maxbytes", "blocks",
-                   "autoextensible", "increment_by"],
-    "extents": ["db_name", "file_id", "block_id", "blocks", "bytes", "tablespace_name"],
-    "segments": ["db_name", "owner", "segment_name", "segment_type", "tablespace_name", "bytes"],
-    "tab_privs": ["db_name", "owner", "table_name", "grantee", "privilege", "grantable"],
-    "archived_log": ["db_name", "blocks", "block_size", "deleted", "is_recovery_dest_file", "completion_time"],
-    "sysstat": ["db_name", "snap_id", "instance_number", "begin_interval_time", "stat_name", "value"],
-    "objects": ["db_name", "owner", "object_name", "object_id", "object_type", "status"],
-    "parameters": ["db_name", "name", "value"],
-    "internal_owners": ["owner"],          # fleet-wide list, no db_name
-}
-
-
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder below the shared checkpoint dir (never machine-local
     on a cluster: the dir comes from ``spark.checkpoint.dir``)."""
@@ -46,17 +31,24 @@ def write_catalog(df: DataFrame, path: str) -> None:
 
 
 def scan_catalog(spark: SparkSession, path: str, role: str, databases=None) -> DataFrame:
-    """Read one catalog role snapshot; validate its columns; optionally
-    keep only ``databases`` (a partition filter)."""
+    """Read one catalog role snapshot; reject it unless it has every column of
+    the role's declared schema with the declared type; optionally keep only
+    ``databases`` (a partition filter). Columns beyond the declared ones stay,
+    a role that is not declared is read as it is."""
     df = spark.read.parquet(path)
     if "db_name" in df.columns and df.schema["db_name"].dataType != T.StringType():
         # partition values are inferred: "001" would become the number 1
         text = [T.StructField("db_name", T.StringType()) if f.name == "db_name" else f for f in df.schema.fields]
         df = spark.read.schema(T.StructType(text)).parquet(path)
-    need = REQUIRED_COLUMNS.get(role, [])
-    missing = [c for c in need if c not in df.columns]
-    if missing:
-        raise ValueError(f"{role} snapshot at {path} lacks columns {missing}")
+    declared = role_schema(role)
+    if declared is not None:
+        found = {f.name: f.dataType for f in df.schema.fields}
+        missing = [f.name for f in declared.fields if f.name not in found]
+        if missing:
+            raise ValueError(f"{role} snapshot at {path} lacks columns {missing}")
+        wrong = [f"{f.name}: {found[f.name].simpleString()}, declared {f.dataType.simpleString()}" for f in declared.fields if found[f.name] != f.dataType]
+        if wrong:
+            raise ValueError(f"{role} snapshot at {path} has other types: {'; '.join(wrong)}")
     if databases is not None and "db_name" in df.columns:
         df = df.filter(F.col("db_name").isin(list(databases)))
     return df
