@@ -11,13 +11,15 @@ from estatelens.plans.registry import register
 from estatelens.sources import catalog as cat
 from estatelens.sources import versioned
 
-_BUCKET = F.floor(F.col("o_orderkey") / 64)
+
+def _bucket():
+    return F.floor(F.col("o_orderkey") / 64)
 
 
 @register("tree_sync_delta", _DELTA)
 def q_tree_sync_delta(R):
     o = R.driver("orders")
-    return dl.tree_delta(orders_interim(o), orders_source(o), ["o_orderkey"], bucket=_BUCKET)
+    return dl.tree_delta(orders_interim(o), orders_source(o), ["o_orderkey"], bucket=_bucket())
 
 
 @register("tree_reconcile", f"""
@@ -27,7 +29,7 @@ changed AS (SELECT DISTINCT CAST(floor(o_orderkey / 64.0) AS BIGINT) AS node FRO
 SELECT node, coalesce(source_rows, 0) AS source_rows, coalesce(copy_rows, 0) AS copy_rows FROM changed LEFT JOIN s USING (node) LEFT JOIN c USING (node)""")
 def q_tree_reconcile(R):
     o = R.driver("orders")
-    return dl.tree_reconcile(orders_source(o), orders_interim(o), _BUCKET)
+    return dl.tree_reconcile(orders_source(o), orders_interim(o), _bucket())
 
 
 @register("merge_delta", f"SELECT *, strftime(o_orderdate, '%Y-%m') AS part FROM {_SRC} s")
