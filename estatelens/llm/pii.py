@@ -1,7 +1,10 @@
 """Personal data: patterns propose, checksums confirm, context adjusts. DataFrame functions only.
 
 For each kind the matches and the text between them give every position without
-a search: a match starts after all gaps and matches before it. Patterns are
+a search: a match starts after all gaps and matches before it. Their running totals
+are taken in rounds of doubled reach, and context and masked text are cut from blocks
+of the text, so the time of a text grows with its length and n log n of its spans.
+Patterns are
 written so that Java's matcher needs no recursion and no second scan of a run:
 repeated groups are possessive, and a run may only begin at its first character
 or where the last match ended (\\G).
@@ -86,43 +89,69 @@ def confirmed(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
-def score(kind: str, text: Column, start: Column, end: Column) -> Column:
-    around = F.concat_ws(" ", F.substring(text, F.greatest(F.lit(1), start - CONTEXT_CHARS + 1), F.least(start, F.lit(CONTEXT_CHARS))),
-                         F.substring(text, end + 1, F.lit(CONTEXT_CHARS)))
-    near = F.when(F.lower(around).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
-    return F.least(F.lit(1.0), F.lit(PRIOR[kind] + CHECKED.get(kind, 0.0)) + near)
+FOUND = "array<struct<kind:string,start:int,end:int>>"
+SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
+#: Code points of a block; a text is cut into blocks so that a place in it is reached without reading what is before it.
+BLOCK = 512
 
 
-SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, combine) -> Column:
+    """Running total of an array under ``combine(value, earlier or null)``, in rounds of doubled reach: n log n steps for n values."""
+    def rounds(v: Column) -> Column:
+        reach = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(v))) - 1), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+        return F.aggregate(reach, v, lambda got, r: F.transform(got, lambda x, i: combine(x, F.get(got, i - r))))
+    return let(values, rounds)
+
+
+def cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points start to end of a text in blocks; reads the blocks that hold them, not the text from its first character."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+    inside = F.array_join(F.slice(blocks, first + 1, F.greatest(F.lit(0), last - first + 1)), "")
+    return F.substring(inside, (start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))
 
 
 def find(text: Column, kind: str) -> Column:
-    """Confirmed spans of one kind in ``text``, in order (code points, end exclusive)."""
+    """Confirmed spans of one kind in ``text``, in order (code points, end exclusive), without their scores."""
     pattern = PATTERNS[kind]
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    state = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("got"))
-
-    def step(s: Column, x: Column) -> Column:
-        start = s["at"] + x["gap"]
-        end = start + F.length(x["found"])
-        here = F.array(F.struct(start.alias("start"), end.alias("end")))
-        got = F.when(x["found"].isNotNull() & confirmed(kind, x["found"]), F.concat(F.coalesce(s["got"], F.array().cast("array<struct<start:int,end:int>>")), here)).otherwise(s["got"])
-        return F.struct(F.coalesce(end, start).alias("at"), got.alias("got"))
-    both = F.arrays_zip(gaps.alias("gap"), found.alias("found"))
-    spans = F.aggregate(both, state, step, lambda s: F.coalesce(s["got"], F.array().cast("array<struct<start:int,end:int>>")))
-    spans = F.transform(spans, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-                                                  score(kind, text, x["start"], x["end"]).alias("score")))
-    if kind not in BASE:
-        spans = F.filter(spans, lambda x: x["score"] >= MIN_SCORE)
+    both = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+
+    def placed(m: Column) -> Column:
+        ends = running(F.transform(m, lambda x: x["gap"] + F.coalesce(F.length(x["found"]), F.lit(0))), lambda x, before: x + F.coalesce(before, F.lit(0)))
+        return F.zip_with(m, ends, lambda x, end: F.struct(x["found"].alias("found"), end.alias("end")))
+    real = F.filter(let(both, placed), lambda x: x["found"].isNotNull() & confirmed(kind, x["found"]))
+    spans = F.transform(real, lambda x: F.struct(F.lit(kind).alias("kind"), (x["end"] - F.length(x["found"])).alias("start"), x["end"].alias("end")))
     possible = text.contains(NEEDS[kind]) if kind in NEEDS else text.rlike("[0-9]")
-    return F.when(possible, spans.cast(SPANS)).otherwise(F.array().cast(SPANS))
+    return F.when(possible, spans.cast(FOUND)).otherwise(F.array().cast(FOUND))
+
+
+def scored(spans: Column, blocks: Column) -> Column:
+    """Spans with their scores; those of added kinds below ``MIN_SCORE`` go."""
+    def score(x: Column) -> Column:
+        around = F.lower(F.concat_ws(" ", cut(blocks, F.greatest(F.lit(0), x["start"] - CONTEXT_CHARS), x["start"]), cut(blocks, x["end"], x["end"] + CONTEXT_CHARS)))
+        of_kind = lambda value: F.coalesce(*[F.when(x["kind"] == k, value(k)) for k in PATTERNS])
+        near = F.when(of_kind(lambda k: around.rlike(CONTEXT[k])), CONTEXT_BONUS).otherwise(0.0)
+        return F.least(F.lit(1.0), of_kind(lambda k: F.lit(PRIOR[k] + CHECKED.get(k, 0.0))) + near)
+    all_spans = F.transform(spans, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), score(x).alias("score")))
+    return F.filter(all_spans, lambda x: x["kind"].isin(*BASE) | (x["score"] >= MIN_SCORE)).cast(SPANS)
+
+
+def blocks_of(text: Column) -> Column:
+    """Bind it by ``let``: as a column of its own it may be put, by the optimizer, where it is computed for every span."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}+"), F.lit(0))
 
 
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     """row (a struct of all columns of ``docs``), whole (its text) and pii (its spans by kind, then start). One pass, no shuffle."""
+    whole = F.col("whole")
     found = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("whole"))
-    return found.withColumn("pii", F.concat(*[find(F.col("whole"), k) for k in PATTERNS]))
+    with_scores = lambda f: F.when(F.size(f) > 0, let(blocks_of(whole), lambda b: scored(f, b))).otherwise(F.array().cast(SPANS))
+    return found.withColumn("pii", let(F.concat(*[find(whole, k) for k in PATTERNS]), with_scores))
 
 
 def listed(spans: Column) -> Column:
@@ -140,12 +169,11 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; texts without spans, null ones too, stay as they are."""
     order = F.array_sort(F.transform("pii", lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    whole = F.col("whole")
 
-    def step(s: Column, x: Column) -> Column:
-        new = x["start"] >= s["at"]
-        piece = F.array(F.substring(whole, s["at"] + 1, F.greatest(F.lit(0), x["start"] - s["at"])), F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")))
-        return F.struct(F.greatest(s["at"], -x["back"]).alias("at"), F.when(new, F.concat(s["out"], piece)).otherwise(s["out"]).alias("out"))
-    clean = F.aggregate(order, state, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(whole, s["at"] + 1, F.length(whole))))
-    return detect(docs, text).select(*[F.when(F.size("pii") > 0, clean).otherwise(F.col(f"row.`{c}`")).alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+    def marked(spans: Column, blocks: Column) -> Column:
+        # a span that begins before the end of an earlier one is under that one's mark
+        reached = running(F.transform(spans, lambda x: -x["back"]), lambda x, before: F.greatest(x, before))
+        pieces = let(reached, lambda r: F.transform(spans, lambda x, i: let(F.coalesce(F.get(r, i - 1), F.lit(0)), lambda at: F.when(
+            x["start"] >= at, F.concat(cut(blocks, at, x["start"]), F.lit("<"), F.upper(x["kind"]), F.lit(">"))).otherwise(F.lit("")))))
+        return F.concat(F.array_join(pieces, ""), cut(blocks, F.array_max(F.transform(spans, lambda x: -x["back"])), F.length("whole")))
+    return detect(docs, text).select(*[F.when(F.size("pii") > 0, let(blocks_of(F.col("whole")), lambda b: let(order, lambda o: marked(o, b)))).otherwise(F.col(f"row.`{c}`")).alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

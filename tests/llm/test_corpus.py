@@ -328,3 +328,43 @@ def test_a_text_in_several_known_languages_is_accepted(spark, make_docs):
     got = {x.doc_id: x for x in langid.predict(make_docs(rows), net).withColumn("ok", langid.accepted()).collect()}
     assert got[1000].score < 0.5 and got[1000].known > 0.9 and got[1000].ok and got[1004].ok
     assert not any(got[k].ok for k in (1001, 1002, 1003))
+
+
+def test_pii_of_very_many_spans(make_docs):
+    """Places, context and masks of 50,000 spans in one text; twice the spans cost about twice the time."""
+    import time
+
+    def text(n):
+        return "é \U0001f600 " + " ".join(f"u{k}@h{k}.org" + (" reply" if k % 3 == 0 else " and then some words of no meaning at all, on and on") for k in range(n))
+    small, large = text(25_000), text(50_000)
+    base = plain_base(large)
+    assert pii.report(make_docs([(1, large)])).first().spans == ",".join(f"{k}:{s}:{e}" for k, s, e in base) and len(base) == 50_000
+    scores = pii.detect(make_docs([(1, large)])).select(F.explode("pii").alias("x")).select("x.start", "x.end", "x.score").collect()
+    for r in scores[::101]:
+        around = large[max(0, r.start - 48):r.start] + " " + large[r.end:r.end + 48]
+        assert r.score == (1.0 if re.search(pii.CONTEXT["email"], around.lower()) else pii.PRIOR["email"])
+    masked = re.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "<EMAIL>", large)
+    assert pii.redact(make_docs([(1, large)])).first().text == masked
+
+    def seconds(t):
+        frame, took = pii.redact(make_docs([(1, t)])), []
+        for _ in range(3):
+            at = time.time()
+            frame.write.format("noop").mode("overwrite").save()
+            took.append(time.time() - at)
+        return min(took)
+    assert seconds(large) < 3 * seconds(small) + 1
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="a@. +12é\U0001f600", max_size=1500), min_size=3, max_size=5))
+def test_redact_random(make_docs, texts):
+    """Spans that overlap are under the first one's mark; the rest of the text stays."""
+    docs = make_docs(list(enumerate(texts)), clash=False)
+    spans = {r.doc_id: r.pii for r in pii.detect(docs).select("row.doc_id", "pii").collect()}
+    for r in pii.redact(docs).collect():
+        at, want = 0, []
+        for x in sorted(spans[r.doc_id], key=lambda x: (x.start, -x.end, x.kind)):
+            want += [texts[r.doc_id][at:x.start], f"<{x.kind.upper()}>"] if x.start >= at else []
+            at = max(at, x.end)
+        assert r.text == "".join(want) + texts[r.doc_id][at:]
