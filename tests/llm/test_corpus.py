@@ -38,6 +38,23 @@ def test_sharding_of_rows_that_no_bit_parts(make_docs):
     assert deep.agg(F.max("depth")).first()[0] > sharding.STEP and deep.filter("shard_bytes > 200").count() == 0 and deep.count() == 40_000
 
 
+def test_sharding_against_a_plain_directory(spark):
+    """The registered SQL at its own limit, and with a limit at which most buckets split."""
+    import duckdb
+    from harness import SF_SMALL
+
+    from estatelens.llm import queries
+
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for limit in (sharding.LIMIT_BYTES, 20_000):
+        got = sharding.shard(docs, limit)
+        want = db.execute(queries.sharding_sql(limit)).fetchall()
+        assert sorted(tuple(r) for r in got.select("doc_id", "bytes", "shard", "depth", "shard_bytes", "page").collect()) == sorted(want)
+    assert len({r[2] for r in want}) > 8
+
+
 def test_sharding_empty_and_whole(make_docs):
     assert sharding.shard(make_docs([])).count() == 0
     assert {(r.shard, r.depth, r.shard_bytes) for r in sharding.shard(make_docs([(1, "ab"), (2, None)])).collect()} == {("", 0, 2)}
