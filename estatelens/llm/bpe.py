@@ -41,6 +41,8 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CACHE_ENTRIES = 400_000
 #: Code points of all keys of such a table; texts without spaces have few, but very long ones.
 CACHE_CHARS = 8_000_000
+#: The encoder of a file of ranks shares its worker with the network and the fingerprints of the pipeline, so its tables are smaller by this.
+RANK_SHARE = 4
 
 
 @functools.cache
@@ -287,7 +289,7 @@ def rank_encoder(path: str, pattern: str) -> PieceEncoder:
         if len(mapped) > LONG_PIECE or OVERLAP.search(mapped):
             return confirm(piece)
         return [x.id for x in model.tokenize(mapped)]
-    return PieceEncoder(pattern, encode_piece)
+    return PieceEncoder(pattern, encode_piece, CACHE_ENTRIES // RANK_SHARE, CACHE_CHARS // RANK_SHARE)
 
 
 def plain_pieces(path: str, pattern: str) -> PieceEncoder:
