@@ -28,3 +28,14 @@ def test_few_long_intervals_do_not_copy_the_other_side(spark):
     assert _plan(j).count("Join Inner") == 1              # one level for all, so one join
     got = sorted((r.l.id, r.r.id) for r in j.collect())
     assert got == sorted((x[0], y[0]) for x in left for y in short if x[1] == y[1] and x[2] < y[3] and y[2] < x[3])
+
+
+def test_grantees_of_a_sequence_are_dealt_before_they_are_compared(spark):
+    cols = [("D", "U", f"T{k % 3}", f"{q}.nextval") for k in range(6) for q in (f"s{k}", "u.shared", f"u.s{k}")] + [("D", "U", "T0", None), (None, "U", "T0", "u.x.nextval")]
+    privs = [("D", "U", f"T{t}", g, "INSERT") for t in range(3) for g in ("a", "b", None)] + [("D", "U", "SHARED", "a", "SELECT"), ("D", "U", "S1", "b", "SELECT")]
+    c = spark.createDataFrame(cols * 2, "db_name string, owner string, table_name string, data_default string")
+    p = spark.createDataFrame(privs * 2, "db_name string, owner string, table_name string, grantee string, privilege string")
+    f = sec.missing_sequence_grants(c, p)
+    need = {("U", n, g) for n in [f"S{k}" for k in range(6)] + ["SHARED"] for g in ("a", "b", None)} | {("unknown", f"s{k}", g) for k in range(6) for g in ("a", "b", None)}
+    assert sorted(map(str, need - {("U", "SHARED", "a"), ("U", "S1", "b")})) == sorted(str((r.owner, r.object_name, r.detail)) for r in f.collect())
+    assert "RepartitionByExpression" in _plan(f)
