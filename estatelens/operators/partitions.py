@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estatelens.functions.deal import dealt
 from estatelens.functions.findings import not_internal
 from estatelens.functions.sqlcompat import nz_concat
 from estatelens.session import checkpoint_dir
@@ -339,10 +340,9 @@ def index_default_drift(part_indexes: DataFrame, part_tables: DataFrame, ordered
 # ------------------------------------------------- row movement, shrink
 
 def _mview_free(df: DataFrame, mviews: DataFrame, mview_logs: DataFrame, owner_col: str) -> DataFrame:
-    for m in (mviews, mview_logs):
-        df = df.join(m.select("db_name", F.col("owner").alias(owner_col), F.col("name").alias("table_name")).distinct(),
-                     ["db_name", owner_col, "table_name"], "left_anti")
-    return df
+    key = ["db_name", owner_col, "table_name"]
+    names = [m.select("db_name", F.col("owner").alias(owner_col), F.col("name").alias("table_name")) for m in (mviews, mview_logs)]
+    return df.join(dealt(names[0].unionByName(names[1]), *key).hint("merge"), key, "left_anti")
 
 
 def _fbi_free(df: DataFrame, indexes: DataFrame, owner_col: str) -> DataFrame:

@@ -39,3 +39,13 @@ def test_grantees_of_a_sequence_are_dealt_before_they_are_compared(spark):
     need = {("U", n, g) for n in [f"S{k}" for k in range(6)] + ["SHARED"] for g in ("a", "b", None)} | {("unknown", f"s{k}", g) for k in range(6) for g in ("a", "b", None)}
     assert sorted(map(str, need - {("U", "SHARED", "a"), ("U", "S1", "b")})) == sorted(str((r.owner, r.object_name, r.detail)) for r in f.collect())
     assert "RepartitionByExpression" in _plan(f)
+
+
+def test_tables_meet_materialized_views_in_many_tasks(spark):
+    t = spark.createDataFrame([("D", o, f"T{k}", "DISABLED", None, "N", "DISABLED") for k in range(6) for o in ("U", "V")] + [("D", "U", None, "DISABLED", None, "N", "DISABLED")],
+                              "db_name string, owner string, table_name string, row_movement string, iot_type string, temporary string, compression string")
+    m = spark.createDataFrame([("D", "U", "T1")] * 2, "db_name string, owner string, name string")
+    logs = spark.createDataFrame([("D", "V", "T2"), ("D", None, "T3")], m.schema)
+    f = pa.row_movement_candidates(t, m, logs)
+    assert sorted((r.owner, str(r.table_name)) for r in f.collect()) == sorted([(o, f"T{k}") for k in range(6) for o in ("U", "V") if (o, k) not in (("U", 1), ("V", 2))] + [("U", "None")])
+    assert "BroadcastHashJoin" not in _executed(f) and "RepartitionByExpression" in _plan(f)
