@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from estatelens.functions.deal import dealt
 from estatelens.functions.findings import not_internal
 from estatelens.functions.sqlcompat import nz_concat
 
@@ -21,6 +22,7 @@ UNUSED_INDEX_EXCLUDE = ("ENT_COMMON", "GGS")
 # Flag bits (index flags: monitoring on; usage flags: used).
 MONITORING_BIT = 65536
 USED_BIT = 1
+INDEX_KEY = ["db_name", "owner", "index_name"]
 
 
 def _q(c):
@@ -144,22 +146,29 @@ def decode_index_usage(ind_flags: DataFrame, object_usage: DataFrame, dict_objec
                     "start_monitoring", "end_monitoring")
 
 
-def fk_indexes(ind_columns: DataFrame, constraints: DataFrame, cons_columns: DataFrame) -> DataFrame:
-    """(db_name, owner, index_name) of indexes holding a foreign-key
-    column at the key column's position."""
+def _fk_index_rows(ind_columns: DataFrame, constraints: DataFrame, cons_columns: DataFrame) -> DataFrame:
+    """fk_indexes, an index once for each of its key columns."""
+    parent = ["db_name", "r_owner", "r_constraint_name"]
     c = constraints.filter(F.col("constraint_type") == "R").select(
         "db_name", "owner", "table_name", "constraint_name", "r_owner", "r_constraint_name")
     cc = cons_columns.select("db_name", "owner", "constraint_name", "column_name", "position")
     rc = cons_columns.select("db_name", F.col("owner").alias("r_owner"), F.col("constraint_name").alias("r_constraint_name"),
                              "position")
     r = constraints.select("db_name", F.col("owner").alias("r_owner"), F.col("constraint_name").alias("r_constraint_name"))
-    fk_cols = (c.join(r, ["db_name", "r_owner", "r_constraint_name"])
-               .join(cc, ["db_name", "owner", "constraint_name"])
-               .join(rc, ["db_name", "r_owner", "r_constraint_name", "position"])
+    # the columns are a set, so a parent need only exist
+    own = ["db_name", "owner", "constraint_name"]
+    cols = c.join(dealt(r, *parent).hint("merge"), parent, "left_semi").join(dealt(cc, *own).hint("merge"), own)
+    fk_cols = (cols.join(dealt(rc, *parent, "position").hint("merge"), [*parent, "position"], "left_semi")
                .select("db_name", F.col("owner").alias("table_owner"), "table_name", "column_name",
                        F.col("position").alias("column_position")).distinct())
     return (ind_columns.join(fk_cols, ["db_name", "table_owner", "table_name", "column_name", "column_position"], "left_semi")
-            .select("db_name", F.col("index_owner").alias("owner"), "index_name").distinct())
+            .select("db_name", F.col("index_owner").alias("owner"), "index_name"))
+
+
+def fk_indexes(ind_columns: DataFrame, constraints: DataFrame, cons_columns: DataFrame) -> DataFrame:
+    """(db_name, owner, index_name) of indexes holding a foreign-key
+    column at the key column's position."""
+    return _fk_index_rows(ind_columns, constraints, cons_columns).distinct()
 
 
 def _monitor_remedy(df: DataFrame, on: bool = True) -> DataFrame:
@@ -173,17 +182,17 @@ def unmonitored_indexes(indexes: DataFrame, index_usage: DataFrame, ind_columns:
     """Non-unique normal/bitmap indexes never monitored, except indexes on
     foreign-key columns."""
     i = indexes.filter(F.col("index_type").isin("NORMAL", "BITMAP") & (F.col("uniqueness") == "NONUNIQUE"))
-    i = not_internal(i, internal_owners)
-    i = i.join(index_usage.select("db_name", "owner", "index_name").distinct(), ["db_name", "owner", "index_name"], "left_anti")
-    i = i.join(fk_indexes(ind_columns, constraints, cons_columns), ["db_name", "owner", "index_name"], "left_anti")
-    return _monitor_remedy(i).distinct()
+    known = dealt(index_usage.select(*INDEX_KEY).unionByName(_fk_index_rows(ind_columns, constraints, cons_columns)), *INDEX_KEY)
+    i = not_internal(i, internal_owners).join(known.hint("merge"), INDEX_KEY, "left_anti")
+    return _monitor_remedy(dealt(i, *INDEX_KEY)).distinct()
 
 
 def restart_monitoring(index_usage: DataFrame, ind_columns: DataFrame, constraints: DataFrame,
                        cons_columns: DataFrame) -> DataFrame:
     u = index_usage.filter((F.col("monitoring") == "NO") & ~F.col("owner").like("APEX%"))
-    u = u.join(fk_indexes(ind_columns, constraints, cons_columns), ["db_name", "owner", "index_name"], "left_anti")
-    return _monitor_remedy(u).distinct()
+    known = dealt(_fk_index_rows(ind_columns, constraints, cons_columns), *INDEX_KEY)
+    u = u.join(known.hint("merge"), INDEX_KEY, "left_anti")
+    return _monitor_remedy(dealt(u, *INDEX_KEY)).distinct()
 
 
 def stop_monitoring(index_usage: DataFrame) -> DataFrame:

@@ -49,3 +49,18 @@ def test_tables_meet_materialized_views_in_many_tasks(spark):
     f = pa.row_movement_candidates(t, m, logs)
     assert sorted((r.owner, str(r.table_name)) for r in f.collect()) == sorted([(o, f"T{k}") for k in range(6) for o in ("U", "V") if (o, k) not in (("U", 1), ("V", 2))] + [("U", "None")])
     assert "BroadcastHashJoin" not in _executed(f) and "RepartitionByExpression" in _plan(f)
+
+
+def test_foreign_key_indexes_are_not_broadcast(spark):
+    cons = spark.createDataFrame([("D", "U", "PK", "P", "T0", None, None)] * 2 + [("D", "U", "FK", "R", "T1", "U", "PK"), ("D", "U", "LOST", "R", "T2", "U", "GONE")],
+                                 "db_name string, owner string, constraint_name string, constraint_type string, table_name string, r_owner string, r_constraint_name string")
+    cc = spark.createDataFrame([("D", "U", "PK", "T0", "ID", 1), ("D", "U", "FK", "T1", "REF", 1), ("D", "U", "FK", "T1", "MORE", 2), ("D", "U", "LOST", "T2", "REF", 1)],
+                               "db_name string, owner string, constraint_name string, table_name string, column_name string, position int")
+    ic = spark.createDataFrame([("D", "U", f"IX_{t}_{c}", "U", t, c, p) for t in ("T0", "T1", "T2") for c, p in (("REF", 1), ("MORE", 2), ("ID", 1))],
+                               "db_name string, index_owner string, index_name string, table_owner string, table_name string, column_name string, column_position int")
+    assert [tuple(r) for r in ob.fk_indexes(ic, cons, cc).collect()] == [("D", "U", "IX_T1_REF")]
+    usage = spark.createDataFrame([("D", "U", n, "NO") for n in ("IX_T1_REF", "IX_T1_MORE", "IX_T1_MORE", "OLD")] + [("D", "U", "ON", "YES"), ("D", "U", None, "NO")], "db_name string, owner string, index_name string, monitoring string")
+    f = ob.restart_monitoring(usage, ic, cons, cc)
+    assert sorted(str(r.index_name) for r in f.collect()) == ["IX_T1_MORE", "None", "OLD"]
+    assert _plan(f).count("RepartitionByExpression") >= 4
+    assert _executed(f).count("BroadcastHashJoin") <= 1        # at most the few key columns of the indexed tables
