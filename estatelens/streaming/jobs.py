@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from estatelens.functions.deal import dealt
 from estatelens.functions.fleet import per_database
 
 ARCHIVED_LOG_SCHEMA = T.StructType([
@@ -25,6 +26,8 @@ ARCHIVED_LOG_SCHEMA = T.StructType([
 ])
 
 LOG_SEP = "\t"
+#: Input splits whose lines of one database and month go to one archive file.
+SPLITS_A_FILE = 2
 
 
 def format_log_line(db_name, ts, line):
@@ -43,9 +46,10 @@ def stream_archive_logs(spark: SparkSession, in_dir: str, out_path: str, checkpo
     good = (F.size(parts) == 3) & month.isNotNull()
     out = src.select(F.when(good, F.get(parts, 2)).otherwise(F.col("value")).alias("line"),
                      F.when(good, F.get(parts, 0)).otherwise("malformed").alias("db_name"),
-                     F.when(good, month).otherwise("unknown").alias("month"))
-    # a group is one task per salt, so a batch writes few files and a hot month is not one task
-    out = out.repartition("db_name", "month", F.pmod(F.xxhash64("line"), F.lit(8)))
+                     F.when(good, month).otherwise("unknown").alias("month"),
+                     F.floor(F.spark_partition_id() / SPLITS_A_FILE).alias("part"))
+    # a group is one task for every few input splits, so a batch writes few files and a hot month is not one task
+    out = dealt(out, "db_name", "month", "part").drop("part")
     w = (out.writeStream.format("text").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("db_name", "month"))
     if compression:

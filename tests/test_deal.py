@@ -64,3 +64,14 @@ def test_foreign_key_indexes_are_not_broadcast(spark):
     assert sorted(str(r.index_name) for r in f.collect()) == ["IX_T1_MORE", "None", "OLD"]
     assert _plan(f).count("RepartitionByExpression") >= 4
     assert _executed(f).count("BroadcastHashJoin") <= 1        # at most the few key columns of the indexed tables
+
+
+def test_an_archive_batch_is_written_by_many_tasks_in_few_files(spark, tmp_path):
+    rows = [("DB1", dt.datetime(2024, 1 + k % 12, 2, 3), f"line {k}") for k in range(240)]
+    lines = spark.createDataFrame(rows, "db_name string, ts timestamp_ntz, line string")
+    lines.select(jobs.format_log_line(F.col("db_name"), F.col("ts"), F.col("line")).alias("value")).coalesce(1).write.text(str(tmp_path / "in"))
+    jobs.stream_archive_logs(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    files = [(d, f) for d, _, names in os.walk(tmp_path / "out") for f in names if f.startswith("part-")]
+    assert len(files) == 12                                     # a month of one split is one file
+    assert len({f.split("-")[1] for _, f in files}) > 1         # and the months are not one task
+    assert spark.read.text(str(tmp_path / "out")).count() == 240
