@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from estatelens.operators import health as h
 from estatelens.operators import objects as ob
 from estatelens.operators import partitions as pa
 from estatelens.operators import security as sec
@@ -75,3 +76,22 @@ def test_an_archive_batch_is_written_by_many_tasks_in_few_files(spark, tmp_path)
     assert len(files) == 12                                     # a month of one split is one file
     assert len({f.split("-")[1] for _, f in files}) > 1         # and the months are not one task
     assert spark.read.text(str(tmp_path / "out")).count() == 240
+
+
+def test_dictionary_joins_of_the_report_keep_to_many_tasks(spark):
+    t = dt.datetime(2024, 1, 1)
+    later = t + dt.timedelta(days=1)
+    objects = spark.createDataFrame([("D", "U", f"O{k}", k, "VIEW", "VALID", "E1") for k in (1, 2, 3)] * 2 + [("D", "U", "TR", 9, "TRIGGER", "INVALID", None)],
+                                    "db_name string, owner string, object_name string, object_id long, object_type string, status string, edition_name string")
+    entries = spark.createDataFrame([("D", k, "U", f"O{k}", 4, 1, t, None) for k in (1, 2, 3)], "db_name string, obj_id long, owner string, name string, type_id int, status int, stime timestamp_ntz, subname string")
+    edges = spark.createDataFrame([("D", 2, 1, t, 1), ("D", 3, 1, later, 1), (None, 2, 1, later, 1)], "db_name string, d_obj long, p_obj long, p_timestamp timestamp_ntz, property long")
+    stale, mismatch = h.stale_dependents(objects, entries, edges), h.dependency_mismatch(objects, entries, edges)
+    assert sorted(r.object_name for r in stale.collect()) == ["O3", "O3"]
+    assert sorted(r.object_name for r in mismatch.collect()) == ["O1", "O3"]
+    triggers = spark.createDataFrame([("D", "U", "TR", "ENABLED", "T"), ("D", "U", "OK", "ENABLED", "T")], "db_name string, owner string, trigger_name string, status string, table_name string")
+    broken = h.broken_triggers(triggers, objects)
+    assert [r.object_name for r in broken.collect()] == ["TR"]
+    dp = spark.createDataFrame([("D", "U", n, "NOT RUNNING", "EXPORT", "FULL", 0) for n in ("O1", "gone")], "db_name string, owner_name string, job_name string, state string, operation string, job_mode string, attached_sessions long")
+    jobs_left = h.leftover_jobs(dp, objects)
+    assert sorted((r.object_name, r.remedy) for r in jobs_left.collect()) == [("O1", "drop table U.O1;"), ("gone", None)]
+    assert [_plan(f).count("RepartitionByExpression") for f in (stale, mismatch, broken, jobs_left)] == [4, 4, 1, 1]
