@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+from collections import Counter
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from estatelens.operators import objects as ob
 from estatelens.operators import partitions as pa
 from estatelens.operators import security as sec
 from estatelens.operators import temporal as tm
+from estatelens.plans import q_temporal as qt
 from estatelens.streaming import jobs
 
 
@@ -31,6 +34,22 @@ def test_few_long_intervals_do_not_copy_the_other_side(spark):
     assert got == sorted((x[0], y[0]) for x in left for y in short if x[1] == y[1] and x[2] < y[3] and y[2] < x[3])
 
 
+def test_file_ranges_are_not_broadcast(spark):
+    files = [("D", 1, 6400), ("D", 1, 6400), ("D", 2, 700), ("D", None, 640), ("D", 3, None)]
+    extents = [("D", f, b, n) for f in (1, 2, 3, None) for b, n in ((0, 50), (630, 20), (600, 1400), (6399, 9), (100, 0), (None, 5))] * 2
+    f = qt.q_extent_file_ranges(SimpleNamespace(data_files=spark.createDataFrame(files, "db_name string, file_id long, blocks long"),
+                                                extents=spark.createDataFrame(extents, "db_name string, file_id long, block_id long, blocks long")))
+    extents_in, used = Counter(), Counter()
+    for _, file, blocks in (x for x in files if None not in x):
+        for k in range(-(-blocks // 640)):
+            for _, of, b, n in (x for x in extents if None not in x):
+                if of == file and n > 0 and b < (k + 1) * 640 and k * 640 < b + n:
+                    extents_in[file, k] += 1
+                    used[file, k] += min(b + n, (k + 1) * 640) - max(b, k * 640)
+    assert sorted((r.file_id, r.range_no, r.extents, r.blocks_used) for r in f.collect()) == sorted((*k, n, used[k]) for k, n in extents_in.items())
+    assert "BroadcastHashJoin" not in _executed(f)
+
+
 def test_grantees_of_a_sequence_are_dealt_before_they_are_compared(spark):
     cols = [("D", "U", f"T{k % 3}", f"{q}.nextval") for k in range(6) for q in (f"s{k}", "u.shared", f"u.s{k}")] + [("D", "U", "T0", None), (None, "U", "T0", "u.x.nextval")]
     privs = [("D", "U", f"T{t}", g, "INSERT") for t in range(3) for g in ("a", "b", None)] + [("D", "U", "SHARED", "a", "SELECT"), ("D", "U", "S1", "b", "SELECT")]
