@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 from collections import Counter
 from types import SimpleNamespace
 
@@ -50,6 +51,30 @@ def test_file_ranges_are_not_broadcast(spark):
     assert "BroadcastHashJoin" not in _executed(f)
 
 
+def test_more_rows_of_an_interval_join_are_more_tasks(spark, monkeypatch):
+    rows = [(k, "A", k * 37 - 4000, k * 37 - 4000 + k % 90) for k in range(300)] + [(300, "A", -5000, 9000), (301, "A", None, 5), (302, None, 0, 5)]
+    f = spark.createDataFrame(rows, "id long, db_name string, s long, e long")
+    monkeypatch.setattr(tm, "ROWS_OF_A_TASK", 10, raising=False)
+    j = tm.interval_join(f, f, ("s", "e"), ("s", "e"), unit=60)
+    assert int(re.search(r"RepartitionByExpression \[.*\], (\d+)", _plan(j))[1]) >= 60
+    ok = [x for x in rows if None not in x and x[2] < x[3]]
+    assert sorted((r.l.id, r.r.id) for r in j.collect()) == sorted((x[0], y[0]) for x in ok for y in ok if x[2] < y[3] and y[2] < x[3])
+
+
+def test_times_of_a_pair_are_not_cast_again(spark):
+    t = dt.datetime(2024, 1, 1)
+    at = lambda k: t + dt.timedelta(seconds=k)
+    outages = [("D", k, at(k * 50), at(k * 50 + k % 70)) for k in range(60)] + [("D", 60, at(0), at(90_000)), ("D", 61, None, t), (None, 62, t, at(9))]
+    windows = [("D", k, at(k * 40 - k % 200), at(k * 40)) for k in range(60)] * 2 + [("D", None, t, at(9)), ("E", 5, t, at(9))]
+    f = qt.q_outage_log_overlap(SimpleNamespace(outages=spark.createDataFrame(outages, "db_name string, outage_id long, started timestamp_ntz, ended timestamp_ntz"),
+                                                log_windows=spark.createDataFrame(windows, "db_name string, recid long, first_time timestamp_ntz, next_time timestamp_ntz")))
+    want = [(o[1], w[1], (min(o[3], w[3]) - max(o[2], w[2])) // dt.timedelta(microseconds=1)) for o in outages for w in windows
+            if o[0] == w[0] and o[2] and o[2] < w[3] and w[2] < o[3] and o[2] < o[3] and w[2] < w[3]]
+    assert sorted(map(str, want)) == sorted(str((r.outage_id, r.recid, r.overlap_micros)) for r in f.collect())
+    of_pairs = _plan(f).split(":- ")[0]
+    assert "Join Inner" in of_pairs and "cast(" not in of_pairs and "unix_micros" not in of_pairs
+
+
 def test_grantees_of_a_sequence_are_dealt_before_they_are_compared(spark):
     cols = [("D", "U", f"T{k % 3}", f"{q}.nextval") for k in range(6) for q in (f"s{k}", "u.shared", f"u.s{k}")] + [("D", "U", "T0", None), (None, "U", "T0", "u.x.nextval")]
     privs = [("D", "U", f"T{t}", g, "INSERT") for t in range(3) for g in ("a", "b", None)] + [("D", "U", "SHARED", "a", "SELECT"), ("D", "U", "S1", "b", "SELECT")]
